@@ -290,128 +290,6 @@ SELECT 'part' AS entity_name, 0.85::DOUBLE AS threshold, oc AS original_count, f
   oc - fc AS removed_count FROM (SELECT (SELECT count(*) FROM part) AS oc,
   (SELECT count(*) FROM (SELECT DISTINCT * FROM part WHERE p_partkey NOT IN (
      SELECT greatest(original_id, potential_duplicate_id) FROM cands WHERE search_score >= 0.85::DOUBLE))) AS fc))""",
-    "not_null_check": _q_not_null_check,
-    "unique_key_check": _q_unique_key_check,
-    "foreign_key_check": _q_foreign_key_check,
-    "foreign_key_orphans": _q_foreign_key_orphans,
-}
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
-
-
-# ---------------------------------------------------------------- oracle SQL
-WORD = r"[^\p{L}\p{N}]+"
-CODE = r"[^a-z0-9#]+"
-
-
-def _sql_topk(src: str, mode: str, k: int = K) -> str:
-    """CTEs ``texts(id, text)``, ``feat(id, s)``, ``cands(original_id,
-    potential_duplicate_id, search_score)`` by brute force over ``src``
-    (a SELECT of id and text)."""
-    if mode == "shingles":
-        feat = f"""
-  tok AS (SELECT id, list_filter(regexp_split_to_array(lower(text), '{WORD}'), lambda x: x <> '') AS t FROM texts),
-  feat AS (SELECT DISTINCT id, t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] AS s
-           FROM (SELECT id, t, unnest(range(1, len(t) - 1)) AS i FROM tok WHERE len(t) >= 3))"""
-    else:
-        pat = CODE if mode == "tokens" else WORD
-        feat = f"""
-  tok AS (SELECT id, list_filter(regexp_split_to_array(lower(text), '{pat}'), lambda x: x <> '') AS t FROM texts),
-  feat AS (SELECT DISTINCT id, unnest(t) AS s FROM tok)"""
-    return f"""WITH texts AS ({src}),{feat},
-  nf AS (SELECT id, count(*) AS n FROM feat GROUP BY id),
-  pc AS (SELECT a.id AS original_id, b.id AS potential_duplicate_id, count(*) AS c
-         FROM feat a JOIN feat b ON a.s = b.s AND a.id <> b.id GROUP BY 1, 2),
-  scored AS (SELECT original_id, potential_duplicate_id, round(c / sqrt(na.n * nb.n), 6) AS search_score
-             FROM pc JOIN nf na ON na.id = pc.original_id JOIN nf nb ON nb.id = pc.potential_duplicate_id),
-  cands AS (SELECT * FROM scored QUALIFY row_number() OVER (
-             PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id) <= {k})"""
-
-
-DOCS_SRC = "SELECT doc_id AS id, concat_ws(',', text, lang) AS text FROM documents WHERE doc_id IS NOT NULL"
-PARTS_SRC = ("SELECT p_partkey AS id, concat_ws(',', p_name, p_brand, p_type, p_size) AS text "
-             "FROM part WHERE p_partkey IS NOT NULL")
-DOCS_TOPK = _sql_topk(DOCS_SRC, "shingles")
-PARTS_TOPK = _sql_topk(PARTS_SRC, "tokens")
-
-
-def _sql_analysis(topk: str, base: str, name: str) -> str:
-    sweep = " UNION ALL ".join(
-        f"SELECT {t}::DOUBLE AS threshold, (SELECT count(*) FROM best WHERE max_score >= {t}::DOUBLE) AS c"
-        for t in DEFAULT_THRESHOLDS)
-    return f"""{topk},
-  best AS (SELECT original_id, max(search_score) AS max_score FROM cands WHERE original_id IS NOT NULL GROUP BY 1),
-  st AS (SELECT (SELECT count(*) FROM {base}) AS total,
-                avg(search_score) AS av, quantile_disc(search_score, 0.5) AS med,
-                quantile_disc(search_score, 0.75) AS q3,
-                CAST(sum(CASE WHEN search_score > 0.99 THEN 1 ELSE 0 END) AS BIGINT) AS p99,
-                (SELECT count(*) FROM best WHERE max_score = 1.0) AS mx FROM cands),
-  sw AS ({sweep})
-SELECT '{name}' AS entity_name, sw.threshold, CAST(sw.c AS BIGINT) AS duplicate_count,
-       sw.c / st.total * 100.0 AS percent_duplicates, CAST(st.total AS BIGINT) AS total_record_count,
-       round(st.av, 6) AS avg_search_score, st.med AS median_search_score,
-       st.p99 AS potential_duplicate_pairs_above_99, st.q3 AS top_quartile_score,
-       CAST(st.mx AS BIGINT) AS records_with_max_score
-FROM sw, st"""
-
-
-ORDERS_NULLS = """(SELECT o_orderkey, nullif(o_custkey, 1) AS o_custkey, nullif(o_orderstatus, 'F') AS o_orderstatus,
-  o_totalprice, o_orderdate, nullif(o_orderpriority, '1-URGENT') AS o_orderpriority FROM orders)"""
-
-_SQL: dict[str, str] = {
-    "combined_text": """SELECT *, concat_ws(',', p_name, p_brand, p_type, p_size) AS combined_data FROM part""",
-    "combined_text_nulls": """SELECT p_partkey, concat_ws(',', nullif(p_name, 'small ring'), nullif(p_brand, 'Brand#2'),
-  nullif(p_type, 'SMALL'), p_size) AS combined_data FROM part""",
-    "dense_knn_topk": """WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-                 WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
-  p AS (SELECT a.id AS original_id, b.id AS potential_duplicate_id,
-               list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) AS cs
-        FROM e a JOIN e b ON a.id <> b.id),
-  s AS (SELECT original_id, potential_duplicate_id, round(greatest(least(cs, 1.0), 0.0), 6) AS search_score FROM p)
-SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id) <= 3""",
-    "sparse_cosine_topk": DOCS_TOPK + "\nSELECT * FROM cands",
-    "sparse_cosine_ties": PARTS_TOPK + "\nSELECT * FROM cands",
-    "detect_candidates": DOCS_TOPK + """
-SELECT c.original_id, o.text AS original_combined_data, c.potential_duplicate_id,
-       p.text AS potential_duplicate_combined_data, c.search_score
-FROM cands c JOIN texts o ON o.id = c.original_id JOIN texts p ON p.id = c.potential_duplicate_id""",
-    "score_stats": DOCS_TOPK + """
-SELECT round(avg(search_score), 6) AS avg_search_score, quantile_disc(search_score, 0.5) AS median_search_score,
-       quantile_disc(search_score, 0.75) AS top_quartile_score,
-       CAST(sum(CASE WHEN search_score > 0.99 THEN 1 ELSE 0 END) AS BIGINT) AS potential_duplicate_pairs_above_99,
-       count(*) AS pair_count FROM cands""",
-    "best_score_per_record": DOCS_TOPK + """
-SELECT original_id, max(search_score) AS max_score FROM cands WHERE original_id IS NOT NULL GROUP BY 1""",
-    "perfect_score_records": DOCS_TOPK + """
-SELECT original_id, max(search_score) AS max_score FROM cands WHERE original_id IS NOT NULL GROUP BY 1
-HAVING max(search_score) = 1.0""",
-    "threshold_sweep": "SELECT threshold, duplicate_count, percent_duplicates FROM (\n"
-                       + _sql_analysis(DOCS_TOPK, "documents", "") + ")",
-    "analyze_entities": "SELECT * FROM (" + _sql_analysis(DOCS_TOPK, "documents", "documents")
-                        + ") UNION ALL SELECT * FROM (" + _sql_analysis(PARTS_TOPK, "part", "part") + ")",
-    "removable_ids": DOCS_TOPK + """
-SELECT DISTINCT greatest(original_id, potential_duplicate_id) AS duplicate_id FROM cands
-WHERE search_score >= 0.8::DOUBLE AND original_id IS NOT NULL AND potential_duplicate_id IS NOT NULL""",
-    "dedupe_by_threshold": DOCS_TOPK + """
-SELECT DISTINCT d.* FROM documents d WHERE d.doc_id NOT IN (
-  SELECT greatest(original_id, potential_duplicate_id) FROM cands
-  WHERE search_score >= 0.8::DOUBLE AND original_id IS NOT NULL AND potential_duplicate_id IS NOT NULL)
-  OR d.doc_id IS NULL""",
-    "distinct_rows": PARTS_TOPK + """
-SELECT DISTINCT p.* FROM (SELECT * FROM part UNION ALL SELECT * FROM part) p WHERE p.p_partkey NOT IN (
-  SELECT greatest(original_id, potential_duplicate_id) FROM cands
-  WHERE search_score >= 0.85::DOUBLE AND original_id IS NOT NULL AND potential_duplicate_id IS NOT NULL)""",
-    "dedupe_report": "SELECT * FROM (" + DOCS_TOPK + """
-SELECT 'documents' AS entity_name, 0.8::DOUBLE AS threshold, (SELECT count(*) FROM documents) AS original_count,
-  (SELECT count(*) FROM (SELECT DISTINCT * FROM documents WHERE doc_id NOT IN (
-     SELECT greatest(original_id, potential_duplicate_id) FROM cands WHERE search_score >= 0.8::DOUBLE))) AS filtered_count,
-  original_count - filtered_count AS removed_count) UNION ALL SELECT * FROM (""" + PARTS_TOPK + """
-SELECT 'part' AS entity_name, 0.85::DOUBLE AS threshold, (SELECT count(*) FROM part) AS original_count,
-  (SELECT count(*) FROM (SELECT DISTINCT * FROM part WHERE p_partkey NOT IN (
-     SELECT greatest(original_id, potential_duplicate_id) FROM cands WHERE search_score >= 0.85::DOUBLE))) AS filtered_count,
-  original_count - filtered_count AS removed_count)""",
     "not_null_check": f"""SELECT column_name, null_count FROM (
   SELECT 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS null_count FROM {ORDERS_NULLS}
   UNION ALL SELECT 'o_custkey', count(*) FILTER (WHERE o_custkey IS NULL) FROM {ORDERS_NULLS}
