@@ -151,6 +151,40 @@ def _q_foreign_key_orphans(spark, sf):
     return quality.foreign_key_check(_orders_with_nulls(spark, sf), "o_custkey", parent, "c_custkey")
 
 
+def _doc_texts(spark, sf):
+    silver = with_combined_text(_t(spark, sf, "documents"), DOCS.exclude)
+    return silver.select(F.col("doc_id").alias("id"), F.col("combined_data").alias("text"))
+
+
+def _q_bm25_topk(spark, sf):
+    from twinsift.operators.keyword import bm25_topk
+    return bm25_topk(_t(spark, sf, "benchmark"), "item_id", "text", _t(spark, sf, "documents"), "doc_id", "text", K)
+
+
+def _q_hybrid_rrf_topk(spark, sf):
+    from twinsift.operators.hybrid import hybrid_topk
+    return hybrid_topk(_doc_texts(spark, sf), "id", "text", K)
+
+
+def _q_minhash_candidates(spark, sf):
+    from twinsift.operators.lsh import minhash_topk
+    return minhash_topk(_doc_texts(spark, sf), "id", "text", K)
+
+
+def _q_lsh_candidates(spark, sf):
+    from twinsift.operators.lsh import hyperplane_topk
+    return hyperplane_topk(_t(spark, sf, "embeddings"), "vec_id", "embedding", K)
+
+
+def _q_hash_embed(spark, sf):
+    from twinsift.functions.vectorize import embed
+    return embed(_t(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "embedding")
+
+
+def _q_dense_detect(spark, sf):
+    return _cands(spark, sf, DOCS, method="dense")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combined_text": _q_combined_text,
     "combined_text_nulls": _q_combined_text_nulls,
@@ -171,6 +205,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_key_check": _q_unique_key_check,
     "foreign_key_check": _q_foreign_key_check,
     "foreign_key_orphans": _q_foreign_key_orphans,
+    "bm25_topk": _q_bm25_topk,
+    "hybrid_rrf_topk": _q_hybrid_rrf_topk,
+    "minhash_candidates": _q_minhash_candidates,
+    "lsh_candidates": _q_lsh_candidates,
+    "hash_embed": _q_hash_embed,
+    "dense_detect": _q_dense_detect,
 }
 
 
@@ -214,6 +254,19 @@ DOCS_TOPK = _sql_topk(DOCS_SRC, "shingles")
 PARTS_TOPK = _sql_topk(PARTS_SRC, "tokens")
 
 
+def _sql_bm25(src: str) -> str:
+    """CTEs ``bd(id, t)`` (word lists) and ``wt(id, w, wt)`` (BM25 weights)."""
+    return f"""
+  bd AS (SELECT id, list_filter(regexp_split_to_array(lower(text), '{WORD}'), lambda x: x <> '') AS t FROM ({src})),
+  bst AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM bd),
+  btf AS (SELECT id, dl, w, count(*) AS tf FROM (SELECT id, len(t) AS dl, unnest(t) AS w FROM bd) GROUP BY ALL),
+  bdf AS (SELECT w, count(*) AS df FROM btf GROUP BY w),
+  wt AS (SELECT btf.id, btf.w,
+           ln(1.0::DOUBLE + (CAST(bst.n - bdf.df AS DOUBLE) + 0.5::DOUBLE) / (CAST(bdf.df AS DOUBLE) + 0.5::DOUBLE))
+           * btf.tf * 2.2::DOUBLE / (btf.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * btf.dl / bst.avgdl)) AS wt
+         FROM btf JOIN bdf USING (w) CROSS JOIN bst)"""
+
+
 def _sql_analysis(topk: str, base: str, name: str) -> str:
     sweep = " UNION ALL ".join(
         f"SELECT {t}::DOUBLE AS threshold, (SELECT count(*) FROM best WHERE max_score >= {t}::DOUBLE) AS c"
@@ -305,5 +358,34 @@ GROUP BY 1, 2 HAVING count(*) > 1""",
 }
 
 
+_SQL["bm25_topk"] = "WITH " + _sql_bm25(
+    "SELECT doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL").lstrip() + f""",
+  q AS (SELECT DISTINCT item_id AS qid,
+          unnest(list_filter(regexp_split_to_array(lower(text), '{WORD}'), lambda x: x <> '')) AS w
+        FROM benchmark WHERE item_id IS NOT NULL),
+  sc AS (SELECT q.qid, wt.id, round(sum(wt.wt), 6) AS s FROM q JOIN wt ON q.w = wt.w GROUP BY 1, 2)
+SELECT qid AS original_id, id AS potential_duplicate_id, s AS bm25_score FROM sc
+QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, id) <= {K}"""
+
+_SQL["hybrid_rrf_topk"] = _sql_topk(DOCS_SRC, "shingles") + "," + _sql_bm25(DOCS_SRC) + f""",
+  kw AS (SELECT q.id AS original_id, wt.id AS potential_duplicate_id, round(sum(wt.wt), 6) AS bm25_score
+         FROM (SELECT DISTINCT id, unnest(t) AS w FROM bd) q JOIN wt ON q.w = wt.w AND q.id <> wt.id GROUP BY 1, 2),
+  kwr AS (SELECT *, row_number() OVER (PARTITION BY original_id ORDER BY bm25_score DESC, potential_duplicate_id)
+          AS r_kw FROM kw QUALIFY r_kw <= {2 * K}),
+  vr AS (SELECT *, row_number() OVER (PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id)
+         AS r_vec FROM scored QUALIFY r_vec <= {2 * K}),
+  fused AS (SELECT coalesce(v.original_id, k.original_id) AS original_id,
+                   coalesce(v.potential_duplicate_id, k.potential_duplicate_id) AS potential_duplicate_id,
+                   round(coalesce(1.0::DOUBLE / (60 + r_vec), 0.0::DOUBLE)
+                         + coalesce(1.0::DOUBLE / (60 + r_kw), 0.0::DOUBLE), 9) AS rrf_score
+            FROM vr v FULL OUTER JOIN kwr k
+              ON v.original_id = k.original_id AND v.potential_duplicate_id = k.potential_duplicate_id),
+  top AS (SELECT * FROM fused QUALIFY row_number() OVER (
+            PARTITION BY original_id ORDER BY rrf_score DESC, potential_duplicate_id) <= {K})
+SELECT top.original_id, top.potential_duplicate_id, coalesce(s.search_score, 0.0::DOUBLE) AS search_score,
+       top.rrf_score
+FROM top LEFT JOIN scored s USING (original_id, potential_duplicate_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in _SQL.items() if k in _QUERIES}

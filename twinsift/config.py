@@ -16,7 +16,7 @@ COMBINED_COLUMN = "combined_data"
 HIGH_SCORE_CUTOFF = 0.99  # strict ">" in the pair statistic
 PERFECT_SCORE = 1.0
 
-METHODS = ("exact", "dense", "bm25", "hybrid", "lsh", "minhash")
+METHODS = ("exact", "dense", "hybrid", "lsh", "minhash")
 
 
 @dataclass(frozen=True)

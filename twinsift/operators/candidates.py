@@ -39,21 +39,19 @@ def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode:
 
     ``texts`` is (id, text). Methods: exact (sparse cosine over features),
     dense (cosine of hashed embeddings, or of ``vectors`` (id, vec) if given),
-    bm25 (keyword leg alone, score scaled to [0, 1] by the self score),
-    hybrid (rank fusion of exact and bm25, cosine reported), lsh/minhash
-    (approximate candidates, exact cosine).
+    hybrid (rank fusion of exact cosine and BM25, cosine reported),
+    minhash / lsh (approximate candidates for features / vectors, exact
+    cosine). Every method reports a score in [0, 1], 1 = identical.
     """
-    from twinsift.operators import keyword, knn, lsh, hybrid
+    from twinsift.operators import knn, lsh, hybrid
 
     if method == "exact":
         return knn.sparse_cosine_topk(texts, "id", "text", k, mode=text_mode, block_rows=block_rows)
     if method == "dense":
         vecs = vectors if vectors is not None else knn.embedded(texts, "id", "text")
         return knn.dense_knn_topk(vecs, "id", "vec", k, block_rows=block_rows)
-    if method == "bm25":
-        return keyword.bm25_self_topk(texts, "id", "text", k, block_rows=block_rows)
     if method == "hybrid":
-        return hybrid.hybrid_topk(texts, "id", "text", k, text_mode=text_mode, block_rows=block_rows)
+        return hybrid.hybrid_topk(texts, "id", "text", k, text_mode=text_mode, block_rows=block_rows).drop("rrf_score")
     if method == "minhash":
         return lsh.minhash_topk(texts, "id", "text", k, mode=text_mode)
     if method == "lsh":

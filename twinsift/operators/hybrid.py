@@ -1 +1,53 @@
-"""placeholder"""
+"""Hybrid search (J5): reciprocal-rank fusion of the vector and keyword legs.
+
+RRF (Cormack et al. 2009) chooses the partners; the reported
+``search_score`` stays the exact cosine, so the [0, 1] score contract of the
+analysis and dedupe steps holds whatever method produced the candidates.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from twinsift.functions.vectorize import binary_features
+from twinsift.operators.candidates import best_k
+from twinsift.operators.keyword import bm25_self_topk
+from twinsift.operators.tiles import tiled_topk
+
+RRF_K = 60  # fixed constant of reciprocal-rank fusion
+
+
+def hybrid_topk(texts: DataFrame, id_col: str, text_col: str, k: int, text_mode: str = "shingles",
+                leg_k: int | None = None, block_rows: int | None = None) -> DataFrame:
+    """(original_id, potential_duplicate_id, search_score, rrf_score).
+
+    Each leg keeps its best ``leg_k`` (default 2k) partners with their rank;
+    a full outer join on the pair sums 1 / (60 + rank) over the legs; the
+    best k by (rrf rounded to 9 decimals desc, partner id asc) are kept.
+    Cosine for partners found only by the keyword leg comes from their
+    feature sets, joined after the top-k (at most k rows per original).
+    """
+    leg_k = int(leg_k or 2 * k)
+    feats = binary_features(texts, id_col, text_col, text_mode)
+    vec = best_k(tiled_topk(feats, "binary_cosine", leg_k, block_rows=block_rows), leg_k, keep_rank=True)
+    kw = bm25_self_topk(texts, id_col, text_col, leg_k, block_rows=block_rows, keep_rank=True)
+    fused = (vec.select("original_id", "potential_duplicate_id", "search_score", F.col("rank").alias("r_vec"))
+             .join(kw.select("original_id", "potential_duplicate_id", F.col("rank").alias("r_kw")),
+                   ["original_id", "potential_duplicate_id"], "full_outer"))
+    rrf = (F.coalesce(F.lit(1.0) / (F.lit(RRF_K) + F.col("r_vec")), F.lit(0.0))
+           + F.coalesce(F.lit(1.0) / (F.lit(RRF_K) + F.col("r_kw")), F.lit(0.0)))
+    fused = fused.withColumn("rrf_score", F.round(rrf, 9))
+    w = Window.partitionBy("original_id").orderBy(F.desc("rrf_score"), F.asc("potential_duplicate_id"))
+    top = fused.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    known = top.where(F.col("search_score").isNotNull())
+    missing = top.where(F.col("search_score").isNull()).drop("search_score")
+    fo = feats.select(F.col("id").alias("original_id"), F.col("f").alias("fo"))
+    fp = feats.select(F.col("id").alias("potential_duplicate_id"), F.col("f").alias("fp"))
+    inter = F.size(F.array_intersect("fo", "fp"))
+    filled = (missing.join(fo, "original_id").join(fp, "potential_duplicate_id")
+              .withColumn("search_score", F.round(
+                  F.when(inter > 0, inter / F.sqrt(F.size("fo").cast("double") * F.size("fp"))).otherwise(F.lit(0.0)), 6))
+              .drop("fo", "fp"))
+    cols = ["original_id", "potential_duplicate_id", "search_score", "rrf_score"]
+    return known.select(*cols).unionByName(filled.select(*cols))
