@@ -185,6 +185,23 @@ def _q_dense_detect(spark, sf):
     return _cands(spark, sf, DOCS, method="dense")
 
 
+def _q_incremental_candidates(spark, sf):
+    """The documents table streamed in three file batches through the
+    incremental handler; the final lists must equal the batch exact result
+    (same oracle as sparse_cosine_topk)."""
+    import uuid
+
+    from twinsift.session import ensure_checkpoint_dir
+    from twinsift.streaming.incremental import run_incremental
+
+    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    docs = _doc_texts(spark, sf)
+    docs.repartition(3).write.parquet(f"{run}/source")
+    handler = run_incremental(spark, f"{run}/source", docs.schema, f"{run}/state", f"{run}/checkpoint",
+                              "id", "text", K, DOCS.text_mode)
+    return handler.latest()
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combined_text": _q_combined_text,
     "combined_text_nulls": _q_combined_text_nulls,
@@ -211,6 +228,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lsh_candidates": _q_lsh_candidates,
     "hash_embed": _q_hash_embed,
     "dense_detect": _q_dense_detect,
+    "incremental_candidates": _q_incremental_candidates,
 }
 
 
@@ -387,5 +405,8 @@ SELECT top.original_id, top.potential_duplicate_id, coalesce(s.search_score, 0.0
 FROM top LEFT JOIN scored s USING (original_id, potential_duplicate_id)"""
 
 
+_SQL["incremental_candidates"] = _SQL["sparse_cosine_topk"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in _SQL.items() if k in _QUERIES}

@@ -27,14 +27,16 @@ def binary_features(df: DataFrame, id_col: str, text_col: str, mode: str = "shin
 
 
 def bm25_weights(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1, b: float = BM25_B,
-                 salts: int = 16) -> DataFrame:
+                 salts: int = 16, with_stats: bool = False):
     """(id, f, w): per-document BM25 term weights over word tokens.
 
     weight(d, t) = idf(t) * tf (k1 + 1) / (tf + k1 (1 - b + b |d| / avgdl)),
     idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
     Term frequencies are a partial aggregate per (doc, term); document
     frequencies a partial aggregate per term; the join back to the terms is
-    salted because a stop word sits in nearly every document.
+    salted because a stop word sits in nearly every document. N and avgdl
+    are two scalars from one aggregate. ``with_stats`` also returns
+    (N, avgdl) for block sizing downstream.
     """
     from twinsift.operators.tiles import salted_join
 
@@ -43,7 +45,9 @@ def bm25_weights(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K
     stats = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
     n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     if n == 0:
-        return toks.select("id", F.array().cast("array<bigint>").alias("f"), F.array().cast("array<double>").alias("w")).limit(0)
+        empty = toks.select("id", F.array().cast("array<bigint>").alias("f"),
+                            F.array().cast("array<double>").alias("w")).limit(0)
+        return (empty, (0, 0.0)) if with_stats else empty
     lens = toks.select("id", F.size("toks").alias("dl"), F.explode("toks").alias("t"))
     tf = lens.groupBy("id", "dl", "t").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
@@ -52,9 +56,10 @@ def bm25_weights(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
     weighted = joined.select("id", F.xxhash64("t").alias("h"),
                              (idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)).alias("wt"))
-    return (weighted.groupBy("id")
-            .agg(F.collect_list(F.struct("h", "wt")).alias("tw"))
-            .select("id", F.col("tw.h").alias("f"), F.col("tw.wt").alias("w")))
+    out = (weighted.groupBy("id")
+           .agg(F.collect_list(F.struct("h", "wt")).alias("tw"))
+           .select("id", F.col("tw.h").alias("f"), F.col("tw.wt").alias("w")))
+    return (out, (n, avgdl)) if with_stats else out
 
 
 def query_features(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from twinsift.functions.vectorize import binary_features
 from twinsift.operators.candidates import best_k
 from twinsift.operators.keyword import bm25_self_topk
-from twinsift.operators.tiles import tiled_topk
+from twinsift.operators.tiles import text_size_hint, tiled_topk
 
 RRF_K = 60  # fixed constant of reciprocal-rank fusion
 
@@ -30,7 +30,9 @@ def hybrid_topk(texts: DataFrame, id_col: str, text_col: str, k: int, text_mode:
     """
     leg_k = int(leg_k or 2 * k)
     feats = binary_features(texts, id_col, text_col, text_mode)
-    vec = best_k(tiled_topk(feats, "binary_cosine", leg_k, block_rows=block_rows), leg_k, keep_rank=True)
+    hint = text_size_hint(texts.where(texts[id_col].isNotNull()), text_col)
+    vec = best_k(tiled_topk(feats, "binary_cosine", leg_k, block_rows=block_rows, left_hint=hint), leg_k,
+                 keep_rank=True)
     kw = bm25_self_topk(texts, id_col, text_col, leg_k, block_rows=block_rows, keep_rank=True)
     fused = (vec.select("original_id", "potential_duplicate_id", "search_score", F.col("rank").alias("r_vec"))
              .join(kw.select("original_id", "potential_duplicate_id", F.col("rank").alias("r_kw")),

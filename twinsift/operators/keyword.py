@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from twinsift.functions.vectorize import bm25_weights, query_features
 from twinsift.operators.candidates import best_k
-from twinsift.operators.tiles import tiled_topk
+from twinsift.operators.tiles import text_size_hint, tiled_topk
 
 
 def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, doc_id: str, doc_text: str,
@@ -20,8 +20,10 @@ def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFram
     a stop word in every document never becomes a hot join key.
     """
     q = query_features(queries, query_id, query_text)
-    d = bm25_weights(docs.where(docs[doc_id].isNotNull()), doc_id, doc_text)
-    pairs = tiled_topk(q, "dot", k, right=d, block_rows=block_rows, exclude_same_id=exclude_same_id)
+    q_hint = text_size_hint(queries.where(queries[query_id].isNotNull()), query_text)
+    d, (n, avgdl) = bm25_weights(docs.where(docs[doc_id].isNotNull()), doc_id, doc_text, with_stats=True)
+    pairs = tiled_topk(q, "dot", k, right=d, block_rows=block_rows, exclude_same_id=exclude_same_id,
+                       left_hint=q_hint, right_hint=(n, avgdl))
     return best_k(pairs, k, out_col="bm25_score")
 
 
@@ -29,6 +31,7 @@ def bm25_self_topk(texts: DataFrame, id_col: str, text_col: str, k: int, block_r
                    keep_rank: bool = False) -> DataFrame:
     """Each row's text as the query against all other rows (hybrid's keyword leg)."""
     q = query_features(texts, id_col, text_col)
-    d = bm25_weights(texts.where(texts[id_col].isNotNull()), id_col, text_col)
-    pairs = tiled_topk(q, "dot", k, right=d, block_rows=block_rows, exclude_same_id=True)
+    d, (n, avgdl) = bm25_weights(texts.where(texts[id_col].isNotNull()), id_col, text_col, with_stats=True)
+    pairs = tiled_topk(q, "dot", k, right=d, block_rows=block_rows, exclude_same_id=True,
+                       left_hint=(n, avgdl), right_hint=(n, avgdl))
     return best_k(pairs, k, out_col="bm25_score", keep_rank=keep_rank)

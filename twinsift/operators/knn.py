@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinsift.functions.vectorize import binary_features, hash_embed
 from twinsift.operators.candidates import best_k
-from twinsift.operators.tiles import tiled_topk
+from twinsift.operators.tiles import text_size_hint, tiled_topk
 from twinsift.sources.tables import ensure_parallel
 
 
@@ -19,7 +19,8 @@ def sparse_cosine_topk(df: DataFrame, id_col: str, text_col: str, k: int, mode:
     scored inside some tile, none is skipped, no frequency cap is applied.
     """
     feats = binary_features(df, id_col, text_col, mode)
-    return best_k(tiled_topk(feats, "binary_cosine", k, block_rows=block_rows), k)
+    hint = text_size_hint(df.where(df[id_col].isNotNull()), text_col)
+    return best_k(tiled_topk(feats, "binary_cosine", k, block_rows=block_rows, left_hint=hint), k)
 
 
 def embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -33,4 +34,5 @@ def dense_knn_topk(df: DataFrame, id_col: str, vec_col: str, k: int, block_rows:
     """Best k other rows by cosine of dense vectors, clamped to [0, 1]."""
     vecs = (df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
             .where(F.col("id").isNotNull() & F.col("vec").isNotNull()))
-    return best_k(tiled_topk(vecs, "dense_cosine", k, block_rows=block_rows), k)
+    n = vecs.count()  # column-pruned scan of the key only
+    return best_k(tiled_topk(vecs, "dense_cosine", k, block_rows=block_rows, left_hint=(n, 1.0)), k)

@@ -107,8 +107,16 @@ def _out_schema(df: DataFrame) -> str:
     return f"original_id {t}, potential_duplicate_id {t}, score double"
 
 
+def text_size_hint(df: DataFrame, text_col: str, chars_per_feature: float = 6.0):
+    """(rows, estimated features per row) from the raw text: one cheap
+    aggregate (no tokenising), used to size blocks before features exist."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length(text_col)).alias("c")).first()
+    return int(row["n"]), float(row["c"] or 0.0) / chars_per_feature
+
+
 def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = None,
-               block_rows: int | None = None, exclude_same_id: bool = True) -> DataFrame:
+               block_rows: int | None = None, exclude_same_id: bool = True,
+               left_hint: tuple[int, float] | None = None, right_hint: tuple[int, float] | None = None) -> DataFrame:
     """Best ``k`` partners per left row (pairs with no overlap are no candidates
     for sparse kinds). ``right=None`` is the self join: each unordered block
     pair is computed once and serves both directions.
@@ -116,6 +124,10 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     Input columns: ``id`` plus ``f`` / ``f, w`` / ``vec`` for the kind.
     Output: ``original_id, potential_duplicate_id, score`` (raw, unrounded),
     at most ``k`` per original *per tile*; merge with ``best_k``.
+
+    Block counts need the row counts: ``*_hint`` = (rows, mean features per
+    row) from a cheap aggregate upstream; without a hint one aggregate runs
+    over the given frame.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
@@ -123,7 +135,7 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     fn_schema = _out_schema(left)
     if right is None:
         rows = left.select(*cols)
-        n, mean_len = _size_stats(rows, kind)
+        n, mean_len = left_hint or _size_stats(rows, kind)
         br = choose_block_rows(mean_len, block_rows)
         nb = max(1, math.ceil(n / br))
         tiles = rows.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
@@ -133,8 +145,8 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
         return tiles.groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
     l_rows = left.select(*cols)
     r_rows = right.select(*cols)
-    nl, ml = _size_stats(l_rows, kind)
-    nr, mr = _size_stats(r_rows, kind)
+    nl, ml = left_hint or _size_stats(l_rows, kind)
+    nr, mr = right_hint or _size_stats(r_rows, kind)
     br = choose_block_rows(max(ml, mr), block_rows)
     bl, bR = max(1, math.ceil(nl / br)), max(1, math.ceil(nr / br))
     lt = l_rows.select(*cols, F.lit(0).alias("_side"),
