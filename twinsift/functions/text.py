@@ -64,7 +64,7 @@ def with_combined_text(df: DataFrame, exclude, sep: str = COMBINED_SEPARATOR,
 
 def word_tokens(text: Column, pattern: str = WORD_PATTERN) -> Column:
     """Lower-cased tokens, empty strings removed (array<string>, in order)."""
-    return F.filter(F.split(F.lower(text), pattern), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(F.lower(text), pattern), "")
 
 
 def word_shingles(tokens: Column, n: int = SHINGLE_WORDS) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsift.functions.text import WORD_PATTERN, with_features, word_tokens
-from twinsift.sources.tables import ensure_parallel
+from twinsift.sources.tables import ensure_parallel, materialize
 
 # Fixed BM25 parameters (Robertson & Zaragoza 2009).
 BM25_K1 = 1.2
@@ -26,47 +26,66 @@ def binary_features(df: DataFrame, id_col: str, text_col: str, mode: str = "shin
     return with_features(ensure_parallel(rows), "_text", mode, keep=["id"])
 
 
-def bm25_weights(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1, b: float = BM25_B,
-                 salts: int = 16, with_stats: bool = False):
-    """(id, f, w): per-document BM25 term weights over word tokens.
-
-    weight(d, t) = idf(t) * tf (k1 + 1) / (tf + k1 (1 - b + b |d| / avgdl)),
-    idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
-    Term frequencies are a partial aggregate per (doc, term); document
-    frequencies a partial aggregate per term; the join back to the terms is
-    salted because a stop word sits in nearly every document. N and avgdl
-    are two scalars from one aggregate. ``with_stats`` also returns
-    (N, avgdl) for block sizing downstream.
+def _tf_weights(hashes: pd.Series, k1: float, b: float, avgdl: float) -> pd.DataFrame:
+    """Per document: distinct term hashes and tf (k1 + 1) / (tf + k1 (1 - b + b |d| / avgdl))."""
+    fs, ws = [], []
+    for h in hashes:
+        if h is None or len(h) == 0:
+            fs.append(np.zeros(0, dtype=np.int64))
+            ws.append(np.zeros(0, dtype=np.float64))
+            continue
+        terms, tf = np.unique(np.asarray(h, dtype=np.int64), return_counts=True)
+        tf = tf.astype(np.float64)
+        norm = k1 * ((1.0 - b) + b * len(h) / avgdl)
+        fs.append(terms)
+        ws.append(tf * (k1 + 1.0) / (tf + norm))
+    return pd.DataFrame({"f": fs, "w": ws})
+
+
+def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1, b: float = BM25_B):
+    """BM25 split into its two factors (Robertson & Zaragoza 2009):
+
+    score(q, d) = sum over t in q and d of idf(t) * tf (k1 + 1) / (tf + k1 (1 - b + b |d| / avgdl))
+    idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5))
+
+    The document factor needs only the document itself (computed per row,
+    no shuffle); idf goes to the query side. Returns
+    ``(doc_vectors(id, f, w), doc_freq(h, df), N, avgdl)``; document
+    frequencies are a partial aggregate, so a stop word costs one row per
+    partition before the shuffle.
     """
-    from twinsift.operators.tiles import salted_join
-
-    rows = ensure_parallel(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")))
-    toks = rows.select("id", word_tokens(F.col("_text"), WORD_PATTERN).alias("toks"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
+    rows = ensure_parallel(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
+                           .where(F.col("id").isNotNull()))
+    toks = rows.select("id", word_tokens(F.col("_text"), WORD_PATTERN).alias("_toks"))
+    hashed = materialize(toks.select("id", F.transform("_toks", lambda t: F.xxhash64(t)).alias("h")))
+    stats = hashed.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("h")).alias("avgdl")).first()
     n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    if n == 0:
-        empty = toks.select("id", F.array().cast("array<bigint>").alias("f"),
-                            F.array().cast("array<double>").alias("w")).limit(0)
-        return (empty, (0, 0.0)) if with_stats else empty
-    lens = toks.select("id", F.size("toks").alias("dl"), F.explode("toks").alias("t"))
-    tf = lens.groupBy("id", "dl", "t").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    joined = salted_join(tf, dfreq, "t", salts, salt_by="id")
-    idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
-    weighted = joined.select("id", F.xxhash64("t").alias("h"),
-                             (idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)).alias("wt"))
-    out = (weighted.groupBy("id")
-           .agg(F.collect_list(F.struct("h", "wt")).alias("tw"))
-           .select("id", F.col("tw.h").alias("f"), F.col("tw.wt").alias("w")))
-    return (out, (n, avgdl)) if with_stats else out
+    avg = avgdl if avgdl > 0 else 1.0
 
+    @F.pandas_udf("struct<f: array<bigint>, w: array<double>>")
+    def _weights(h: pd.Series) -> pd.DataFrame:
+        return _tf_weights(h, k1, b, avg)
 
-def query_features(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, f, w): distinct word tokens of a query text, each weighted 1."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
-    return (with_features(rows, "_text", "words", keep=["id"])
-            .select("id", "f", F.transform("f", lambda _: F.lit(1.0)).alias("w")))
+    vectors = hashed.select("id", _weights("h").alias("v")).select("id", "v.f", "v.w")
+    doc_freq = (hashed.select(F.explode(F.array_distinct("h")).alias("h"))
+                .groupBy("h").agg(F.count(F.lit(1)).alias("df")))
+    return vectors, doc_freq, n, avgdl
+
+
+def bm25_query_vectors(queries: DataFrame, id_col: str, text_col: str, doc_freq: DataFrame, n: int) -> DataFrame:
+    """(id, f, w): distinct query words weighted by their idf in the corpus.
+
+    Words absent from the corpus drop out (no document could match them).
+    The join is on the word; a word present in most queries is a skewed key
+    on the query side only, which AQE's skew-join handling splits.
+    """
+    rows = queries.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
+    q = with_features(ensure_parallel(rows), "_text", "words", keep=["id"])
+    terms = q.select("id", F.explode("f").alias("h"))
+    idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
+    weighted = terms.join(doc_freq, "h").select("id", "h", idf.alias("idf"))
+    return (weighted.groupBy("id").agg(F.collect_list(F.struct("h", "idf")).alias("t"))
+            .select("id", F.col("t.h").alias("f"), F.col("t.idf").alias("w")))
 
 
 def _hash_embed_batch(texts: pd.Series, dim: int, gram: int) -> pd.Series:

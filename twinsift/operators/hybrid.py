@@ -14,6 +14,7 @@ from twinsift.functions.vectorize import binary_features
 from twinsift.operators.candidates import best_k
 from twinsift.operators.keyword import bm25_self_topk
 from twinsift.operators.tiles import text_size_hint, tiled_topk
+from twinsift.sources.tables import materialize
 
 RRF_K = 60  # fixed constant of reciprocal-rank fusion
 
@@ -29,7 +30,7 @@ def hybrid_topk(texts: DataFrame, id_col: str, text_col: str, k: int, text_mode:
     feature sets, joined after the top-k (at most k rows per original).
     """
     leg_k = int(leg_k or 2 * k)
-    feats = binary_features(texts, id_col, text_col, text_mode)
+    feats = materialize(binary_features(texts, id_col, text_col, text_mode))
     hint = text_size_hint(texts.where(texts[id_col].isNotNull()), text_col)
     vec = best_k(tiled_topk(feats, "binary_cosine", leg_k, block_rows=block_rows, left_hint=hint), leg_k,
                  keep_rank=True)

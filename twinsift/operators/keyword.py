@@ -4,34 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from twinsift.functions.vectorize import bm25_weights, query_features
+from twinsift.functions.vectorize import bm25_index, bm25_query_vectors
 from twinsift.operators.candidates import best_k
 from twinsift.operators.tiles import text_size_hint, tiled_topk
 
 
 def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, doc_id: str, doc_text: str,
-              k: int, block_rows: int | None = None, exclude_same_id: bool = False) -> DataFrame:
+              k: int, block_rows: int | None = None, exclude_same_id: bool = False, keep_rank: bool = False,
+              self_search: bool = False) -> DataFrame:
     """Best k documents per query by BM25 over distinct query words.
 
     Output (original_id = query id, potential_duplicate_id = doc id,
     bm25_score rounded to 6 decimals). Documents sharing no word with the
-    query are no candidates. The score is a sparse dot product of binary
-    query vectors with BM25-weighted document vectors, computed in tiles, so
-    a stop word in every document never becomes a hot join key.
+    query are no candidates. The score is a sparse dot product of idf-weighted
+    query vectors with tf-weighted document vectors, computed in tiles, so a
+    stop word in every document never becomes a hot join key.
     """
-    q = query_features(queries, query_id, query_text)
-    q_hint = text_size_hint(queries.where(queries[query_id].isNotNull()), query_text)
-    d, (n, avgdl) = bm25_weights(docs.where(docs[doc_id].isNotNull()), doc_id, doc_text, with_stats=True)
-    pairs = tiled_topk(q, "dot", k, right=d, block_rows=block_rows, exclude_same_id=exclude_same_id,
+    vectors, doc_freq, n, avgdl = bm25_index(docs, doc_id, doc_text)
+    q = bm25_query_vectors(queries, query_id, query_text, doc_freq, n)
+    q_hint = (n, avgdl) if self_search else text_size_hint(queries.where(queries[query_id].isNotNull()), query_text)
+    pairs = tiled_topk(q, "dot", k, right=vectors, block_rows=block_rows, exclude_same_id=exclude_same_id,
                        left_hint=q_hint, right_hint=(n, avgdl))
-    return best_k(pairs, k, out_col="bm25_score")
+    return best_k(pairs, k, out_col="bm25_score", keep_rank=keep_rank)
 
 
 def bm25_self_topk(texts: DataFrame, id_col: str, text_col: str, k: int, block_rows: int | None = None,
                    keep_rank: bool = False) -> DataFrame:
     """Each row's text as the query against all other rows (hybrid's keyword leg)."""
-    q = query_features(texts, id_col, text_col)
-    d, (n, avgdl) = bm25_weights(texts.where(texts[id_col].isNotNull()), id_col, text_col, with_stats=True)
-    pairs = tiled_topk(q, "dot", k, right=d, block_rows=block_rows, exclude_same_id=True,
-                       left_hint=(n, avgdl), right_hint=(n, avgdl))
-    return best_k(pairs, k, out_col="bm25_score", keep_rank=keep_rank)
+    return bm25_topk(texts, id_col, text_col, texts, id_col, text_col, k, block_rows=block_rows,
+                     exclude_same_id=True, keep_rank=keep_rank, self_search=True)

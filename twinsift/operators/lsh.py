@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from twinsift.functions.vectorize import binary_features
 from twinsift.operators.candidates import best_k
 from twinsift.operators.tiles import grouped_tiled_topk
+from twinsift.sources.tables import materialize
 
 MINHASH_BANDS, MINHASH_ROWS = 16, 4
 HYPERPLANE_BANDS, HYPERPLANE_ROWS = 16, 8
@@ -75,8 +76,9 @@ def band_keys(signature: Column, bands: int, rows: int) -> Column:
                        lambda i: F.xxhash64(i, F.slice(signature, i * rows + 1, F.lit(rows))))
 
 
-def _bucketed_topk(rows: DataFrame, kind: str, k: int, block_rows: int | None) -> DataFrame:
-    pairs = grouped_tiled_topk(rows, kind, k, block_rows=block_rows)
+def _bucketed_topk(memberships: DataFrame, payload: DataFrame, kind: str, k: int, block_rows: int | None,
+                   n_rows: int) -> DataFrame:
+    pairs = grouped_tiled_topk(memberships, kind, k, block_rows=block_rows, n_rows=n_rows, payload=payload)
     pairs = pairs.groupBy("original_id", "potential_duplicate_id").agg(F.max("score").alias("score"))
     return best_k(pairs, k)
 
@@ -85,10 +87,11 @@ def minhash_topk(texts: DataFrame, id_col: str, text_col: str, k: int, mode: str
                  bands: int = MINHASH_BANDS, rows: int = MINHASH_ROWS, block_rows: int | None = None) -> DataFrame:
     """Best k partners among rows sharing a MinHash band (exact cosine)."""
     feats = binary_features(texts, id_col, text_col, mode)
-    sig = feats.select("id", "f", minhash_signature(F.col("f"), bands * rows).alias("sig"))
+    sig = materialize(feats.select("id", "f", minhash_signature(F.col("f"), bands * rows).alias("sig")))
     keyed = sig.where(F.col("sig").isNotNull()).select(
-        "id", "f", F.explode(band_keys(F.col("sig"), bands, rows)).alias("grp"))
-    return _bucketed_topk(keyed, "binary_cosine", k, block_rows)
+        "id", F.explode(band_keys(F.col("sig"), bands, rows)).alias("grp"))
+    n = sig.count() * bands
+    return _bucketed_topk(keyed, sig.select("id", "f"), "binary_cosine", k, block_rows, n)
 
 
 def hyperplane_topk(df: DataFrame, id_col: str, vec_col: str, k: int, bands: int = HYPERPLANE_BANDS,
@@ -96,6 +99,6 @@ def hyperplane_topk(df: DataFrame, id_col: str, vec_col: str, k: int, bands: int
     """Best k partners among rows sharing a hyperplane band (exact cosine)."""
     vecs = (df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
             .where(F.col("id").isNotNull() & F.col("vec").isNotNull()))
-    bits = vecs.select("id", "vec", hyperplane_bits(F.col("vec"), bands * rows).alias("bits"))
-    keyed = bits.select("id", "vec", F.explode(band_keys(F.col("bits"), bands, rows)).alias("grp"))
-    return _bucketed_topk(keyed, "dense_cosine", k, block_rows)
+    bits = materialize(vecs.select("id", "vec", hyperplane_bits(F.col("vec"), bands * rows).alias("bits")))
+    keyed = bits.select("id", F.explode(band_keys(F.col("bits"), bands, rows)).alias("grp"))
+    return _bucketed_topk(keyed, bits.select("id", "vec"), "dense_cosine", k, block_rows, bits.count() * bands)

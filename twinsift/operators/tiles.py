@@ -28,7 +28,7 @@ from twinsift.functions import kernels
 
 KINDS = ("binary_cosine", "dot", "dense_cosine")
 DEFAULT_BLOCK_ROWS = 2048
-FEATURES_PER_BLOCK = 2_000_000  # caps a tile's memory for long texts
+FEATURES_PER_BLOCK = 6_000_000  # caps a tile's memory for long texts (~100 MB of features per tile)
 
 
 def _payload_cols(kind: str) -> list[str]:
@@ -94,12 +94,17 @@ def _size_stats(df: DataFrame, kind: str):
     return int(row["n"]), float(row["m"] or 0.0)
 
 
-def choose_block_rows(mean_len: float, block_rows: int | None) -> int:
+def choose_block_rows(mean_len: float, block_rows: int | None, n_rows: int = 0, parallelism: int = 1) -> int:
+    """Rows per block: bounded by the feature budget of one tile, and small
+    enough that the self join has at least ~2 tiles per core."""
     if block_rows:
         return int(block_rows)
-    if mean_len <= 0:
-        return DEFAULT_BLOCK_ROWS
-    return int(max(64, min(DEFAULT_BLOCK_ROWS, FEATURES_PER_BLOCK // max(1.0, mean_len))))
+    by_memory = DEFAULT_BLOCK_ROWS if mean_len <= 0 else FEATURES_PER_BLOCK // max(1.0, mean_len)
+    nb_min = 1
+    while nb_min * (nb_min + 1) // 2 < 2 * parallelism:
+        nb_min += 1
+    by_cores = math.ceil(n_rows / nb_min) if n_rows else DEFAULT_BLOCK_ROWS
+    return int(max(64, min(DEFAULT_BLOCK_ROWS, by_memory, by_cores)))
 
 
 def _out_schema(df: DataFrame) -> str:
@@ -136,7 +141,7 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     if right is None:
         rows = left.select(*cols)
         n, mean_len = left_hint or _size_stats(rows, kind)
-        br = choose_block_rows(mean_len, block_rows)
+        br = choose_block_rows(mean_len, block_rows, n, left.sparkSession.sparkContext.defaultParallelism)
         nb = max(1, math.ceil(n / br))
         tiles = rows.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
         tiles = tiles.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
@@ -147,7 +152,7 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     r_rows = right.select(*cols)
     nl, ml = left_hint or _size_stats(l_rows, kind)
     nr, mr = right_hint or _size_stats(r_rows, kind)
-    br = choose_block_rows(max(ml, mr), block_rows)
+    br = choose_block_rows(max(ml, mr), block_rows, max(nl, nr), left.sparkSession.sparkContext.defaultParallelism)
     bl, bR = max(1, math.ceil(nl / br)), max(1, math.ceil(nr / br))
     lt = l_rows.select(*cols, F.lit(0).alias("_side"),
                        F.pmod(F.xxhash64("id"), F.lit(bl)).cast("int").alias("_ti"),
@@ -159,27 +164,86 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     return lt.unionByName(rt).groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
 
 
+def _bucket_function(kind: str, k: int):
+    """Tile function for bucket tiles: a packed group of small buckets (each
+    scored on its own) or one block pair of a large bucket."""
+    tile = _tile_function(kind, k, True, True)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["_ti"].iat[0] >= 0:
+            return tile(pdf)
+        parts = [_emit(g, g, *_scores(kind, g, g), k, True)
+                 for _, g in pdf.groupby("grp", sort=False) if len(g) > 1]
+        parts = [p for p in parts if len(p)]
+        if not parts:
+            return pd.DataFrame({"original_id": pdf["id"].iloc[:0], "potential_duplicate_id": pdf["id"].iloc[:0],
+                                 "score": np.zeros(0)})
+        return pd.concat(parts, ignore_index=True)
+    return run
+
+
 def grouped_tiled_topk(rows: DataFrame, kind: str, k: int, block_rows: int | None = None,
-                       salts: int = 16) -> DataFrame:
+                       salts: int = 16, n_rows: int | None = None, payload: DataFrame | None = None) -> DataFrame:
     """``tiled_topk`` inside each value of ``grp`` (LSH buckets).
 
-    Bucket sizes come from a partial aggregate; a bucket of any size (one
-    holding a third of the table included) is split into bounded blocks, so
-    no task ever receives more than two blocks. Singleton buckets are dropped
-    before anything is replicated. The size table joins back through a salted
-    key, so a hot bucket is spread over ``salts`` tasks.
+    ``rows`` are thin memberships (grp, id); ``payload`` is (id, features),
+    one row per id, joined only to memberships of buckets with two or more
+    rows (``rows`` may carry the payload itself when ``payload`` is None).
+
+    * Bucket sizes are a partial aggregate of the thin memberships;
+      singleton buckets drop out before any feature is attached.
+    * Buckets of at most ``block_rows`` rows (nearly all) are packed: grouped
+      by ``hash(grp) mod P`` with P = rows / block_rows, so one task scores
+      many small buckets.
+    * A bucket above ``block_rows`` -- one holding a third of the table
+      included -- is split into blocks and scored block pair by block pair,
+      never expanded into all its pairs; its memberships reach the size
+      table through ``hot_key_join`` (salted), not through one task.
     """
     cols = ["id"] + _payload_cols(kind)
     br = int(block_rows or DEFAULT_BLOCK_ROWS)
-    sizes = (rows.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > 1)
-             .select("grp", F.ceil(F.col("_n") / F.lit(br)).cast("int").alias("_nb")))
-    sized = salted_join(rows.select("grp", *cols), sizes, "grp", salts, salt_by="id")
-    tiles = sized.withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
-    tiles = tiles.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
-    tiles = tiles.select("grp", *cols, "_b", F.least("_b", "_j").alias("_ti"), F.greatest("_b", "_j").alias("_tj"))
-    fn = _tile_function(kind, k, True, True)
-    return tiles.groupBy("grp", "_ti", "_tj").applyInPandas(fn, _out_schema(rows))
+    memb = rows.select("grp", "id")
+    n = n_rows if n_rows is not None else memb.count()
+    packs = max(1, math.ceil(n / br))
+    sizes = memb.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    multi = hot_key_join(memb, sizes, "grp", n, salts)
+    data = payload if payload is not None else rows.select(*cols).dropDuplicates(["id"])
+    sized = multi.join(data.select(*cols), "id")
+    is_large = F.col("_n") > F.lit(br)
+    small = (sized.where(~is_large)
+             .select(F.pmod(F.xxhash64("grp"), F.lit(packs)).alias("_key"), "grp", *cols,
+                     F.lit(-1).alias("_b"), F.lit(-1).alias("_ti"), F.lit(-1).alias("_tj")))
+    nb = F.ceil(F.col("_n") / F.lit(br)).cast("int")
+    big = sized.where(is_large).withColumn("_nb", nb).withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
+    big = big.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    big = big.select(F.col("grp").alias("_key"), "grp", *cols, "_b",
+                     F.least("_b", "_j").alias("_ti"), F.greatest("_b", "_j").alias("_tj"))
+    tiles = small.unionByName(big)
+    return tiles.groupBy("_key", "_ti", "_tj").applyInPandas(_bucket_function(kind, k), _out_schema(data))
+
+
+MAX_HOT_KEYS = 10_000
+
+
+def hot_key_join(big: DataFrame, counts: DataFrame, key: str, n_big: int, salts: int = 16,
+                 salt_by: str = "id") -> DataFrame:
+    """Inner join of ``big`` with ``counts`` (one row per key, ``_n`` = rows
+    of that key in ``big``) that stays balanced when one key holds a third
+    of ``big``.
+
+    Hot keys are those above ``n_big / MAX_HOT_KEYS`` rows, so there are at
+    most ``MAX_HOT_KEYS`` of them whatever the data size: that list is the
+    only broadcast. Rows of hot keys are salted over ``salts`` tasks and the
+    matching count rows replicated; all other keys join unsalted.
+    """
+    limit = float(n_big) / MAX_HOT_KEYS
+    hot = counts.where(F.col("_n") > F.lit(limit)).select(key, F.lit(True).alias("_hot"))
+    flagged = big.join(F.broadcast(hot), key, "left")
+    b = flagged.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+                           .otherwise(F.lit(0)).cast("int")).drop("_hot")
+    s = counts.withColumn("_salt", F.explode(F.when(F.col("_n") > F.lit(limit), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                            .otherwise(F.array(F.lit(0)))))
+    return b.join(s, [key, "_salt"]).drop("_salt")
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int, how: str = "inner",

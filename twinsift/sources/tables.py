@@ -37,6 +37,16 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     return df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a costly intermediate once for several consumers: a reliable
+    ``checkpoint`` into the shared folder named by ``spark.checkpoint.dir``
+    (a lost executor then costs a re-read, not a recomputation chain)."""
+    from twinsift.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def write_overwrite(df: DataFrame, name: str, comments: dict[str, str] | None = None) -> None:
     """S8 (+S10): overwrite a parquet table or path; column comments are set
     as field metadata so they travel with the schema."""
