@@ -10,6 +10,7 @@ import numpy as np
 
 EXPAND_CHUNK = 4_000_000  # partial products materialised at once (light features)
 DENSE_COL_CHUNK = 512     # heavy features turned into dense columns at once
+DENSE_RATIO = 64          # a feature goes dense when df_l * df_r > n_left * n_right / DENSE_RATIO
 
 
 def flatten(lists, with_weights=None):
@@ -46,22 +47,26 @@ def sparse_dot(l_rows, l_feat, l_w, n_left, r_rows, r_feat, r_w, n_right):
     df_l = np.bincount(li, minlength=v)
     df_r = np.bincount(ri, minlength=v)
     work = df_l * df_r
-    heavy = work * 16 > n_left * n_right
+    heavy = work * DENSE_RATIO > n_left * n_right
     # heavy features: dense columns, matrix product
     hv = np.flatnonzero(heavy & (work > 0))
     if hv.size:
         hid = np.full(v, -1, dtype=np.int64)
         hid[hv] = np.arange(hv.size)
         lh, rh = hid[li], hid[ri]
+        # entries sorted by dense column, so each chunk is a slice
+        lo, ro = np.argsort(lh, kind="stable"), np.argsort(rh, kind="stable")
+        lh_s, rh_s = lh[lo], rh[ro]
         acc = out.reshape(n_left, n_right)
         for c0 in range(0, hv.size, DENSE_COL_CHUNK):
             c1 = min(c0 + DENSE_COL_CHUNK, hv.size)
-            ml = (lh >= c0) & (lh < c1)
-            mr = (rh >= c0) & (rh < c1)
+            la, lb = np.searchsorted(lh_s, [c0, c1])
+            ra, rb = np.searchsorted(rh_s, [c0, c1])
             a = np.zeros((n_left, c1 - c0))
             b = np.zeros((n_right, c1 - c0))
-            np.add.at(a, (l_rows[ml], lh[ml] - c0), l_w[ml])
-            np.add.at(b, (r_rows[mr], rh[mr] - c0), r_w[mr])
+            # features are distinct within a row: plain assignment, no scatter-add
+            a[l_rows[lo[la:lb]], lh_s[la:lb] - c0] = l_w[lo[la:lb]]
+            b[r_rows[ro[ra:rb]], rh_s[ra:rb] - c0] = r_w[ro[ra:rb]]
             acc += a @ b.T
     # light features: expansion of matching entries
     order = np.argsort(ri, kind="stable")
