@@ -24,13 +24,23 @@ def best_k(pairs: DataFrame, k: int, score_col: str = "score", out_col: str = "s
     return ranked.select(*cols)
 
 
-def attach_texts(top: DataFrame, texts: DataFrame) -> DataFrame:
+def attach_texts(top: DataFrame, texts: DataFrame, k: int = DEFAULT_NUM_RESULTS, n_rows: int | None = None) -> DataFrame:
     """J7: both texts joined *after* top-k, so text never rides through the
-    pair computation. ``texts`` is (id, text)."""
+    pair computation. ``texts`` is (id, text).
+
+    An original appears at most k times, but one partner may be named by a
+    third of the table (the smallest id of a big copy cluster), so the
+    partner-side join is skew-safe: that partner's text is replicated to a
+    few salted tasks instead of all its rows meeting in one.
+    """
+    from twinsift.operators.tiles import skew_join
+
+    n = n_rows if n_rows is not None else texts.count()
     o = texts.select(F.col("id").alias("original_id"), F.col("text").alias("original_combined_data"))
     p = texts.select(F.col("id").alias("potential_duplicate_id"),
                      F.col("text").alias("potential_duplicate_combined_data"))
-    return top.join(o, "original_id").join(p, "potential_duplicate_id").select(*CANDIDATE_COLUMNS)
+    with_o = top.join(o, "original_id")
+    return skew_join(with_o, p, "potential_duplicate_id", n * k, salt_by="original_id").select(*CANDIDATE_COLUMNS)
 
 
 def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode: str = "shingles",
@@ -67,7 +77,7 @@ def similarity_topk(df: DataFrame, primary_key: str, text_col: str = COMBINED_CO
     texts = (df.select(F.col(primary_key).alias("id"), F.col(text_col).alias("text"))
              .where(F.col("id").isNotNull()))
     top = similarity_pairs(texts, k, method, text_mode, block_rows)
-    return attach_texts(top, texts)
+    return attach_texts(top, texts, k)
 
 
 def detect_candidates(df: DataFrame, spec: EntitySpec, k: int = DEFAULT_NUM_RESULTS, method: str = "exact",

@@ -225,25 +225,35 @@ def grouped_tiled_topk(rows: DataFrame, kind: str, k: int, block_rows: int | Non
 MAX_HOT_KEYS = 10_000
 
 
-def hot_key_join(big: DataFrame, counts: DataFrame, key: str, n_big: int, salts: int = 16,
-                 salt_by: str = "id") -> DataFrame:
-    """Inner join of ``big`` with ``counts`` (one row per key, ``_n`` = rows
-    of that key in ``big``) that stays balanced when one key holds a third
-    of ``big``.
-
-    Hot keys are those above ``n_big / MAX_HOT_KEYS`` rows, so there are at
-    most ``MAX_HOT_KEYS`` of them whatever the data size: that list is the
-    only broadcast. Rows of hot keys are salted over ``salts`` tasks and the
-    matching count rows replicated; all other keys join unsalted.
+def skew_join(big: DataFrame, small: DataFrame, key: str, n_big: int, salts: int = 16,
+              salt_by: str = "id", counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """Join ``big`` with ``small`` (one row per key) so that a key holding a
+    third of ``big`` is spread over ``salts`` tasks instead of one.
+
+    Hot keys are those with more than ``n_big / MAX_HOT_KEYS`` rows in
+    ``big``; there are at most ``MAX_HOT_KEYS`` of them whatever the data
+    size, and that list is the only broadcast. Rows of hot keys get a salt
+    from ``salt_by``; the matching ``small`` rows are replicated ``salts``
+    times; every other key joins unsalted. ``counts`` (key, ``_n``) may be
+    passed when known; otherwise it is a partial aggregate over ``big``.
     """
-    limit = float(n_big) / MAX_HOT_KEYS
+    limit = float(max(n_big, 1)) / MAX_HOT_KEYS
+    if counts is None:
+        counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > F.lit(limit)).select(key, F.lit(True).alias("_hot"))
-    flagged = big.join(F.broadcast(hot), key, "left")
-    b = flagged.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-                           .otherwise(F.lit(0)).cast("int")).drop("_hot")
-    s = counts.withColumn("_salt", F.explode(F.when(F.col("_n") > F.lit(limit), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                            .otherwise(F.array(F.lit(0)))))
-    return b.join(s, [key, "_salt"]).drop("_salt")
+    b = (big.join(F.broadcast(hot), key, "left")
+         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+                     .otherwise(F.lit(0)).cast("int")).drop("_hot"))
+    s = (small.join(F.broadcast(hot), key, "left")
+         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                       .otherwise(F.array(F.lit(0))))).drop("_hot"))
+    return b.join(s, [key, "_salt"], how).drop("_salt")
+
+
+def hot_key_join(big: DataFrame, counts: DataFrame, key: str, n_big: int, salts: int = 16,
+                 salt_by: str = "id") -> DataFrame:
+    """``skew_join`` of memberships with their own bucket sizes (``_n``)."""
+    return skew_join(big, counts, key, n_big, salts, salt_by, counts=counts)
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int, how: str = "inner",
