@@ -16,7 +16,7 @@ COMBINED_COLUMN = "combined_data"
 HIGH_SCORE_CUTOFF = 0.99  # strict ">" in the pair statistic
 PERFECT_SCORE = 1.0
 
-METHODS = ("exact", "dense", "hybrid", "lsh", "minhash")
+METHODS = ("auto", "exact", "dense", "hybrid", "lsh", "minhash")
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ class JobParams:
 
     catalog: str
     num_results: int = DEFAULT_NUM_RESULTS
-    method: str = "exact"
+    method: str = "auto"
     embedding_model: str = "hashed-char-ngrams"
     thresholds: tuple[float, ...] = field(default=DEFAULT_THRESHOLDS)
     entities: tuple[EntitySpec, ...] = ()

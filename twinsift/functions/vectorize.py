@@ -73,22 +73,29 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1,
 
 
 def bm25_query_vectors(queries: DataFrame, id_col: str, text_col: str, doc_freq: DataFrame, n: int,
-                       n_query_terms: int | None = None) -> DataFrame:
+                       n_query_terms: int | None = None, self_search: bool = False) -> DataFrame:
     """(id, f, w): distinct query words weighted by their idf in the corpus.
 
     Words absent from the corpus drop out (no document could match them).
     A stop word present in most queries is a hot key of the term rows: the
     join with the document frequencies is ``skew_join`` (bounded hot list,
-    salted), so it never lands in one task.
+    salted), so it never lands in one task. In self-search the queries are
+    the documents, so the per-term query counts are the document
+    frequencies themselves; otherwise the term rows are materialised once.
     """
     from twinsift.operators.tiles import skew_join
 
     rows = queries.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
     q = with_features(ensure_parallel(rows), "_text", "words", keep=["id"])
     terms = q.select("id", F.explode("f").alias("h"))
+    if self_search:
+        counts = doc_freq.select("h", F.col("df").alias("_n"))
+    else:
+        terms = materialize(terms)
+        counts = None
     n_terms = n_query_terms if n_query_terms is not None else terms.count()
     idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    weighted = skew_join(terms, doc_freq, "h", n_terms).select("id", "h", idf.alias("idf"))
+    weighted = skew_join(terms, doc_freq, "h", n_terms, counts=counts).select("id", "h", idf.alias("idf"))
     return (weighted.groupBy("id").agg(F.collect_list(F.struct("h", "idf")).alias("t"))
             .select("id", F.col("t.h").alias("f"), F.col("t.idf").alias("w")))
 

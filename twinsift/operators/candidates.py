@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from twinsift.config import COMBINED_COLUMN, DEFAULT_NUM_RESULTS, EntitySpec
 from twinsift.functions.text import with_combined_text
 
+EXACT_MAX_ROWS = 500_000  # "auto" switches from exact tiles to MinHash LSH above this
+
 CANDIDATE_COLUMNS = ["original_id", "original_combined_data", "potential_duplicate_id",
                      "potential_duplicate_combined_data", "search_score"]
 
@@ -34,8 +36,10 @@ def attach_texts(top: DataFrame, texts: DataFrame, k: int = DEFAULT_NUM_RESULTS,
     few salted tasks instead of all its rows meeting in one.
     """
     from twinsift.operators.tiles import skew_join
+    from twinsift.sources.tables import materialize
 
     n = n_rows if n_rows is not None else texts.count()
+    top = materialize(top)  # thin (N * k rows); read by the key counts and the join
     o = texts.select(F.col("id").alias("original_id"), F.col("text").alias("original_combined_data"))
     p = texts.select(F.col("id").alias("potential_duplicate_id"),
                      F.col("text").alias("potential_duplicate_combined_data"))
@@ -51,10 +55,16 @@ def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode:
     dense (cosine of hashed embeddings, or of ``vectors`` (id, vec) if given),
     hybrid (rank fusion of exact cosine and BM25, cosine reported),
     minhash / lsh (approximate candidates for features / vectors, exact
-    cosine). Every method reports a score in [0, 1], 1 = identical.
+    cosine), auto (exact up to ``EXACT_MAX_ROWS`` rows, minhash above: exact
+    all-pairs work grows with the square of the rows, LSH with the rows).
+    Every method reports a score in [0, 1], 1 = identical.
     """
     from twinsift.operators import knn, lsh, hybrid
 
+    if method == "auto":
+        n = texts.count()
+        method = "exact" if n <= EXACT_MAX_ROWS else "minhash"
+
     if method == "exact":
         return knn.sparse_cosine_topk(texts, "id", "text", k, mode=text_mode, block_rows=block_rows)
     if method == "dense":

@@ -254,19 +254,3 @@ def hot_key_join(big: DataFrame, counts: DataFrame, key: str, n_big: int, salts:
                  salt_by: str = "id") -> DataFrame:
     """``skew_join`` of memberships with their own bucket sizes (``_n``)."""
     return skew_join(big, counts, key, n_big, salts, salt_by, counts=counts)
-
-
-def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int, how: str = "inner",
-                salt_by: str | None = None) -> DataFrame:
-    """Equi-join where ``big`` may hold one key in a third of its rows.
-
-    ``big`` rows get a salt from the hash of ``salt_by`` (a column that varies
-    within a key); the one-row-per-key side is replicated ``salts`` times, so
-    a hot key spreads over ``salts`` tasks instead of one.
-    """
-    if salts <= 1:
-        return big.join(small, key, how)
-    by = F.col(salt_by) if salt_by else F.monotonically_increasing_id()
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
