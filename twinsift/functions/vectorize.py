@@ -72,8 +72,9 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1,
     return vectors, doc_freq, n, avgdl
 
 
-def bm25_query_vectors(queries: DataFrame, id_col: str, text_col: str, doc_freq: DataFrame, n: int,
-                       n_query_terms: int | None = None, self_search: bool = False) -> DataFrame:
+def bm25_query_vectors(queries: DataFrame | None, id_col: str, text_col: str, doc_freq: DataFrame, n: int,
+                       n_query_terms: int | None = None, self_search: bool = False,
+                       doc_vectors: DataFrame | None = None) -> DataFrame:
     """(id, f, w): distinct query words weighted by their idf in the corpus.
 
     Words absent from the corpus drop out (no document could match them).
@@ -85,9 +86,13 @@ def bm25_query_vectors(queries: DataFrame, id_col: str, text_col: str, doc_freq:
     """
     from twinsift.operators.tiles import skew_join
 
-    rows = queries.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
-    q = with_features(ensure_parallel(rows), "_text", "words", keep=["id"])
-    terms = q.select("id", F.explode("f").alias("h"))
+    if self_search and doc_vectors is not None:
+        # the queries are the documents: their distinct terms are already indexed
+        terms = doc_vectors.select("id", F.explode("f").alias("h"))
+    else:
+        rows = queries.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
+        q = with_features(ensure_parallel(rows), "_text", "words", keep=["id"])
+        terms = q.select("id", F.explode("f").alias("h"))
     if self_search:
         counts = doc_freq.select("h", F.col("df").alias("_n"))
     else:

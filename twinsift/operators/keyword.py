@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from twinsift.functions.vectorize import bm25_index, bm25_query_vectors
 from twinsift.operators.candidates import best_k
 from twinsift.operators.tiles import text_size_hint, tiled_topk
+from twinsift.sources.tables import materialize
 
 
 def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, doc_id: str, doc_text: str,
@@ -21,8 +22,11 @@ def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFram
     stop word in every document never becomes a hot join key.
     """
     vectors, doc_freq, n, avgdl = bm25_index(docs, doc_id, doc_text)
+    if self_search:
+        vectors = materialize(vectors)  # read by the tiles and as the query terms
     q = bm25_query_vectors(queries, query_id, query_text, doc_freq, n,
-                           n_query_terms=int(n * avgdl) if self_search else None, self_search=self_search)
+                           n_query_terms=int(n * avgdl) if self_search else None, self_search=self_search,
+                           doc_vectors=vectors if self_search else None)
     q_hint = (n, avgdl) if self_search else text_size_hint(queries.where(queries[query_id].isNotNull()), query_text)
     pairs = tiled_topk(q, "dot", k, right=vectors, block_rows=block_rows, exclude_same_id=exclude_same_id,
                        left_hint=q_hint, right_hint=(n, avgdl))
