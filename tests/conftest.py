@@ -21,7 +21,8 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.warehouse.dir", warehouse)
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
