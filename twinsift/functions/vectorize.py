@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsift.functions.text import WORD_PATTERN, with_features, word_tokens
+from twinsift.session import ship_package
 from twinsift.sources.tables import ensure_parallel, materialize
 
 # Fixed BM25 parameters (Robertson & Zaragoza 2009).
@@ -54,6 +55,7 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1,
     frequencies are a partial aggregate, so a stop word costs one row per
     partition before the shuffle.
     """
+    ship_package(docs.sparkSession)
     rows = ensure_parallel(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
                            .where(F.col("id").isNotNull()))
     toks = rows.select("id", word_tokens(F.col("_text"), WORD_PATTERN).alias("_toks"))
@@ -132,6 +134,7 @@ def hash_embed(text: Column, dim: int = EMBED_DIM, gram: int = EMBED_GRAM) -> Co
     """Embed a text column: signed feature hashing of byte n-grams, L2
     normalised, as ``array<float>`` -- a model-free stand-in for an embedding
     endpoint, vectorised per Arrow batch."""
+    ship_package()
 
     @F.pandas_udf("array<float>")
     def _embed(s: pd.Series) -> pd.Series:

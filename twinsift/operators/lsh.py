@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from twinsift.functions.vectorize import binary_features
 from twinsift.operators.candidates import best_k
 from twinsift.operators.tiles import grouped_tiled_topk
+from twinsift.session import ship_package
 from twinsift.sources.tables import materialize
 
 MINHASH_BANDS, MINHASH_ROWS = 16, 4
@@ -35,6 +36,7 @@ def _minhash_params(num: int, seed: int):
 def minhash_signature(features: Column, num: int = MINHASH_BANDS * MINHASH_ROWS, seed: int = SEED) -> Column:
     """array<bigint> of ``num`` minima of multiply-shift hashes of the features."""
     a, b = _minhash_params(num, seed)
+    ship_package()
 
     @F.pandas_udf("array<bigint>")
     def _sig(s: pd.Series) -> pd.Series:
@@ -53,6 +55,7 @@ def minhash_signature(features: Column, num: int = MINHASH_BANDS * MINHASH_ROWS,
 
 def hyperplane_bits(vec: Column, num: int = HYPERPLANE_BANDS * HYPERPLANE_ROWS, seed: int = SEED) -> Column:
     """array<int> sign bits of the vector against ``num`` seeded hyperplanes."""
+    ship_package()
 
     @F.pandas_udf("array<int>")
     def _bits(s: pd.Series) -> pd.Series:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinsift.functions import kernels
+from twinsift.session import ship_package
 
 KINDS = ("binary_cosine", "dot", "dense_cosine")
 DEFAULT_BLOCK_ROWS = 2048
@@ -136,6 +137,7 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
+    ship_package(left.sparkSession)
     cols = ["id"] + _payload_cols(kind)
     fn_schema = _out_schema(left)
     if right is None:
@@ -202,6 +204,7 @@ def grouped_tiled_topk(rows: DataFrame, kind: str, k: int, block_rows: int | Non
     """
     cols = ["id"] + _payload_cols(kind)
     br = int(block_rows or DEFAULT_BLOCK_ROWS)
+    ship_package(rows.sparkSession)
     memb = rows.select("grp", "id")
     n = n_rows if n_rows is not None else memb.count()
     packs = max(1, math.ceil(n / br))

@@ -50,3 +50,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="twinsift-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``twinsift`` importable in the Python workers (the pandas
+    functions are pickled by module reference), as ``--py-files`` would:
+    the package is zipped once per application and added with
+    ``addPyFile``, which Spark distributes to every executor."""
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="twinsift-pkg-"), "twinsift.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
