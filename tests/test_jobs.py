@@ -77,3 +77,23 @@ def test_setup_catalog_layers_and_overwrite_load(spark):
     assert t.where(F.col("alt_name_id") == 1).first().effective_date == datetime.date(2024, 1, 2)
     assert dict(t.dtypes)["effective_date"] == "date"
     assert "payer key" in [f.metadata.get("comment") for f in t.schema.fields]
+
+
+def test_no_matches_writes_empty_typed_candidates(spark, scratch):
+    df = spark.createDataFrame([(1, "alpha"), (2, "beta"), (3, "gamma")], "pid long, name string")
+    df.write.mode("overwrite").parquet(f"{scratch}/bronze/lonely")
+    layout = Layout(root=scratch)
+    spec = EntitySpec("lonely", "pid", ("pid",), 0.9, text_mode="tokens")
+    params = JobParams(catalog="c", entities=(spec,), method="exact")
+    # a stale candidate table from an earlier run must be replaced
+    spark.createDataFrame([(1, "x", 2, "y", 1.0)], "original_id long, original_combined_data string, "
+                          "potential_duplicate_id long, potential_duplicate_combined_data string, "
+                          "search_score double").write.mode("overwrite").parquet(layout.candidates(spec))
+    assert detect_entities(spark, params, layout)["lonely"] == "ok"
+    cands = read_table(spark, layout.candidates(spec))
+    assert cands.count() == 0
+    assert cands.columns == ["original_id", "original_combined_data", "potential_duplicate_id",
+                             "potential_duplicate_combined_data", "search_score"]
+    rep = dedupe_entities(spark, params, layout).first()
+    assert (rep.original_count, rep.removed_count) == (3, 0)
+    assert read_table(spark, layout.gold(spec)).count() == 3
