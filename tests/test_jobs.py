@@ -97,3 +97,22 @@ def test_no_matches_writes_empty_typed_candidates(spark, scratch):
     rep = dedupe_entities(spark, params, layout).first()
     assert (rep.original_count, rep.removed_count) == (3, 0)
     assert read_table(spark, layout.gold(spec)).count() == 3
+
+
+def test_pipeline_on_catalog_tables_with_comments_and_drop(spark):
+    from twinsift.sources.tables import set_column_comments
+    schemas.create_layers(spark, tables=(schemas.PAYER_ALT_NAME,))
+    rows = [(1, 10, "Acme Health", "2024-01-02", None), (2, 11, "Acme Health", "2024-01-02", None),
+            (3, 12, "Beta Care", "2023-05-06", "2024-01-01")]
+    schemas.load_rows(spark, "bronze.payer_alt_name", rows, schemas.PAYER_ALT_NAME.schema)
+    spec = EntitySpec("payer_alt_name", "alt_name_id", ("alt_name_id", "payer_id"), 0.98, text_mode="tokens")
+    params = JobParams(catalog="spark_catalog", entities=(spec,), drop_candidates_after_dedupe=True)
+    layout = Layout(catalog="spark_catalog")
+    out = run_pipeline(spark, params, layout)
+    assert out["detect"]["payer_alt_name"] == "ok"
+    assert sorted(r.alt_name_id for r in spark.table(layout.gold(spec)).collect()) == [1, 3]
+    assert not spark.catalog.tableExists(layout.candidates(spec))  # dropped on request
+    set_column_comments(spark, layout.analysis(), {"threshold": "cut-off it's for"})
+    desc = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {layout.analysis()}").collect()}
+    assert desc["threshold"] == "cut-off it's for"
+    assert desc["duplicate_count"]  # comment written with the table
