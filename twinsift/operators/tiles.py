@@ -108,6 +108,18 @@ def choose_block_rows(mean_len: float, block_rows: int | None, n_rows: int = 0,
     return int(max(64, min(DEFAULT_BLOCK_ROWS, by_memory, by_cores)))
 
 
+MAX_TILE_PARTITIONS = 200_000
+
+
+def _spread_tiles(tiles: DataFrame, keys: list[str], n_tiles: int) -> DataFrame:
+    """One shuffle partition per tile or so, fixed by us: a tile is small in
+    bytes but heavy in CPU, and AQE would otherwise coalesce many tiles into
+    a few tasks. ``groupBy`` on the same keys then reuses this partitioning."""
+    spark = tiles.sparkSession
+    n = min(MAX_TILE_PARTITIONS, max(2 * n_tiles, spark.sparkContext.defaultParallelism))
+    return tiles.repartition(n, *keys)
+
+
 def _out_schema(df: DataFrame) -> str:
     t = df.schema["id"].dataType.simpleString()
     return f"original_id {t}, potential_duplicate_id {t}, score double"
@@ -148,6 +160,7 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
         tiles = rows.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int"))
         tiles = tiles.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
         tiles = tiles.select(*cols, "_b", F.least("_b", "_j").alias("_ti"), F.greatest("_b", "_j").alias("_tj"))
+        tiles = _spread_tiles(tiles, ["_ti", "_tj"], nb * (nb + 1) // 2)
         fn = _tile_function(kind, k, True, True)
         return tiles.groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
     l_rows = left.select(*cols)
@@ -163,7 +176,8 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
                        F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("_ti"),
                        F.pmod(F.xxhash64("id"), F.lit(bR)).cast("int").alias("_tj"))
     fn = _tile_function(kind, k, False, exclude_same_id)
-    return lt.unionByName(rt).groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
+    tiles = _spread_tiles(lt.unionByName(rt), ["_ti", "_tj"], bl * bR)
+    return tiles.groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
 
 
 def _bucket_function(kind: str, k: int):
@@ -221,7 +235,7 @@ def grouped_tiled_topk(rows: DataFrame, kind: str, k: int, block_rows: int | Non
     big = big.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     big = big.select(F.col("grp").alias("_key"), "grp", *cols, "_b",
                      F.least("_b", "_j").alias("_ti"), F.greatest("_b", "_j").alias("_tj"))
-    tiles = small.unionByName(big)
+    tiles = _spread_tiles(small.unionByName(big), ["_key", "_ti", "_tj"], packs)
     return tiles.groupBy("_key", "_ti", "_tj").applyInPandas(_bucket_function(kind, k), _out_schema(data))
 
 
