@@ -40,6 +40,21 @@ def test_no_self_pairs_and_at_most_k(spark):
     assert 9 not in per  # shares no shingle
 
 
+def test_rows_without_features_get_no_candidates(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "x y"), (3, "p q r"), (4, "p q r")], "id long, t string")
+    got = sorted((r.original_id, r.potential_duplicate_id) for r in sparse_cosine_topk(df, "id", "t", 3).collect())
+    assert got == [(3, 4), (4, 3)]
+
+
+def test_collapse_equals_plain_tiles(spark):
+    part = spark.read.parquet(f"{SF0001}/part.parquet")
+    texts = part.select(F.col("p_partkey").alias("id"), F.concat_ws(",", "p_name", "p_type").alias("t"))
+    key = lambda r: (r.original_id, r.potential_duplicate_id, r.search_score)
+    a = sorted(map(key, sparse_cosine_topk(texts, "id", "t", 3, mode="tokens").collect()))
+    b = sorted(map(key, sparse_cosine_topk(texts, "id", "t", 3, mode="tokens", collapse_copies=False).collect()))
+    assert a == b and len(a) > 0
+
+
 def test_tie_on_score_lower_partner_id(spark):
     df = spark.createDataFrame([(1, "x y z"), (3, "x y z"), (2, "x y z")], "id long, t string")
     got = {r.original_id: r.potential_duplicate_id for r in sparse_cosine_topk(df, "id", "t", 1).collect()}
@@ -81,7 +96,7 @@ def test_hot_copy_cluster_is_split_into_bounded_tiles(spark):
 
 def test_plan_has_no_cartesian_product(spark):
     df = spark.createDataFrame([(i, f"a b c {i}") for i in range(20)], "id long, t string")
-    plan = sparse_cosine_topk(df, "id", "t", 3)._jdf.queryExecution().executedPlan().toString()
+    plan = sparse_cosine_topk(df, "id", "t", 3, collapse_copies=False)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "FlatMapGroupsInPandas" in plan or "FlatMapGroupsInArrow" in plan
 

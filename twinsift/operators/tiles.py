@@ -125,11 +125,19 @@ def _out_schema(df: DataFrame) -> str:
     return f"original_id {t}, potential_duplicate_id {t}, score double"
 
 
+def text_stats(df: DataFrame, text_col: str, chars_per_feature: float = 6.0):
+    """(rows, estimated features per row, approximate distinct texts) from
+    the raw text in one cheap aggregate (no tokenising): sizes the blocks and
+    tells whether exact copies are common enough to collapse first."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length(text_col)).alias("c"),
+                 F.approx_count_distinct(F.xxhash64(text_col)).alias("d")).first()
+    return int(row["n"]), float(row["c"] or 0.0) / chars_per_feature, int(row["d"] or 0)
+
+
 def text_size_hint(df: DataFrame, text_col: str, chars_per_feature: float = 6.0):
-    """(rows, estimated features per row) from the raw text: one cheap
-    aggregate (no tokenising), used to size blocks before features exist."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length(text_col)).alias("c")).first()
-    return int(row["n"]), float(row["c"] or 0.0) / chars_per_feature
+    """(rows, estimated features per row) for block sizing."""
+    n, m, _ = text_stats(df, text_col, chars_per_feature)
+    return n, m
 
 
 def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = None,
