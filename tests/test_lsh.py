@@ -41,3 +41,13 @@ def test_hyperplane_lsh_subset_with_exact_scores(spark):
     got = hyperplane_topk(emb, "vec_id", "embedding", 3).collect()
     assert got and all(0.0 <= r.search_score <= 1.0 for r in got)
     assert all(r.original_id != r.potential_duplicate_id for r in got)
+
+
+def test_minhash_collapse_equals_plain(spark):
+    rows = [(i, "the very same document text body") for i in range(0, 90, 3)]
+    rows += [(i, f"some words {i % 7} and more words {i % 5}") for i in range(1, 90) if i % 3]
+    df = spark.createDataFrame(rows, "id long, text string")
+    key = lambda r: (r.original_id, r.potential_duplicate_id, r.search_score)
+    a = sorted(map(key, minhash_topk(df, "id", "text", 3, collapse_copies=True).collect()))
+    b = sorted(map(key, minhash_topk(df, "id", "text", 3, collapse_copies=False).collect()))
+    assert a == b and len(a) > 0
