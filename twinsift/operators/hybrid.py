@@ -42,7 +42,8 @@ def hybrid_topk(texts: DataFrame, id_col: str, text_col: str, k: int, text_mode:
            + F.coalesce(F.lit(1.0) / (F.lit(RRF_K) + F.col("r_kw")), F.lit(0.0)))
     fused = fused.withColumn("rrf_score", F.round(rrf, 9))
     w = Window.partitionBy("original_id").orderBy(F.desc("rrf_score"), F.asc("potential_duplicate_id"))
-    top = fused.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    # thin (N * k rows); read twice below, so both legs run once
+    top = materialize(fused.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r"))
     known = top.where(F.col("search_score").isNotNull())
     missing = top.where(F.col("search_score").isNull()).drop("search_score")
     fo = feats.select(F.col("id").alias("original_id"), F.col("f").alias("fo"))
