@@ -44,7 +44,9 @@ def attach_texts(top: DataFrame, texts: DataFrame, k: int = DEFAULT_NUM_RESULTS,
     p = texts.select(F.col("id").alias("potential_duplicate_id"),
                      F.col("text").alias("potential_duplicate_combined_data"))
     with_o = top.join(o, "original_id")
-    return skew_join(with_o, p, "potential_duplicate_id", n * k, salt_by="original_id").select(*CANDIDATE_COLUMNS)
+    counts = top.groupBy("potential_duplicate_id").agg(F.count(F.lit(1)).alias("_n"))  # on the thin rows
+    return skew_join(with_o, p, "potential_duplicate_id", n * k, salt_by="original_id",
+                     counts=counts).select(*CANDIDATE_COLUMNS)
 
 
 def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode: str = "shingles",
