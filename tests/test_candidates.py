@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -78,13 +80,15 @@ def test_exact_topk_matches_brute_force_and_block_size(spark):
     assert got == {a: b for a, b in brute.items() if b}
 
 
-def test_hot_copy_cluster_is_split_into_bounded_tiles(spark):
+@pytest.mark.parametrize("collapse", [True, False])
+def test_hot_copy_cluster_is_split_into_bounded_tiles(spark, collapse):
     # a third of the rows are one text; the plan must still give every row
     # its k smallest-id copies, computed in tiles of at most 2 * block_rows
     rows = [(i, "same old record text here") for i in range(0, 300, 3)]
     rows += [(i, f"unique {i} words {i * 7} and {i * 13}") for i in range(1, 300) if i % 3]
     df = spark.createDataFrame(rows, "id long, t string")
-    got = sparse_cosine_topk(df, "id", "t", 3, block_rows=32).where("original_id % 3 = 0").collect()
+    got = sparse_cosine_topk(df, "id", "t", 3, block_rows=32, collapse_copies=collapse).where(
+        "original_id % 3 = 0").collect()
     per = {}
     for r in got:
         per.setdefault(r.original_id, []).append((r.potential_duplicate_id, r.search_score))

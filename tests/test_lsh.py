@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from twinsift.operators.knn import sparse_cosine_topk
@@ -26,10 +27,11 @@ def test_minhash_scores_are_exact_and_recall_is_high(spark):
     assert high and found / len(high) >= 0.9
 
 
-def test_minhash_hot_bucket(spark):
+@pytest.mark.parametrize("collapse", [True, False])
+def test_minhash_hot_bucket(spark, collapse):
     rows = [(i, "the very same document text body") for i in range(60)] + [(100, "another thing entirely else")]
     df = spark.createDataFrame(rows, "id long, text string")
-    got = minhash_topk(df, "id", "text", 2, block_rows=8).collect()
+    got = minhash_topk(df, "id", "text", 2, block_rows=8, collapse_copies=collapse).collect()
     per = {}
     for r in got:
         per.setdefault(r.original_id, []).append(r.potential_duplicate_id)
