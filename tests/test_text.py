@@ -41,3 +41,10 @@ def test_features_are_distinct_hashes(spark):
     df = spark.createDataFrame([(1, "a b c a b c")], "id long, t string")
     f = with_features(df, "t", "shingles", keep=["id"]).first().f
     assert len(f) == len(set(f)) == 3  # "a b c", "b c a", "c a b"
+
+
+def test_combined_text_nested_columns(spark):
+    df = spark.sql("SELECT 1L AS id, map('k', 1) AS m, named_struct('a', 2, 'b', 'x') AS s, array(1, 2) AS a,"
+                   " CAST(NULL AS ARRAY<STRING>) AS n")
+    assert with_combined_text(df, ["id"]).first().combined_data == '{"k":1},{"a":2,"b":"x"},1,2'
+    assert with_combined_text(df, ["id"], null_marker="-").first().combined_data == '{"k":1},{"a":2,"b":"x"},1,2,-'
