@@ -84,7 +84,9 @@ def bm25_query_vectors(queries: DataFrame | None, id_col: str, text_col: str, do
     join with the document frequencies is ``skew_join`` (bounded hot list,
     salted), so it never lands in one task. In self-search the queries are
     the documents, so the per-term query counts are the document
-    frequencies themselves; otherwise the term rows are materialised once.
+    frequencies themselves; otherwise they are a partial aggregate of the
+    query terms. ``n_query_terms`` (an estimate is enough: it only sets the
+    hot-key threshold) saves a count.
     """
     from twinsift.operators.tiles import skew_join
 
@@ -95,11 +97,7 @@ def bm25_query_vectors(queries: DataFrame | None, id_col: str, text_col: str, do
         rows = queries.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
         q = with_features(ensure_parallel(rows), "_text", "words", keep=["id"])
         terms = q.select("id", F.explode("f").alias("h"))
-    if self_search:
-        counts = doc_freq.select("h", F.col("df").alias("_n"))
-    else:
-        terms = materialize(terms)
-        counts = None
+    counts = doc_freq.select("h", F.col("df").alias("_n")) if self_search else None
     n_terms = n_query_terms if n_query_terms is not None else terms.count()
     idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     weighted = skew_join(terms, doc_freq, "h", n_terms, counts=counts).select("id", "h", idf.alias("idf"))

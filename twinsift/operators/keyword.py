@@ -24,10 +24,12 @@ def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFram
     vectors, doc_freq, n, avgdl = bm25_index(docs, doc_id, doc_text)
     if self_search:
         vectors = materialize(vectors)  # read by the tiles and as the query terms
+        q_hint = (n, avgdl)
+    else:
+        q_hint = text_size_hint(queries.where(queries[query_id].isNotNull()), query_text)
     q = bm25_query_vectors(queries, query_id, query_text, doc_freq, n,
-                           n_query_terms=int(n * avgdl) if self_search else None, self_search=self_search,
+                           n_query_terms=max(1, int(q_hint[0] * q_hint[1])), self_search=self_search,
                            doc_vectors=vectors if self_search else None)
-    q_hint = (n, avgdl) if self_search else text_size_hint(queries.where(queries[query_id].isNotNull()), query_text)
     pairs = tiled_topk(q, "dot", k, right=vectors, block_rows=block_rows, exclude_same_id=exclude_same_id,
                        left_hint=q_hint, right_hint=(n, avgdl))
     return best_k(pairs, k, out_col="bm25_score", keep_rank=keep_rank)
