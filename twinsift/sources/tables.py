@@ -30,11 +30,12 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     cores (one big file, one row group) before CPU-heavy per-row work. A
     large input already has more partitions and is left untouched (no
     shuffle)."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the input as it is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
