@@ -8,6 +8,7 @@ Spark result and the SQL result are the same set of rows.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -232,8 +233,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _llm_part(module: str):
+    """``module`` of the optional subpackage, or None where its folders have
+    been removed; any other import error is raised."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name in ("twinsift.llm", "twinsift.llm.queries", "corpus_pipeline"):
+            return None
+        raise
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES)
+    if (llm := _llm_part("twinsift.llm.queries")) is not None:
+        out |= llm.QUERIES
+    if (pipeline := _llm_part("corpus_pipeline")) is not None:
+        out["pipeline"] = pipeline.run
+    return out
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -409,4 +426,9 @@ _SQL["incremental_candidates"] = _SQL["sparse_cosine_topk"]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _SQL.items() if k in _QUERIES}
+    out = {k: v for k, v in _SQL.items() if k in _QUERIES}
+    if (llm := _llm_part("twinsift.llm.queries")) is not None:
+        out |= llm.ORACLE_SQL
+    if (pipeline := _llm_part("corpus_pipeline")) is not None and pipeline.ORACLE_SQL:
+        out["pipeline"] = pipeline.ORACLE_SQL
+    return out
