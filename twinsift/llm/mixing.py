@@ -70,12 +70,15 @@ def source_targets(sources: DataFrame, share: float = 1.0, max_epochs: float = 3
     return s.select("source", "rows", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7,
-        share: float = 1.0, max_epochs: float = 3.0, slice_rows: int = 20_000) -> DataFrame:
-    """One row a document: doc_id, size, source_size, target, copies, taken."""
+def document_key(id_col: str, text_col: str, seed: int) -> Column:
+    return random_key(seed, F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col))))
+
+
+def _decisions(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, share: float, max_epochs: float,
+               slice_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' thin rows, and (source, slice, key) -> copies."""
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(F.col(text_col)).alias("size"),
-                       random_key(seed, F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col)))).alias("key"))
+                       word_count(F.col(text_col)).alias("size"), document_key(id_col, text_col, seed).alias("key"))
     thin = common.stored(thin, "mix-rows")
     sources = thin.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("source_size"))
     sources = common.stored(source_targets(sources, share, max_epochs), "mix-sources")
@@ -100,7 +103,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = F.col("target") - epochs * size
     more = F.col("before") + F.col("key_size") / 2.0 <= rest
     j = j.select("source", "slice", "key", (epochs + F.when(more & (rest > 0), 1).otherwise(0)).cast("long").alias("copies"))
+    return d, common.stored(j, "mix-copies")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7,
+        share: float = 1.0, max_epochs: float = 3.0, slice_rows: int = 2_000) -> DataFrame:
+    """One row a document: doc_id, size, source_size, target, copies, taken."""
+    d, j = _decisions(docs, id_col, text_col, source_col, seed, share, max_epochs, slice_rows)
     out = d.alias("d").join(j.alias("j"), F.col("d.source").eqNullSafe(F.col("j.source"))
                             & (F.col("d.slice") == F.col("j.slice")) & (F.col("d.key") == F.col("j.key")))
     return out.select("d.doc_id", "d.source", "d.key", "d.size", "d.source_size", "d.target", "j.copies",
                       (F.col("j.copies") * F.col("d.size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7,
+          share: float = 1.0, max_epochs: float = 3.0, slice_rows: int = 2_000) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as it is taken."""
+    _, j = _decisions(docs, id_col, text_col, source_col, seed, share, max_epochs, slice_rows)
+    taken = j.where("copies > 0").select(F.col("source").alias("__source"), F.col("key").alias("__key"), F.col("copies").alias("__copies"))
+    d = docs.withColumn("__mix_key", document_key(id_col, text_col, seed))
+    out = d.join(taken, (F.col("__mix_key") == F.col("__key")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)

@@ -16,6 +16,33 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_prefix_tree(spark, sf_dir):
+    from twinsift.llm import chat_format
+
+    c = common.table(spark, sf_dir, "conversations")
+    probe = "</s>[INST] ok [/INST]"
+    kinds = {f.name: f.dataType for f in c.schema}
+    extra = spark.range(2).select(F.lit(-7).cast(kinds["conv_id"]).alias("conv_id"), F.col("id").cast(kinds["turn"]).alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    tree, convs = chat_format.prefix_tree(c.select("conv_id", "turn", "role", "text").unionByName(extra))
+    tree, convs = common.stored(tree, "chat-tree"), common.stored(convs, "chat-conversations")
+    return chat_format.digests(chat_format.read_conversations(tree, convs))
+
+
+def _crc(column: str, modulus: int):
+    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(modulus))
+
+
+def op2_language_id(spark, sf_dir):
+    from twinsift.llm import language_id
+
+    docs = common.table(spark, sf_dir, "documents")
+    held = F.coalesce(_crc("doc_id", 3) == 1, F.lit(False))
+    model = language_id.fit(docs.where(~held))
+    out = language_id.predict(docs, model, keep={"held_out": held})
+    return out.select("doc_id", "held_out", F.col("nearest").alias("lang_pred"), "score", "rejected")
+
+
 def op3_token_blocks(spark, sf_dir):
     from twinsift.llm import token_blocks
 
@@ -24,6 +51,12 @@ def op3_token_blocks(spark, sf_dir):
     return token_blocks.read_blocks(spark, path)
 
 
+def op4_katz(spark, sf_dir):
+    from twinsift.llm import katz
+
+    return katz.score(common.table(spark, sf_dir, "documents"), _crc("doc_id", 10) == 0)
+
+
 def op5_host_rules(spark, sf_dir):
     from twinsift.llm import quality_rules
 
@@ -32,6 +65,12 @@ def op5_host_rules(spark, sf_dir):
                       "kept", "host_rate")
 
 
+def op6_decontaminate(spark, sf_dir):
+    from twinsift.llm import decontaminate
+
+    return decontaminate.contaminated(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark, sf_dir):
     from twinsift.llm import mixing
 
@@ -39,6 +78,18 @@ def op7_mixing(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_toxicity(spark, sf_dir):
+    from twinsift.llm import toxicity
+
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), training=_crc("doc_id", 5) != 0)
+    out = toxicity.scored(docs, model)
+    held = F.coalesce(_crc("doc_id", 5) == 0, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), F.col("toxicity").alias("score"),
+                      (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+                      F.col("toxicity_example_ids").alias("example_ids"), F.col("toxicity_example_cosines").alias("example_cosines"))
+
+
 def op9_simhash(spark, sf_dir):
     from twinsift.llm import simhash
 
@@ -56,6 +107,7 @@ def op10_warc(spark, sf_dir):
                       F.when(F.col("refers_to").isNotNull(), warc.referred_id("refers_to")).cast("long").alias("refers_to"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_blocks, op5_host_rules, op7_mixing, op9_simhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_prefix_tree, op2_language_id, op3_token_blocks, op4_katz, op5_host_rules,
+                                   op6_decontaminate, op7_mixing, op8_toxicity, op9_simhash, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {}
