@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from twinsift.llm import common
+from twinsift.llm import common, oracle
 
 
 def word_tokenizer() -> str:
@@ -54,7 +54,8 @@ def op3_token_blocks(spark, sf_dir):
 def op4_katz(spark, sf_dir):
     from twinsift.llm import katz
 
-    return katz.score(common.table(spark, sf_dir, "documents"), _crc("doc_id", 10) == 0)
+    out = katz.score(common.table(spark, sf_dir, "documents"), _crc("doc_id", 10) == 0)
+    return out.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op5_host_rules(spark, sf_dir):
@@ -62,7 +63,7 @@ def op5_host_rules(spark, sf_dir):
 
     out = quality_rules.host_level_rules(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "kept", "host_rate")
+                      "kept", F.round("host_rate", 6).alias("host_rate"))
 
 
 def op6_decontaminate(spark, sf_dir):
@@ -75,7 +76,7 @@ def op7_mixing(spark, sf_dir):
     from twinsift.llm import mixing
 
     out = mixing.mix(common.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 def op8_toxicity(spark, sf_dir):
@@ -110,4 +111,5 @@ def op10_warc(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_prefix_tree, op2_language_id, op3_token_blocks, op4_katz, op5_host_rules,
                                    op6_decontaminate, op7_mixing, op8_toxicity, op9_simhash, op10_warc)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op1_prefix_tree": oracle.OP1, "op4_katz": oracle.OP4, "op5_host_rules": oracle.OP5, "op7_mixing": oracle.OP7,
+              "op10_warc": oracle.OP10}
