@@ -99,26 +99,27 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     """(src, dst) links between distinct fingerprints ``fp`` within two bits;
     for the groups of hot variants, links to a common neighbour."""
     variants = fps.select("fp", F.explode(one_wildcard_variants(F.col("fp"))).alias("v"))
-    sizes = variants.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = common.stored(sizes, "simhash-buckets")
-    small = variants.join(sizes.where(F.col("n") <= hot).select("v"), "v")
-    groups = small.groupBy("v").agg(F.sort_array(F.collect_list("fp")).alias("f"))
+    sizes = variants.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("src"), F.max("fp").alias("dst"))
+    sizes = common.stored(sizes.where("n > 1"), "simhash-buckets")
+    # Two fingerprints are their least and their greatest.
+    two_of = sizes.where("n = 2 and bit_count(src ^ dst) <= 2").select("src", "dst")
+    # The members of larger groups; merged, as their number has no bound.
+    members = variants.join(sizes.where("n > 2").select("v", "n").hint("merge"), "v")
+    members = common.stored(members, "simhash-members")
+    groups = members.where(F.col("n") <= hot).groupBy("v").agg(F.sort_array(F.collect_list("fp")).alias("f"))
     # At most HOT fingerprints a group; of its pairs only the links leave.
     pairs = groups.select(F.explode(F.expr(
         "flatten(transform(f, (a, i) -> transform(filter(f, (b, j) -> j < i and bit_count(a ^ b) <= 2), "
         "b -> struct(a as src, b as dst))))")).alias("p")).select("p.src", "p.dst")
-    # The fingerprints of hot variants; few, so the semi join's hot side is
-    # reduced to distinct fingerprints at once.
-    hot_v = sizes.where(F.col("n") > hot).select("v")
-    hot_f = common.stored(variants.join(hot_v, "v").select("fp").distinct(), "simhash-hot")
+    hot_f = common.stored(members.where(F.col("n") > hot).select("fp").distinct(), "simhash-hot")
     two = [(i, j) for i in range(64) for j in range(i + 1, 64)]
     masks = F.array(*[F.lit(_signed((1 << i) | (1 << j))) for i, j in two])
     wide = hot_f.select("fp", F.posexplode(masks).alias("m", "mask"))
     wide = wide.select("fp", "m", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
     least = wide.groupBy("m", "rest").agg(F.min("fp").alias("dst"), F.max("fp").alias("top"))
-    star = (wide.join(least.where("dst < top"), ["m", "rest"]).where("fp <> dst")
+    star = (wide.join(least.where("dst < top").hint("merge"), ["m", "rest"]).where("fp <> dst")
             .select(F.col("fp").alias("src"), "dst"))
-    return pairs.unionByName(star).distinct()
+    return two_of.unionByName(pairs).unionByName(star).distinct()
 
 
 def _signed(x: int) -> int:
