@@ -266,7 +266,8 @@ def _sql_topk(src: str, mode: str, k: int = K) -> str:
         feat = f"""
   tok AS (SELECT id, list_filter(regexp_split_to_array(lower(text), '{WORD}'), lambda x: x <> '') AS t FROM texts),
   feat AS (SELECT DISTINCT id, t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] AS s
-           FROM (SELECT id, t, unnest(range(1, len(t) - 1)) AS i FROM tok WHERE len(t) >= 3))"""
+           FROM (SELECT id, t, unnest(range(1, len(t) - 1)) AS i FROM tok WHERE len(t) >= 3)
+           UNION ALL SELECT id, array_to_string(t, ' ') FROM tok WHERE len(t) BETWEEN 1 AND 2)"""
     else:
         pat = CODE if mode == "tokens" else WORD
         feat = f"""

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from twinsift.config import EntitySpec
-from twinsift.operators.candidates import best_k, detect_candidates
+from twinsift.operators.candidates import best_k, detect_candidates, similarity_pairs
 from twinsift.operators.knn import dense_knn_topk, sparse_cosine_topk
 from twinsift.operators.tiles import tiled_topk
 
@@ -42,10 +42,39 @@ def test_no_self_pairs_and_at_most_k(spark):
     assert 9 not in per  # shares no shingle
 
 
-def test_rows_without_features_get_no_candidates(spark):
-    df = spark.createDataFrame([(1, "a b"), (2, "x y"), (3, "p q r"), (4, "p q r")], "id long, t string")
-    got = sorted((r.original_id, r.potential_duplicate_id) for r in sparse_cosine_topk(df, "id", "t", 3).collect())
-    assert got == [(3, 4), (4, 3)]
+def test_short_rows_find_their_exact_copies(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "x y"), (3, "p q r"), (4, "p q r"), (5, "10,20"), (6, "10,20"), (7, "one"),
+                                (8, "One!"), (9, ""), (10, ""), (11, None), (12, "b a")], "id long, t string")
+    for collapse in (True, False):
+        got = sorted((r.original_id, r.potential_duplicate_id, r.search_score)
+                     for r in sparse_cosine_topk(df, "id", "t", 3, collapse_copies=collapse).collect())
+        # texts without a word overlap with nothing
+        assert got == [(3, 4, 1.0), (4, 3, 1.0), (5, 6, 1.0), (6, 5, 1.0), (7, 8, 1.0), (8, 7, 1.0)]
+
+
+def test_repeated_keys_are_one_record(spark):
+    df = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (2, "a b c d"), (2, "zz"), (3, "a b c x"), (4, "q r s t")], "id long, text string")
+    got = sorted((r.original_id, r.potential_duplicate_id) for r in similarity_pairs(df, 2, "exact").collect())
+    assert got == [(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)]
+
+
+def test_decimal_keys_tie_by_value(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(Decimal(i), "x y z") for i in range(1, 13)], "id decimal(10,0), t string")
+    for collapse in (True, False):
+        got = {int(r.original_id): int(r.potential_duplicate_id)
+               for r in sparse_cosine_topk(df, "id", "t", 1, collapse_copies=collapse, block_rows=5).collect()}
+        assert got == {1: 2} | {i: 1 for i in range(2, 13)}
+
+
+def test_own_vectors_reach_detection(spark):
+    df = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "b", [1.0, 0.1]), (3, "c", [0.0, 1.0])], "id long, t string, v array<double>")
+    spec = EntitySpec("t", "id", ("id",), vector_column="v")
+    got = {r.original_id: (r.potential_duplicate_id, r.original_combined_data) for r in detect_candidates(df, spec, 1, "dense").collect()}
+    assert got == {1: (2, "a"), 2: (1, "b"), 3: (2, "c")}
+    from pyspark.sql import functions as G
+    same = detect_candidates(df.drop("v"), EntitySpec("t", "id", ("id",)), 1, "dense", embed_fn=lambda c: G.array(G.length(c).cast("double"), G.lit(1.0)))
+    assert same.count() == 3
 
 
 def test_collapse_equals_plain_tiles(spark):

@@ -46,6 +46,39 @@ def test_pipeline_on_paths(spark, scratch):
     assert analysis.schema["threshold"].metadata.get("comment")
 
 
+def test_source_names_count_drop_and_setup(spark, scratch):
+    import os
+
+    rows = [(1, "Acme Health Corp"), (2, "Acme Health Corp")]
+    spark.createDataFrame(rows, "pid long, name string").write.parquet(f"{scratch}/elsewhere/people.parquet")
+    specs = (EntitySpec(f"{scratch}/elsewhere/people.parquet", "pid", ("pid",), 0.7), EntitySpec("missing", "id", ("id",), 0.9))
+    params = JobParams(catalog=f"{scratch}/lake", entities=specs, method="exact", drop_candidates_after_dedupe=True)
+    from twinsift.plans.jobs import layout_of
+    assert layout_of(params).bronze(specs[0]) == specs[0].table
+    assert Layout(catalog="c").bronze(EntitySpec("a.b.t", "id")) == "a.b.t" and Layout(catalog="c").bronze(EntitySpec("b.t", "id")) == "c.b.t"
+    out = run_pipeline(spark, params, setup=True)
+    assert out["analyzed"] == 1 and out["detect"]["people"] == "ok"
+    assert not os.path.exists(f"{scratch}/lake/bronze/people_duplicate_candidates")
+    found = {(r.table_name, r.rule, r.columns): r.violations for r in out["violations"].collect()}
+    assert found["payer_network", "foreign_key", "payer_id"] == 0 and found["payer", "primary_key", "payer_id"] == 0
+    with pytest.raises(ValueError):
+        EntitySpec("t", "id", text_mode="dense")
+    with pytest.raises(ValueError):
+        detect_entities(spark, JobParams(catalog=scratch, embedding_model="nope"))
+
+
+def test_declared_rules_find_violations(spark, scratch):
+    from twinsift.plans.jobs import declared_violations
+    t = {x.name: x for x in schemas.SOURCE_TABLES}
+    schemas.rows_frame(spark, [(1, 7, 5), (2, 8, 6), (2, 8, 6)], t["payer_network"].schema).write.parquet(f"{scratch}/bronze/payer_network")
+    spark.createDataFrame([(7,)], "payer_id long").write.parquet(f"{scratch}/bronze/payer")
+    one = Layout(root=scratch)
+    import dataclasses
+    tables = [dataclasses.replace(t["payer"], schema=spark.read.parquet(f"{scratch}/bronze/payer").schema), t["payer_network"]]
+    found = {(r.table_name, r.rule): r.violations for r in declared_violations(spark, one, tables).collect()}
+    assert found["payer_network", "primary_key"] == 1 and found["payer_network", "foreign_key"] == 2
+
+
 def test_failing_entity_is_recorded(spark, scratch):
     _people(spark, scratch)
     specs = (EntitySpec("people", "pid", ("nope",)), EntitySpec("people", "pid", ("pid",)))

@@ -16,7 +16,8 @@ COMBINED_COLUMN = "combined_data"
 HIGH_SCORE_CUTOFF = 0.99  # strict ">" in the pair statistic
 PERFECT_SCORE = 1.0
 
-METHODS = ("auto", "exact", "dense", "hybrid", "lsh", "minhash")
+METHODS = ("exact", "dense", "hybrid", "lsh", "minhash")
+TEXT_MODES = ("shingles", "tokens", "words")
 
 
 @dataclass(frozen=True)
@@ -32,12 +33,14 @@ class EntitySpec:
     primary_key: str
     exclude: tuple[str, ...] = ()
     threshold: float | None = None
-    text_mode: str = "shingles"  # shingles | tokens | dense
+    text_mode: str = "shingles"  # one of TEXT_MODES
     vector_column: str | None = None
 
     def __post_init__(self):
         if not self.table or not self.primary_key:
             raise ValueError("table and primary_key are required")
+        if self.text_mode not in TEXT_MODES:
+            raise ValueError(f"text_mode must be one of {TEXT_MODES}")
         object.__setattr__(self, "exclude", tuple(self.exclude))
         if self.threshold is not None:
             t = float(self.threshold)
@@ -53,14 +56,6 @@ class EntitySpec:
             return last[-2]
         return last[-1]
 
-    def layer_name(self, layer: str, database_root: str | None = None) -> str:
-        root = database_root if database_root is not None else ""
-        return f"{root + '.' if root else ''}{layer}.{self.entity_name}"
-
-    @property
-    def candidates_name(self) -> str:
-        return f"{self.table}_duplicate_candidates"
-
 
 @dataclass(frozen=True)
 class JobParams:
@@ -68,7 +63,7 @@ class JobParams:
 
     catalog: str
     num_results: int = DEFAULT_NUM_RESULTS
-    method: str = "auto"
+    method: str = "hybrid"
     embedding_model: str = "hashed-char-ngrams"
     thresholds: tuple[float, ...] = field(default=DEFAULT_THRESHOLDS)
     entities: tuple[EntitySpec, ...] = ()

@@ -31,7 +31,7 @@ def included_columns(df: DataFrame, exclude) -> list[str]:
 
 def _as_text(df: DataFrame, name: str) -> Column:
     dt = df.schema[name].dataType
-    c = F.col(name)
+    c = F.col("`" + name.replace("`", "``") + "`")
     if isinstance(dt, (T.MapType, T.StructType)):
         return F.to_json(c)
     if isinstance(dt, T.ArrayType) and not isinstance(dt.elementType, T.StringType):
@@ -68,7 +68,8 @@ def word_tokens(text: Column, pattern: str = WORD_PATTERN) -> Column:
 
 
 def word_shingles(tokens: Column, n: int = SHINGLE_WORDS) -> Column:
-    """Distinct n-word shingles (joined by one space); fewer than n words -> [].
+    """Distinct n-word shingles (joined by one space); a text of fewer than n
+    words is one shingle, no word gives [].
 
     Linear per text: ``zip_with`` over shifted slices. ``tokens`` should be a
     plain column reference (see ``with_features``), not a split expression,
@@ -79,8 +80,8 @@ def word_shingles(tokens: Column, n: int = SHINGLE_WORDS) -> Column:
     for j in range(1, n):
         grams = F.zip_with(grams, F.slice(tokens, j + 1, F.greatest(size - j, F.lit(1))),
                            lambda a, b: F.concat_ws(" ", a, b))
-    return F.when(size >= n, F.array_distinct(F.slice(grams, 1, size - (n - 1)))).otherwise(
-        F.array().cast("array<string>"))
+    return (F.when(size >= n, F.array_distinct(F.slice(grams, 1, size - (n - 1))))
+            .when(size > 0, F.array(F.array_join(tokens, " "))).otherwise(F.array().cast("array<string>")))
 
 
 def hashed(features: Column) -> Column:
@@ -99,14 +100,20 @@ def _token_column(text: Column, mode: str) -> Column:
 def shingle_hashes(token_hashes: Column, n: int = SHINGLE_WORDS) -> Column:
     """Distinct 64-bit hashes of n-word shingles, built from per-token hashes
     (hash of the hashes of n consecutive tokens): the same set as hashing the
-    joined shingle strings, at half the cost (no string is built)."""
+    joined shingle strings, at half the cost (no string is built). Fewer than
+    ``n`` tokens are one feature: short records keep their exact copies."""
     size = F.size(token_hashes)
     grams = token_hashes
     for j in range(1, n):
         grams = F.zip_with(grams, F.slice(token_hashes, j + 1, F.greatest(size - j, F.lit(1))),
                            lambda a, b: F.xxhash64(a, b))
-    return F.when(size >= n, F.array_distinct(F.slice(grams, 1, size - (n - 1)))).otherwise(
-        F.array().cast("array<bigint>"))
+    out = F.when(size >= n, F.array_distinct(F.slice(grams, 1, size - (n - 1))))
+    for m in range(1, n):
+        whole = F.element_at(token_hashes, 1)
+        for j in range(1, m):
+            whole = F.xxhash64(whole, F.try_element_at(token_hashes, F.lit(j + 1)))
+        out = out.when(size == m, F.array(whole))
+    return out.otherwise(F.array().cast("array<bigint>"))
 
 
 def _feature_from_tokens(tokens: Column, mode: str) -> Column:

@@ -141,6 +141,17 @@ def hash_embed(text: Column, dim: int = EMBED_DIM, gram: int = EMBED_GRAM) -> Co
     return _embed(text)
 
 
+EMBEDDERS = {"hashed-char-ngrams": hash_embed}
+
+
+def embedder(name: str):
+    """The embedding function (Column -> Column) of a model name; own models
+    are added to ``EMBEDDERS`` or given to the jobs as a function."""
+    if name not in EMBEDDERS:
+        raise ValueError(f"no embedding model {name!r}; known: {sorted(EMBEDDERS)}")
+    return EMBEDDERS[name]
+
+
 def embed(df: DataFrame, text_col: str, out_col: str = "embedding", embed_fn=None) -> DataFrame:
     """Add an embedding column; ``embed_fn`` is any Column -> Column (for
     example a ``pandas_udf`` wrapping a local model); default ``hash_embed``."""

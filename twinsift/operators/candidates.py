@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from twinsift.config import COMBINED_COLUMN, DEFAULT_NUM_RESULTS, EntitySpec
 from twinsift.functions.text import with_combined_text
 
-EXACT_MAX_ROWS = 500_000  # "auto" switches from exact tiles to MinHash LSH above this
-
 CANDIDATE_COLUMNS = ["original_id", "original_combined_data", "potential_duplicate_id",
                      "potential_duplicate_combined_data", "search_score"]
 
@@ -49,6 +47,19 @@ def attach_texts(top: DataFrame, texts: DataFrame, k: int = DEFAULT_NUM_RESULTS,
                      counts=counts).select(*CANDIDATE_COLUMNS)
 
 
+def unique_keys(texts: DataFrame) -> DataFrame:
+    """One row a key: of rows that repeat it, the one with the smallest text
+    (NULL only if all are). Only the keys are counted; texts of keys that do
+    not repeat are not shuffled."""
+    from twinsift.sources.tables import materialize
+
+    again = materialize(texts.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("id"))
+    if again.isEmpty():
+        return texts
+    least = texts.join(again, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    return texts.join(again, "id", "left_anti").select("id", "text").unionByName(least)
+
+
 def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode: str = "shingles",
                      block_rows: int | None = None, vectors: DataFrame | None = None) -> DataFrame:
     """(original_id, potential_duplicate_id, search_score), best k per original.
@@ -57,16 +68,12 @@ def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode:
     dense (cosine of hashed embeddings, or of ``vectors`` (id, vec) if given),
     hybrid (rank fusion of exact cosine and BM25, cosine reported),
     minhash / lsh (approximate candidates for features / vectors, exact
-    cosine), auto (exact up to ``EXACT_MAX_ROWS`` rows, minhash above: exact
-    all-pairs work grows with the square of the rows, LSH with the rows).
-    Every method reports a score in [0, 1], 1 = identical.
+    cosine). The method is the caller's choice at every size. Rows that repeat
+    a key are one record (``unique_keys``). Every method reports a score in [0, 1], 1 = identical.
     """
     from twinsift.operators import knn, lsh, hybrid
 
-    if method == "auto":
-        n = texts.count()
-        method = "exact" if n <= EXACT_MAX_ROWS else "minhash"
-
+    texts = unique_keys(texts)
     if method == "exact":
         return knn.sparse_cosine_topk(texts, "id", "text", k, mode=text_mode, block_rows=block_rows)
     if method == "dense":
@@ -84,16 +91,28 @@ def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode:
 
 def similarity_topk(df: DataFrame, primary_key: str, text_col: str = COMBINED_COLUMN,
                     k: int = DEFAULT_NUM_RESULTS, method: str = "exact", text_mode: str = "shingles",
-                    block_rows: int | None = None) -> DataFrame:
-    """C2: candidate records for a table that already has a text column."""
-    texts = (df.select(F.col(primary_key).alias("id"), F.col(text_col).alias("text"))
-             .where(F.col("id").isNotNull()))
-    top = similarity_pairs(texts, k, method, text_mode, block_rows)
+                    block_rows: int | None = None, vectors: DataFrame | None = None, vector_col: str | None = None,
+                    embed_fn=None) -> DataFrame:
+    """C2: candidate records for a table that already has a text column.
+
+    Own embeddings for the methods dense and lsh: a table ``vectors`` (id,
+    vec), a column ``vector_col`` of ``df``, or ``embed_fn``, any Column ->
+    Column over the text."""
+    texts = unique_keys(df.select(F.col(primary_key).alias("id"), F.col(text_col).alias("text"))
+                        .where(F.col("id").isNotNull()))
+    if vectors is None and vector_col is not None:
+        vectors = df.select(F.col(primary_key).alias("id"), F.col(vector_col).alias("vec")).where(F.col("id").isNotNull())
+    if vectors is None and embed_fn is not None:
+        vectors = texts.select("id", embed_fn(F.col("text")).alias("vec"))
+    top = similarity_pairs(texts, k, method, text_mode, block_rows, vectors)
     return attach_texts(top, texts, k)
 
 
 def detect_candidates(df: DataFrame, spec: EntitySpec, k: int = DEFAULT_NUM_RESULTS, method: str = "exact",
-                      block_rows: int | None = None) -> DataFrame:
-    """C1: combined text -> best k other records -> five-column candidates."""
-    silver = with_combined_text(df, spec.exclude)
-    return similarity_topk(silver, spec.primary_key, COMBINED_COLUMN, k, method, spec.text_mode, block_rows)
+                      block_rows: int | None = None, vectors: DataFrame | None = None, embed_fn=None) -> DataFrame:
+    """C1: combined text -> best k other records -> five-column candidates.
+    The entity's ``vector_column`` is no part of the text."""
+    exclude = [*spec.exclude, *([spec.vector_column] if spec.vector_column and spec.vector_column not in spec.exclude else [])]
+    silver = with_combined_text(df, exclude)
+    return similarity_topk(silver, spec.primary_key, COMBINED_COLUMN, k, method, spec.text_mode, block_rows, vectors,
+                           spec.vector_column, embed_fn)

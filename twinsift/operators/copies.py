@@ -5,8 +5,8 @@ hold a third of the table. Scoring every copy against every other is
 quadratic in the group size; instead:
 
 1. rows with an identical feature set form a group (a partial aggregate on
-   the sorted feature array -- exact equality, not a hash); the smallest id
-   represents it;
+   the SHA-256 of the sorted feature array, so that neither the join key nor
+   the bounded hot list carries arrays); the smallest id represents it;
 2. the similarity top-k runs over representatives only;
 3. each member's list is rebuilt from its own group's k+1 smallest ids
    (score exactly 1.0) and, for each neighbouring group, that group's k
@@ -64,7 +64,7 @@ def topk_with_copies_collapsed(feats: DataFrame, k: int, inner, n_rows: int) ->
     """Run ``inner(representatives (id, f), k) -> best-k pairs`` on one row
     per distinct feature set and expand the result to every row.
 
-    Rows group on their sorted feature array (exact equality; a partial
+    Rows group on the digest of their sorted feature array (a partial
     aggregate, so a hot group is pre-aggregated before the shuffle). The
     canonical features, the groups, the member map and the representatives'
     top-k are each checkpointed once, since several steps read them.
@@ -72,10 +72,13 @@ def topk_with_copies_collapsed(feats: DataFrame, k: int, inner, n_rows: int) ->
     from twinsift.operators.tiles import skew_join
 
     # an empty feature set overlaps with nothing: such rows have no candidates
-    canon = materialize(feats.select("id", F.array_sort("f").alias("_key")).where(F.size("_key") > 0))
+    canon = materialize(feats.select("id", F.array_sort("f").alias("f")).where(F.size("f") > 0)
+                        .withColumn("_key", F.sha2(F.to_json("f"), 256)))
     groups = materialize(canon.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n")))
-    reps = groups.select(F.col("rep").alias("id"), F.col("_key").alias("f"))
-    members = materialize(skew_join(canon, groups, "_key", n_rows, counts=groups.select("_key", "_n"))
-                          .select("id", "rep"))
+    members = materialize(skew_join(canon.select("id", "_key"), groups, "_key", n_rows, counts=groups.select("_key", "_n"))
+                          .select("id", "rep", "_key"))
+    # One row a group keeps its features: those of its representative.
+    reps = materialize(canon.join(members.where("id = rep").select("id"), "id", "left_semi").select("id", "f"))
+    members = members.select("id", "rep")
     rep_top = materialize(inner(reps, k))
     return expand(rep_top, members, groups, k, n_rows)

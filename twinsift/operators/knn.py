@@ -7,34 +7,28 @@ from pyspark.sql import functions as F
 
 from twinsift.functions.vectorize import binary_features, hash_embed
 from twinsift.operators.candidates import best_k
-from twinsift.operators.tiles import text_size_hint, text_stats, tiled_topk
-
-COPY_SHARE_TO_COLLAPSE = 0.10  # collapse exact copies first when they are over 10% of the rows
+from twinsift.operators.tiles import text_size_hint, tiled_topk
 from twinsift.sources.tables import ensure_parallel
 
 
 def sparse_cosine_topk(df: DataFrame, id_col: str, text_col: str, k: int, mode: str = "shingles",
-                       block_rows: int | None = None, collapse_copies: bool | None = None) -> DataFrame:
+                       block_rows: int | None = None, collapse_copies: bool = True) -> DataFrame:
     """Best k other rows by cosine of binary feature sets, |A∩B| / sqrt(|A||B|).
 
     Pairs sharing no feature are no candidates. Exact: every pair of rows is
     scored inside some tile, none is skipped, no frequency cap is applied.
-    With ``collapse_copies`` rows with identical feature sets are scored once
+    Rows with identical feature sets are scored once
     (``operators/copies.py``), which keeps a huge group of copies linear;
-    ``None`` decides from the share of exactly repeated texts (same result
-    either way, only the plan differs).
+    without ``collapse_copies`` the result is the same, by plain tiles.
     """
     feats = binary_features(df, id_col, text_col, mode)
-    n, mean_len, distinct = text_stats(df.where(df[id_col].isNotNull()), text_col)
-    hint = (n, mean_len)
-    if collapse_copies is None:
-        collapse_copies = distinct < (1.0 - COPY_SHARE_TO_COLLAPSE) * n
+    hint = text_size_hint(df.where(df[id_col].isNotNull()), text_col)
     if not collapse_copies:
         return best_k(tiled_topk(feats, "binary_cosine", k, block_rows=block_rows, left_hint=hint), k)
     from twinsift.operators.copies import topk_with_copies_collapsed
 
     def inner(reps: DataFrame, kk: int) -> DataFrame:
-        return best_k(tiled_topk(reps, "binary_cosine", kk, block_rows=block_rows, left_hint=hint), kk)
+        return best_k(tiled_topk(reps, "binary_cosine", kk, block_rows=block_rows, left_hint=(reps.count(), hint[1])), kk)
 
     return topk_with_copies_collapsed(feats, k, inner, hint[0])
 

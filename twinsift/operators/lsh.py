@@ -98,26 +98,19 @@ def minhash_features_topk(feats: DataFrame, k: int, bands: int = MINHASH_BANDS,
 
 def minhash_topk(texts: DataFrame, id_col: str, text_col: str, k: int, mode: str = "shingles",
                  bands: int = MINHASH_BANDS, rows: int = MINHASH_ROWS, block_rows: int | None = None,
-                 collapse_copies: bool | None = None) -> DataFrame:
+                 collapse_copies: bool = True) -> DataFrame:
     """Best k partners among rows sharing a MinHash band (exact cosine).
 
     Exact copies share every band, so a big group of copies would make one
-    huge bucket; as in the exact path they are collapsed first when common
+    huge bucket; as in the exact path they are collapsed first
     (identical sets always collide, so the expansion is the same LSH result).
     """
     from twinsift.operators.copies import topk_with_copies_collapsed
-    from twinsift.operators.knn import COPY_SHARE_TO_COLLAPSE
-    from twinsift.operators.tiles import text_stats
 
     feats = binary_features(texts, id_col, text_col, mode)
-    if collapse_copies is None:
-        n, _, distinct = text_stats(texts.where(F.col(id_col).isNotNull()), text_col)
-        collapse_copies = distinct < (1.0 - COPY_SHARE_TO_COLLAPSE) * n
-    else:
-        n = None
     if not collapse_copies:
         return minhash_features_topk(feats, k, bands, rows, block_rows)
-    n = n if n is not None else texts.where(F.col(id_col).isNotNull()).count()
+    n = texts.where(F.col(id_col).isNotNull()).count()
     return topk_with_copies_collapsed(
         feats, k, lambda reps, kk: minhash_features_topk(reps, kk, bands, rows, block_rows), n)
 

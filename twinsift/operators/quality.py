@@ -25,6 +25,12 @@ def unique_key_check(df: DataFrame, keys) -> DataFrame:
 
 
 def foreign_key_check(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent row (NULL passes)."""
+    """Child rows whose non-NULL foreign key has no parent row (NULL passes).
+
+    The distinct values (a partial aggregate) meet the parents; only values
+    without a parent join back to the child rows, so a foreign key that is
+    mostly one value never shuffles its rows to one task for the check."""
     keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
-    return child.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
+    values = child.where(F.col(fk).isNotNull()).select(F.col(fk).alias("_fk")).distinct()
+    orphans = values.join(keys, F.col("_fk") == F.col("_pk"), "left_anti")
+    return child.join(orphans, F.col(fk) == F.col("_fk"), "left_semi")

@@ -39,7 +39,8 @@ def _payload_cols(kind: str) -> list[str]:
 def _rank(ids: np.ndarray) -> np.ndarray:
     if ids.dtype.kind in "iuf":
         return ids.astype(np.float64) if ids.dtype.kind == "f" else ids.astype(np.int64)
-    return np.unique(ids.astype(str), return_inverse=True)[1]
+    # Decimals, dates and strings in their own order, which is Spark's.
+    return np.unique(ids, return_inverse=True)[1]
 
 
 def _scores(kind: str, lp: pd.DataFrame, rp: pd.DataFrame):

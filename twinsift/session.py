@@ -38,14 +38,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this session.
 
     The cluster's ``spark.checkpoint.dir`` wins (Spark applies it when the
-    context starts); only where none is set (local tests) is a private
-    folder chosen. The setting itself is never modified at runtime.
+    context starts); only where none is set and the master is local (tests)
+    is a private folder chosen; on any other master that is an error. The setting itself is never modified at runtime.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="twinsift-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)

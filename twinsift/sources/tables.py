@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,13 +11,16 @@ def is_path(name: str) -> bool:
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    """S2: checked before a plan is built (no reliance on eager analysis)."""
+    """S2: checked before a plan is built. Only a missing (or empty) path
+    counts as missing; any other error is raised."""
     if is_path(name):
         try:
             spark.read.parquet(name).schema  # noqa: B018 - footer read only
             return True
-        except Exception:  # missing path
-            return False
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
     return spark.catalog.tableExists(name)
 
 
@@ -26,16 +30,16 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that arrives in fewer partitions than the cluster has
-    cores (one big file, one row group) before CPU-heavy per-row work. A
-    large input already has more partitions and is left untouched (no
-    shuffle)."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the input as it is
-        return df
-    return df.repartition(want) if have < want else df
+    """Spread a small input (one file, one row group) over the cores before
+    CPU-heavy per-row work. Decided from the optimizer's size estimate, so
+    nothing runs: an input that the scan's own split size already cuts into a
+    part for each core is left as it is (no shuffle)."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    return df.repartition(want) if size < want * split else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -69,6 +73,9 @@ def set_column_comments(spark: SparkSession, name: str, comments: dict[str, str]
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """S11 (opt-in in the jobs layer)."""
+    """S11 (opt-in in the jobs layer): a table, or the folder of a path."""
     if not is_path(name):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
