@@ -277,7 +277,7 @@ def _sql_topk(src: str, mode: str, k: int = K) -> str:
   nf AS (SELECT id, count(*) AS n FROM feat GROUP BY id),
   pc AS (SELECT a.id AS original_id, b.id AS potential_duplicate_id, count(*) AS c
          FROM feat a JOIN feat b ON a.s = b.s AND a.id <> b.id GROUP BY 1, 2),
-  scored AS (SELECT original_id, potential_duplicate_id, round(c / sqrt(na.n * nb.n), 6) AS search_score
+  scored AS MATERIALIZED (SELECT original_id, potential_duplicate_id, round(c / sqrt(na.n * nb.n), 6) AS search_score
              FROM pc JOIN nf na ON na.id = pc.original_id JOIN nf nb ON nb.id = pc.potential_duplicate_id),
   cands AS (SELECT * FROM scored QUALIFY row_number() OVER (
              PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id) <= {k})"""
@@ -404,12 +404,12 @@ SELECT qid AS original_id, id AS potential_duplicate_id, s AS bm25_score FROM sc
 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, id) <= {K}"""
 
 _SQL["hybrid_rrf_topk"] = _sql_topk(DOCS_SRC, "shingles") + "," + _sql_bm25(DOCS_SRC) + f""",
-  kw AS (SELECT q.id AS original_id, wt.id AS potential_duplicate_id, round(sum(wt.wt), 6) AS bm25_score
-         FROM (SELECT DISTINCT id, unnest(t) AS w FROM bd) q JOIN wt ON q.w = wt.w AND q.id <> wt.id GROUP BY 1, 2),
+  kw AS MATERIALIZED (SELECT q.id AS original_id, wt.id AS potential_duplicate_id, round(sum(wt.wt), 6) AS bm25_score
+         FROM (SELECT id, w FROM btf) q JOIN wt ON q.w = wt.w AND q.id <> wt.id GROUP BY 1, 2),
   kwr AS (SELECT *, row_number() OVER (PARTITION BY original_id ORDER BY bm25_score DESC, potential_duplicate_id)
-          AS r_kw FROM kw QUALIFY r_kw <= {2 * K}),
+          AS r_kw FROM kw),
   vr AS (SELECT *, row_number() OVER (PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id)
-         AS r_vec FROM scored QUALIFY r_vec <= {2 * K}),
+         AS r_vec FROM scored),
   fused AS (SELECT coalesce(v.original_id, k.original_id) AS original_id,
                    coalesce(v.potential_duplicate_id, k.potential_duplicate_id) AS potential_duplicate_id,
                    round(coalesce(1.0::DOUBLE / (60 + r_vec), 0.0::DOUBLE)

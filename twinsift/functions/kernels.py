@@ -109,8 +109,10 @@ def stack_vectors(vecs) -> np.ndarray:
 
 
 def round6(x: np.ndarray) -> np.ndarray:
-    """Half-up rounding to 6 decimals (the SQL ``round(x, 6)`` rule) for ranking."""
-    return np.floor(np.asarray(x) * 1e6 + 0.5) / 1e6
+    """Half-up rounding to 6 decimals (the SQL ``round(x, 6)`` rule) for
+    ranking. The product may fall a little below an exact half (41/640), which
+    the SQL rule, working on decimals, rounds up."""
+    return np.floor(np.asarray(x) * 1e6 + (0.5 + 1e-7)) / 1e6
 
 
 def topk_per_row(score: np.ndarray, valid: np.ndarray, partner_rank: np.ndarray, k: int):

@@ -12,46 +12,78 @@ from pyspark.sql import functions as F
 
 from twinsift.functions.vectorize import binary_features
 from twinsift.operators.candidates import best_k
-from twinsift.operators.keyword import bm25_self_topk
-from twinsift.operators.tiles import text_size_hint, tiled_topk
+from twinsift.operators.keyword import bm25_sides
+from twinsift.operators.tiles import text_size_hint, tiled_requests, tiled_topk
 from twinsift.sources.tables import materialize
 
 RRF_K = 60  # fixed constant of reciprocal-rank fusion
+PAIR = ["original_id", "potential_duplicate_id"]
 
 
 def hybrid_topk(texts: DataFrame, id_col: str, text_col: str, k: int, text_mode: str = "shingles",
-                leg_k: int | None = None, block_rows: int | None = None) -> DataFrame:
-    """(original_id, potential_duplicate_id, search_score, rrf_score).
-
-    Each leg keeps its best ``leg_k`` (default 2k) partners with their rank;
-    a full outer join on the pair sums 1 / (60 + rank) over the legs; the
-    best k by (rrf rounded to 9 decimals desc, partner id asc) are kept.
-    Cosine for partners found only by the keyword leg comes from their
-    feature sets, joined after the top-k (at most k rows per original).
+                depth: int | None = None, block_rows: int | None = None) -> DataFrame:
+    """(original_id, potential_duplicate_id, search_score, rrf_score): the
+    best k by the sum of 1 / (60 + rank) over the complete rankings of both
+    legs (rrf rounded to 9 decimals desc, partner id asc).
+
+    Each leg lists its best ``depth`` partners. At depth 60 + 2k a partner in
+    neither list sums to less than 2 / (121 + 2k) < 1 / (60 + k), the least sum
+    of any leg's best k: it cannot be among the best. A partner in one list
+    only lacks a rank below ``depth`` in the other leg; where that rank could
+    still matter (its greatest possible sum reaches the k-th of the sums
+    known), it is counted exactly in the tiles (``tiled_requests``).
     """
-    leg_k = int(leg_k or 2 * k)
+    depth = max(int(depth or 0), RRF_K + 2 * k)
     feats = materialize(binary_features(texts, id_col, text_col, text_mode))
     hint = text_size_hint(texts.where(texts[id_col].isNotNull()), text_col)
-    vec = best_k(tiled_topk(feats, "binary_cosine", leg_k, block_rows=block_rows, left_hint=hint), leg_k,
-                 keep_rank=True)
-    kw = bm25_self_topk(texts, id_col, text_col, leg_k, block_rows=block_rows, keep_rank=True)
-    fused = (vec.select("original_id", "potential_duplicate_id", "search_score", F.col("rank").alias("r_vec"))
-             .join(kw.select("original_id", "potential_duplicate_id", F.col("rank").alias("r_kw")),
-                   ["original_id", "potential_duplicate_id"], "full_outer"))
-    rrf = (F.coalesce(F.lit(1.0) / (F.lit(RRF_K) + F.col("r_vec")), F.lit(0.0))
-           + F.coalesce(F.lit(1.0) / (F.lit(RRF_K) + F.col("r_kw")), F.lit(0.0)))
-    fused = fused.withColumn("rrf_score", F.round(rrf, 9))
+    vec = best_k(tiled_topk(feats, "binary_cosine", depth, block_rows=block_rows, left_hint=hint), depth, keep_rank=True)
+    q, d, q_hint, d_hint = bm25_sides(texts, id_col, text_col, texts, id_col, text_col, self_search=True)
+    q, d = materialize(q), materialize(d)
+    kw = best_k(tiled_topk(q, "dot", depth, right=d, block_rows=block_rows, left_hint=q_hint, right_hint=d_hint), depth,
+                out_col="bm25_score", keep_rank=True)
+    fused = vec.withColumnRenamed("rank", "r_vec").join(kw.withColumnRenamed("rank", "r_kw"), PAIR, "full_outer")
+    # A leg that lists fewer than ``depth`` partners lists them all.
+    per = Window.partitionBy("original_id")
+    fused = fused.withColumn("more_vec", F.col("r_vec").isNull() & (F.count("r_vec").over(per) >= depth))
+    fused = fused.withColumn("more_kw", F.col("r_kw").isNull() & (F.count("r_kw").over(per) >= depth))
+    known = _share("r_vec") + _share("r_kw")
+    least = F.lit(1.0 / (RRF_K + depth + 1))
+    fused = fused.withColumn("low", known).withColumn(
+        "high", F.col("low") + F.when(F.col("more_vec") | F.col("more_kw"), least).otherwise(F.lit(0.0)))
+    place = F.row_number().over(per.orderBy(F.desc("low")))
+    fused = fused.withColumn("place", place)
+    fused = fused.withColumn("bar", F.min(F.when(F.col("place") <= k, F.col("low"))).over(per))
+    # Thin (at most 2 * depth rows an original, mostly far fewer); read by
+    # both look-ups and the fusion.
+    open_ = materialize(fused.where(F.col("high") >= F.col("bar") - F.lit(1e-12)).drop("low", "high", "place", "bar"))
+    ranked = _filled(open_, "vec", "search_score", feats, feats, "binary_cosine", hint, hint)
+    ranked = _filled(ranked, "kw", "bm25_score", q, d, "dot", q_hint, d_hint)
+    scored = ranked.withColumn("rrf_score", F.round(_share("r_vec") + _share("r_kw"), 9))
     w = Window.partitionBy("original_id").orderBy(F.desc("rrf_score"), F.asc("potential_duplicate_id"))
-    # thin (N * k rows); read twice below, so both legs run once
-    top = materialize(fused.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r"))
-    known = top.where(F.col("search_score").isNotNull())
-    missing = top.where(F.col("search_score").isNull()).drop("search_score")
-    fo = feats.select(F.col("id").alias("original_id"), F.col("f").alias("fo"))
-    fp = feats.select(F.col("id").alias("potential_duplicate_id"), F.col("f").alias("fp"))
-    inter = F.size(F.array_intersect("fo", "fp"))
-    filled = (missing.join(fo, "original_id").join(fp, "potential_duplicate_id")
-              .withColumn("search_score", F.round(
-                  F.when(inter > 0, inter / F.sqrt(F.size("fo").cast("double") * F.size("fp"))).otherwise(F.lit(0.0)), 6))
-              .drop("fo", "fp"))
-    cols = ["original_id", "potential_duplicate_id", "search_score", "rrf_score"]
-    return known.select(*cols).unionByName(filled.select(*cols))
+    top = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+    return top.select(*PAIR, F.coalesce("search_score", F.lit(0.0)).alias("search_score"), "rrf_score")
+
+
+def _share(rank: str) -> F.Column:
+    return F.coalesce(F.lit(1.0) / (F.lit(RRF_K) + F.col(rank)), F.lit(0.0))
+
+
+def _filled(pairs: DataFrame, leg: str, score: str, left: DataFrame, right: DataFrame, kind: str, left_hint, right_hint) -> DataFrame:
+    """``pairs`` with the ranks and scores that a leg's list did not reach."""
+    asked = pairs.where(F.col(f"more_{leg}")).select(*PAIR)
+
+    def side(requests: DataFrame) -> DataFrame:
+        req = requests.groupBy("original_id").agg(F.collect_list(F.struct(F.col("potential_duplicate_id").alias("id"), "s")).alias("req"))
+        return left.join(req, left["id"] == req["original_id"]).drop("original_id")
+
+    n = asked.select("original_id").distinct().count()
+    if n == 0:
+        return pairs
+    hint = (n, left_hint[1])
+    found = tiled_requests(side(asked.withColumn("s", F.lit(0.0))), right, kind, hint, right_hint)
+    found = materialize(found.groupBy(*PAIR).agg(F.round(F.max("value"), 6).alias("s")).where("s > 0"))
+    before = tiled_requests(side(found), right, kind, hint, right_hint, count=True)
+    before = before.groupBy(*PAIR).agg(F.sum("value").cast("int").alias("n"))
+    new = found.join(before, PAIR, "left").select(*PAIR, "s", (F.coalesce("n", F.lit(0)) + 1).alias("r"))
+    return pairs.join(materialize(new), PAIR, "left").withColumns(
+        {f"r_{leg}": F.coalesce(f"r_{leg}", "r"), score: F.coalesce(score, "s")}).drop("s", "r")

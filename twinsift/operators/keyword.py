@@ -21,6 +21,15 @@ def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFram
     query vectors with tf-weighted document vectors, computed in tiles, so a
     stop word in every document never becomes a hot join key.
     """
+    q, vectors, q_hint, hint = bm25_sides(queries, query_id, query_text, docs, doc_id, doc_text, self_search)
+    pairs = tiled_topk(q, "dot", k, right=vectors, block_rows=block_rows, exclude_same_id=exclude_same_id,
+                       left_hint=q_hint, right_hint=hint)
+    return best_k(pairs, k, out_col="bm25_score", keep_rank=keep_rank)
+
+
+def bm25_sides(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame, doc_id: str, doc_text: str, self_search: bool = False):
+    """The query and document vectors whose dot product is the BM25 score,
+    each with (rows, mean terms)."""
     vectors, doc_freq, n, avgdl = bm25_index(docs, doc_id, doc_text)
     if self_search:
         vectors = materialize(vectors)  # read by the tiles and as the query terms
@@ -30,9 +39,7 @@ def bm25_topk(queries: DataFrame, query_id: str, query_text: str, docs: DataFram
     q = bm25_query_vectors(queries, query_id, query_text, doc_freq, n,
                            n_query_terms=max(1, int(q_hint[0] * q_hint[1])), self_search=self_search,
                            doc_vectors=vectors if self_search else None)
-    pairs = tiled_topk(q, "dot", k, right=vectors, block_rows=block_rows, exclude_same_id=exclude_same_id,
-                       left_hint=q_hint, right_hint=(n, avgdl))
-    return best_k(pairs, k, out_col="bm25_score", keep_rank=keep_rank)
+    return q, vectors, q_hint, (n, avgdl)
 
 
 def bm25_self_topk(texts: DataFrame, id_col: str, text_col: str, k: int, block_rows: int | None = None,

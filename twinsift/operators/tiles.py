@@ -189,6 +189,50 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     return tiles.groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
 
 
+def tiled_requests(left: DataFrame, right: DataFrame, kind: str, left_hint: tuple[int, float],
+                   right_hint: tuple[int, float], count: bool = False) -> DataFrame:
+    """Look up given pairs in the tiles of ``left`` x ``right``.
+
+    ``left`` carries ``req``, an array of (id, s). Without ``count`` the result
+    is the score of each requested pair (0 if the rows share nothing); with it,
+    how many rows of ``right`` rank before the pair (a greater rounded score
+    than ``s``, or the same and a smaller id). Rows (original_id,
+    potential_duplicate_id, value), to be added up over the tiles.
+    """
+    ship_package(left.sparkSession)
+    cols = ["id"] + _payload_cols(kind)
+    br = choose_block_rows(max(left_hint[1], right_hint[1]), None, max(left_hint[0], right_hint[0]),
+                           left.sparkSession.sparkContext.defaultParallelism)
+    bl, b_right = max(1, math.ceil(left_hint[0] / br)), max(1, math.ceil(right_hint[0] / br))
+    lt = left.select(*cols, "req", F.lit(0).alias("_side"), F.pmod(F.xxhash64("id"), F.lit(bl)).cast("int").alias("_ti"),
+                     F.explode(F.sequence(F.lit(0), F.lit(b_right - 1))).alias("_tj"))
+    rt = right.select(*cols, F.lit(None).cast(left.schema["req"].dataType).alias("req"), F.lit(1).alias("_side"),
+                      F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("_ti"),
+                      F.pmod(F.xxhash64("id"), F.lit(b_right)).cast("int").alias("_tj"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        lp, rp = pdf[pdf["_side"] == 0].reset_index(drop=True), pdf[pdf["_side"] == 1].reset_index(drop=True)
+        out = []
+        if len(lp) and len(rp):
+            score, valid = _scores(kind, lp, rp)
+            rid = rp["id"].to_numpy()
+            place = {p: j for j, p in enumerate(rid)}
+            for i, (o, req) in enumerate(zip(lp["id"], lp["req"], strict=True)):
+                key = kernels.round6(score[i])
+                fit = valid[i] & (rid != o)
+                for p, s in ((r["id"], r["s"]) for r in req):
+                    if count:
+                        n = int((fit & ((key > s + 5e-7) | ((np.abs(key - s) < 5e-7) & (rid < p)))).sum())
+                        if n:
+                            out.append((o, p, float(n)))
+                    elif p in place:
+                        out.append((o, p, float(score[i, place[p]]) if fit[place[p]] else 0.0))
+        return pd.DataFrame(out, columns=["original_id", "potential_duplicate_id", "value"])
+
+    tiles = _spread_tiles(lt.unionByName(rt), ["_ti", "_tj"], bl * b_right)
+    return tiles.groupBy("_ti", "_tj").applyInPandas(run, _out_schema(left).replace("score double", "value double"))
+
+
 def _bucket_function(kind: str, k: int):
     """Tile function for bucket tiles: a packed group of small buckets (each
     scored on its own) or one block pair of a large bucket."""
