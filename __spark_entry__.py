@@ -179,7 +179,8 @@ def _q_lsh_candidates(spark, sf):
 
 def _q_hash_embed(spark, sf):
     from twinsift.functions.vectorize import embed
-    return embed(_t(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "embedding")
+    out = embed(_t(spark, sf, "documents").select("doc_id", "text"), "text")
+    return out.select("doc_id", F.transform("embedding", lambda x: F.round(x.cast("double"), 6)).alias("embedding"))
 
 
 def _q_dense_detect(spark, sf):
@@ -423,6 +424,52 @@ SELECT top.original_id, top.potential_duplicate_id, coalesce(s.search_score, 0.0
 FROM top LEFT JOIN scored s USING (original_id, potential_duplicate_id)"""
 
 
+_SQL["minhash_candidates"] = _sql_topk(DOCS_SRC, "shingles") + """,
+  x AS (SELECT DISTINCT id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS x FROM feat),
+  co AS (SELECT i, ('0x' || substr(md5('a' || i), 1, 7))::BIGINT + 1 AS a, ('0x' || substr(md5('b' || i), 1, 7))::BIGINT AS b
+         FROM range(0, 64) t(i)),
+  sig AS (SELECT id, i, min((a * x + b) % 2147483647) AS m FROM x, co GROUP BY id, i),
+  band AS (SELECT id, i // 4 AS band, list(m ORDER BY i) AS key FROM sig GROUP BY id, i // 4),
+  near AS (SELECT DISTINCT a.id AS original_id, b.id AS potential_duplicate_id
+           FROM band a JOIN band b ON a.band = b.band AND a.key = b.key AND a.id <> b.id)
+SELECT * FROM scored JOIN near USING (original_id, potential_duplicate_id)
+QUALIFY row_number() OVER (PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id) <= 3"""
+
+_SQL["lsh_candidates"] = """WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+  n AS (SELECT greatest(6, ceil(log2(count(*) / 8.0)))::BIGINT AS bits, max(len(v)) AS dim FROM e),
+  pl AS (SELECT j, list(1.0 - 2.0 * (('0x' || substr(md5(i || ':' || j), 1, 1))::BIGINT & 1) ORDER BY i)::DOUBLE[] AS p
+         FROM n, range(0, 64) a(i), range(0, 48 * 24) b(j) WHERE i < dim AND j < 48 * bits GROUP BY j),
+  bt AS (SELECT id, j // bits AS band, list(CASE WHEN list_dot_product(v, p) >= 0 THEN 1 ELSE 0 END ORDER BY j) AS key
+         FROM e, pl, n GROUP BY id, j // bits),
+  near AS (SELECT DISTINCT a.id AS original_id, b.id AS potential_duplicate_id
+           FROM bt a JOIN bt b ON a.band = b.band AND a.key = b.key AND a.id <> b.id),
+  s AS (SELECT original_id, potential_duplicate_id, round(greatest(least(list_dot_product(a.v, b.v)
+          / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)), 1.0), 0.0), 6) AS search_score
+        FROM near JOIN e a ON a.id = original_id JOIN e b ON b.id = potential_duplicate_id)
+SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id) <= 3"""
+
+EMBEDDED = """
+  gr AS (SELECT id, substr(md5(substr(t, i::INT, 3)), 1, 10) AS h FROM (
+           SELECT id, t, unnest(range(1, length(t) - 1)) AS i FROM (SELECT id, lower(text) AS t FROM texts))),
+  gc AS (SELECT id, ('0x' || substr(h, 1, 8))::BIGINT % 64 AS p, sum(1 - 2 * (('0x' || substr(h, 9, 2))::BIGINT % 2))::DOUBLE AS c
+         FROM gr GROUP BY 1, 2),
+  gn AS (SELECT id, sqrt(sum(c * c)) AS n FROM gc GROUP BY id),
+  em AS (SELECT id, list((coalesce(c / nullif(n, 0), 0))::FLOAT ORDER BY p) AS v
+         FROM (SELECT id, p FROM texts, range(0, 64) r(p)) LEFT JOIN gc USING (id, p) LEFT JOIN gn USING (id) GROUP BY id)"""
+
+_SQL["hash_embed"] = "WITH texts AS (SELECT doc_id AS id, text FROM documents)," + EMBEDDED + """
+SELECT id AS doc_id, list_transform(v, lambda x: round(x::DOUBLE, 6)) AS embedding FROM em"""
+
+_SQL["dense_detect"] = f"WITH texts AS ({DOCS_SRC})," + EMBEDDED + f""",
+  d AS MATERIALIZED (SELECT id, v::DOUBLE[] AS v, sqrt(list_dot_product(v::DOUBLE[], v::DOUBLE[])) AS n FROM em),
+  s AS (SELECT a.id AS original_id, b.id AS potential_duplicate_id,
+          round(greatest(least(coalesce(list_dot_product(a.v, b.v) / nullif(a.n * b.n, 0), 0), 1.0), 0.0), 6) AS search_score
+        FROM d a JOIN d b ON a.id <> b.id),
+  c AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY original_id ORDER BY search_score DESC, potential_duplicate_id) <= {K})
+SELECT original_id, o.text AS original_combined_data, potential_duplicate_id, p.text AS potential_duplicate_combined_data, search_score
+FROM c JOIN texts o ON o.id = original_id JOIN texts p ON p.id = potential_duplicate_id"""
+
 _SQL["incremental_candidates"] = _SQL["sparse_cosine_topk"]
 
 

@@ -4,7 +4,8 @@ import re
 from pyspark.sql import functions as F
 
 from twinsift.operators.hybrid import hybrid_topk
-from twinsift.operators.keyword import bm25_topk
+from twinsift.operators.candidates import similarity_pairs
+from twinsift.operators.keyword import bm25_self_topk, bm25_topk
 from twinsift.operators.tiles import skew_join
 
 WORD = re.compile(r"[^\w]+", re.UNICODE)
@@ -54,6 +55,37 @@ def test_hybrid_reports_cosine_and_fuses_ranks(spark):
     assert top[(1, 2)].rrf_score == round(2 / 61, 9)
 
 
+def test_hybrid_fuses_complete_ranks(spark):
+    """All partners ranked in both legs by brute force; a short list depth
+    would lose partners that rank well in neither list but in both legs."""
+    import random
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rnd.choice(words[: 8 + i % 32]) for _ in range(rnd.randint(2, 14)))) for i in range(160)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = {}
+    for r in hybrid_topk(df, "id", "text", 3, text_mode="words").collect():
+        got.setdefault(r.original_id, []).append((r.potential_duplicate_id, r.rrf_score, r.search_score))
+    full = lambda rows, s: {o: sorted(v, key=lambda x: (-x[1], x[0])) for o, v in _group(rows, s).items()}
+    n = len(rows)
+    vec = full(similarity_pairs(df, n, "exact", "words").collect(), "search_score")
+    kw = full(bm25_self_topk(df, "id", "text", n).collect(), "bm25_score")
+    for o, _ in rows:
+        total = {}
+        for leg in (vec, kw):
+            for rank, (p, _) in enumerate(leg.get(o, []), 1):
+                total[p] = total.get(p, 0) + 1 / (60 + rank)
+        want = sorted(((p, round(t, 9), dict(vec.get(o, [])).get(p, 0.0)) for p, t in total.items()), key=lambda x: (-x[1], x[0]))[:3]
+        assert sorted(got.get(o, []), key=lambda x: (-x[1], x[0])) == want
+
+
+def _group(rows, score):
+    out = {}
+    for r in rows:
+        out.setdefault(r.original_id, []).append((r.potential_duplicate_id, r[score]))
+    return out
+
+
 def test_skew_join_spreads_hot_key_and_keeps_rows(spark):
     big = spark.createDataFrame([(i, 7 if i % 3 == 0 else i) for i in range(3000)], "id long, k long")
     small = spark.createDataFrame([(7, "hot")] + [(i, f"v{i}") for i in range(3000) if i != 7], "k long, v string")

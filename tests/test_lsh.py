@@ -1,8 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from twinsift.operators.knn import sparse_cosine_topk
-from twinsift.operators.lsh import hyperplane_topk, minhash_topk
+from twinsift.operators.lsh import hyperplane_rows, hyperplane_topk, minhash_topk
 
 from conftest import SF0001
 
@@ -14,14 +15,16 @@ def _doc_texts(spark):
 
 def test_minhash_scores_are_exact_and_recall_is_high(spark):
     texts = _doc_texts(spark)
+    n = texts.count()
+    full = {(r.original_id, r.potential_duplicate_id): r.search_score
+            for r in sparse_cosine_topk(texts, "id", "text", n).collect()}
     exact = {(r.original_id, r.potential_duplicate_id): r.search_score
              for r in sparse_cosine_topk(texts, "id", "text", 3).collect()}
     approx = {(r.original_id, r.potential_duplicate_id): r.search_score
               for r in minhash_topk(texts, "id", "text", 3).collect()}
-    # every LSH pair carries its exact score
-    all_pairs = sparse_cosine_topk(texts, "id", "text", 50).collect()
-    full = {(r.original_id, r.potential_duplicate_id): r.search_score for r in all_pairs}
-    assert all(abs(full[p] - s) < 1e-9 for p, s in approx.items() if p in full)
+    # every LSH pair is one of the exact pairs, with its exact score
+    assert set(approx) <= set(full)
+    assert all(abs(full[p] - s) < 1e-9 for p, s in approx.items())
     high = [p for p, s in exact.items() if s >= 0.8]
     found = sum(1 for p in high if p in approx)
     assert high and found / len(high) >= 0.9
@@ -40,9 +43,27 @@ def test_minhash_hot_bucket(spark, collapse):
 
 def test_hyperplane_lsh_subset_with_exact_scores(spark):
     emb = spark.read.parquet(f"{SF0001}/embeddings.parquet")
+    rows = emb.orderBy("vec_id").collect()
+    m = np.array([r.embedding for r in rows], dtype=np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    cos = m @ m.T
+    np.fill_diagonal(cos, -1)
+    at = {r.vec_id: i for i, r in enumerate(rows)}
     got = hyperplane_topk(emb, "vec_id", "embedding", 3).collect()
-    assert got and all(0.0 <= r.search_score <= 1.0 for r in got)
-    assert all(r.original_id != r.potential_duplicate_id for r in got)
+    assert got and all(r.original_id != r.potential_duplicate_id for r in got)
+    found = set()
+    for r in got:
+        i, j = at[r.original_id], at[r.potential_duplicate_id]
+        assert abs(max(0.0, cos[i, j]) - r.search_score) < 1e-6
+        found.add((i, j))
+    best = {(i, j) for i in range(len(rows)) for j in np.argsort(-cos[i])[:3]}
+    assert len(best & found) >= 0.9 * len(best)
+
+
+def test_hyperplane_work_grows_with_the_rows():
+    # bits follow the rows: about the same number of random rows a bucket
+    for n in (10**3, 10**6, 10**9):
+        assert 4 <= n / 2 ** hyperplane_rows(n) <= 16
 
 
 def test_minhash_collapse_equals_plain(spark):

@@ -89,7 +89,7 @@ def hashed(features: Column) -> Column:
     return F.array_distinct(F.transform(features, lambda s: F.xxhash64(s)))
 
 
-def _token_column(text: Column, mode: str) -> Column:
+def token_column(text: Column, mode: str) -> Column:
     if mode in ("shingles", "words"):
         return word_tokens(text, WORD_PATTERN)
     if mode == "tokens":
@@ -130,7 +130,7 @@ def with_features(df: DataFrame, text_col: str, mode: str = "shingles", out_col:
     the split for every shingle).
     """
     keep = [c for c in (keep or []) if c != text_col]
-    toks = df.select(*keep, _token_column(F.col(text_col), mode).alias("_toks"))
+    toks = df.select(*keep, token_column(F.col(text_col), mode).alias("_toks"))
     if mode == "shingles":
         # token hashes are their own projection: the shingle step reads them
         # four times and must not recompute them

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,19 +31,18 @@ def binary_features(df: DataFrame, id_col: str, text_col: str, mode: str = "shin
 
 
 def _tf_weights(hashes: pd.Series, k1: float, b: float, avgdl: float) -> pd.DataFrame:
-    """Per document: distinct term hashes and tf (k1 + 1) / (tf + k1 (1 - b + b |d| / avgdl))."""
-    fs, ws = [], []
-    for h in hashes:
-        if h is None or len(h) == 0:
-            fs.append(np.zeros(0, dtype=np.int64))
-            ws.append(np.zeros(0, dtype=np.float64))
-            continue
-        terms, tf = np.unique(np.asarray(h, dtype=np.int64), return_counts=True)
-        tf = tf.astype(np.float64)
-        norm = k1 * ((1.0 - b) + b * len(h) / avgdl)
-        fs.append(terms)
-        ws.append(tf * (k1 + 1.0) / (tf + norm))
-    return pd.DataFrame({"f": fs, "w": ws})
+    """Per document: distinct term hashes and tf (k1 + 1) / (tf + k1 (1 - b + b |d| / avgdl)),
+    in one flat pass over the batch."""
+    lens = np.fromiter((0 if h is None else len(h) for h in hashes), np.int64, len(hashes))
+    flat = np.concatenate([np.asarray(h, np.int64) for h in hashes if h is not None and len(h)]) if lens.sum() else np.zeros(0, np.int64)
+    doc = np.repeat(np.arange(len(lens)), lens)
+    order = np.lexsort((flat, doc))
+    flat, doc = flat[order], doc[order]
+    first = np.flatnonzero(np.r_[True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])]) if len(flat) else np.zeros(0, np.int64)
+    tf = np.diff(np.r_[first, len(flat)]).astype(np.float64)
+    w = tf * (k1 + 1.0) / (tf + k1 * ((1.0 - b) + b * lens[doc[first]] / avgdl))
+    cuts = np.cumsum(np.bincount(doc[first], minlength=len(lens)))[:-1] if len(lens) else []
+    return pd.DataFrame({"f": np.split(flat[first], cuts), "w": np.split(w, cuts)}) if len(lens) else pd.DataFrame({"f": [], "w": []})
 
 
 def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1, b: float = BM25_B):
@@ -105,33 +107,38 @@ def bm25_query_vectors(queries: DataFrame | None, id_col: str, text_col: str, do
             .select("id", F.col("t.h").alias("f"), F.col("t.idf").alias("w")))
 
 
+class _GramPlaces(dict):
+    """gram -> place (sign in the lowest bit) from its MD5, so that any engine
+    can make the same vectors; emptied when it is full."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= 1 << 18:
+            self.clear()
+        h = hashlib.md5(gram.encode("utf-8", "surrogatepass")).hexdigest()
+        out = self[gram] = int(h[:8], 16) % self.dim * 2 + int(h[8:10], 16) % 2
+        return out
+
+
 def _hash_embed_batch(texts: pd.Series, dim: int, gram: int) -> pd.Series:
-    out = []
-    mix = np.uint64(0x9E3779B97F4A7C15)
+    places, out = _GramPlaces(dim), []
     for t in texts:
-        v = np.zeros(dim, dtype=np.float64)
-        if t:
-            b = np.frombuffer(t.lower().encode("utf-8"), dtype=np.uint8).astype(np.uint64)
-            if len(b) >= gram:
-                h = np.zeros(len(b) - gram + 1, dtype=np.uint64)
-                for j in range(gram):
-                    h = h * np.uint64(257) + b[j: len(b) - gram + 1 + j]
-                h = h * mix
-                h ^= h >> np.uint64(29)
-                idx = (h % np.uint64(dim)).astype(np.int64)
-                sign = np.where((h >> np.uint64(63)) == 1, -1.0, 1.0)
-                v = np.bincount(idx, weights=sign, minlength=dim)
-                nrm = np.linalg.norm(v)
-                if nrm > 0:
-                    v = v / nrm
-        out.append(v.astype(np.float32))
+        t = (t or "").lower()
+        grams = map("".join, zip(*[t[i:] for i in range(gram)], strict=False))
+        h = np.fromiter(map(places.__getitem__, grams), np.int64, max(0, len(t) - gram + 1))
+        v = np.bincount(h >> 1, weights=1.0 - 2.0 * (h & 1), minlength=dim)
+        nrm = math.sqrt(float(v @ v))
+        out.append((v / nrm if nrm > 0 else v).astype(np.float32))
     return pd.Series(out)
 
 
 def hash_embed(text: Column, dim: int = EMBED_DIM, gram: int = EMBED_GRAM) -> Column:
-    """Embed a text column: signed feature hashing of byte n-grams, L2
-    normalised, as ``array<float>`` -- a model-free stand-in for an embedding
-    endpoint, vectorised per Arrow batch."""
+    """Embed a text column: signed feature hashing of the lower-cased text's
+    character n-grams (repeats included), L2 normalised, as ``array<float>``
+    -- a model-free stand-in for an embedding endpoint."""
     ship_package()
 
     @F.pandas_udf("array<float>")

@@ -10,65 +10,86 @@ scores.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinsift.functions.text import token_column, word_shingles
 from twinsift.functions.vectorize import binary_features
 from twinsift.operators.candidates import best_k
 from twinsift.operators.tiles import grouped_tiled_topk
 from twinsift.session import ship_package
-from twinsift.sources.tables import materialize
+from twinsift.sources.tables import ensure_parallel, materialize
 
 MINHASH_BANDS, MINHASH_ROWS = 16, 4
-HYPERPLANE_BANDS, HYPERPLANE_ROWS = 16, 8
-SEED = 17
+HYPERPLANE_MIN_BITS = 6
+HYPERPLANE_BANDS = 48
+PRIME = 2**31 - 1  # fixed: the hash family (a x + b) mod p
 
 
-def _minhash_params(num: int, seed: int):
-    rng = np.random.default_rng(seed)
-    a = rng.integers(1, 2 ** 63 - 1, size=num, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-    b = rng.integers(0, 2 ** 63 - 1, size=num, dtype=np.int64).astype(np.uint64)
-    return a, b
+def coefficients(num: int) -> tuple[list[int], list[int]]:
+    """a and b of the hash family, from MD5, so that SQL can state the same."""
+    number = lambda name: int(hashlib.md5(name.encode()).hexdigest()[:7], 16)
+    return [number(f"a{i}") + 1 for i in range(num)], [number(f"b{i}") for i in range(num)]
 
 
-def minhash_signature(features: Column, num: int = MINHASH_BANDS * MINHASH_ROWS, seed: int = SEED) -> Column:
-    """array<bigint> of ``num`` minima of multiply-shift hashes of the features."""
-    a, b = _minhash_params(num, seed)
+def minhash_signature(features: Column, num: int = MINHASH_BANDS * MINHASH_ROWS) -> Column:
+    """array<bigint> of ``num`` minima of (a x + b) mod (2^31 - 1) over the
+    portable hashes of the features; flat over the batch, one hash at a time."""
+    a, b = coefficients(num)
     ship_package()
 
     @F.pandas_udf("array<bigint>")
     def _sig(s: pd.Series) -> pd.Series:
-        out = []
-        for f in s:
-            if f is None or len(f) == 0:
-                out.append(None)
-                continue
-            x = np.asarray(f, dtype=np.int64).astype(np.uint64)
-            h = (a[:, None] * x[None, :] + b[:, None]) >> np.uint64(1)
-            out.append(h.min(axis=1).astype(np.int64))
-        return pd.Series(out)
+        lens = np.fromiter((0 if f is None else len(f) for f in s), np.int64, len(s))
+        out = pd.Series([None] * len(s), dtype=object)
+        full = np.flatnonzero(lens)
+        if len(full):
+            flat = np.concatenate([np.asarray(s.iloc[i], np.int64) for i in full])
+            starts = np.cumsum(lens[full]) - lens[full]
+            sig = np.stack([np.minimum.reduceat((flat * x + y) % PRIME, starts) for x, y in zip(a, b, strict=True)], axis=1)
+            for i, row in zip(full, sig, strict=True):
+                out.iloc[i] = row
+        return out
 
     return _sig(features)
 
 
-def hyperplane_bits(vec: Column, num: int = HYPERPLANE_BANDS * HYPERPLANE_ROWS, seed: int = SEED) -> Column:
-    """array<int> sign bits of the vector against ``num`` seeded hyperplanes."""
+def portable_hashes(df: DataFrame, id_col: str, text_col: str, mode: str) -> DataFrame:
+    """(id, x): the distinct features of ``binary_features`` as the first 28
+    bits of their MD5."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where(F.col("id").isNotNull())
+    toks = ensure_parallel(rows).select("id", token_column(F.col("_text"), mode).alias("_toks"))
+    grams = word_shingles(F.col("_toks")) if mode == "shingles" else F.array_distinct("_toks")
+    return toks.select("id", grams.alias("g")).select("id", F.array_distinct(F.transform(
+        "g", lambda g: F.conv(F.substring(F.md5(g), 1, 7), 16, 10).cast("long"))).alias("x"))
+
+
+def hyperplanes(dim: int, num: int) -> np.ndarray:
+    """dim x num signs from MD5 bits (random +-1 planes)."""
+    bit = lambda i, j: int(hashlib.md5(f"{i}:{j}".encode()).hexdigest()[:1], 16) & 1
+    return np.array([[1.0 - 2.0 * bit(i, j) for j in range(num)] for i in range(dim)])
+
+
+def hyperplane_bits(vec: Column, num: int) -> Column:
+    """array<int> sign bits of the vector against ``num`` planes: one matrix
+    product for the vectors of a length."""
     ship_package()
 
     @F.pandas_udf("array<int>")
     def _bits(s: pd.Series) -> pd.Series:
-        out, planes = [], {}
-        for v in s:
-            if v is None or len(v) == 0:
-                out.append(None)
-                continue
-            d = len(v)
-            if d not in planes:
-                planes[d] = np.random.default_rng(seed).standard_normal((d, num))
-            out.append((np.asarray(v, dtype=np.float64) @ planes[d] >= 0).astype(np.int32))
-        return pd.Series(out)
+        out = pd.Series([None] * len(s), dtype=object)
+        lens = np.fromiter((0 if v is None else len(v) for v in s), np.int64, len(s))
+        for d in np.unique(lens[lens > 0]):
+            at = np.flatnonzero(lens == d)
+            m = np.stack([np.asarray(s.iloc[i], np.float64) for i in at])
+            for i, row in zip(at, (m @ hyperplanes(int(d), num) >= 0).astype(np.int32), strict=True):
+                out.iloc[i] = row
+        return out
 
     return _bits(vec)
 
@@ -86,14 +107,13 @@ def _bucketed_topk(memberships: DataFrame, payload: DataFrame, kind: str, k: int
     return best_k(pairs, k)
 
 
-def minhash_features_topk(feats: DataFrame, k: int, bands: int = MINHASH_BANDS, rows: int = MINHASH_ROWS,
+def minhash_features_topk(feats: DataFrame, hashes: DataFrame, k: int, bands: int = MINHASH_BANDS, rows: int = MINHASH_ROWS,
                           block_rows: int | None = None) -> DataFrame:
-    """MinHash LSH over (id, f) feature sets."""
-    sig = materialize(feats.select("id", "f", minhash_signature(F.col("f"), bands * rows).alias("sig")))
+    """MinHash LSH over (id, f) feature sets with their (id, x) hashes."""
+    sig = materialize(hashes.select("id", minhash_signature(F.col("x"), bands * rows).alias("sig")))
     keyed = sig.where(F.col("sig").isNotNull()).select(
         "id", F.explode(band_keys(F.col("sig"), bands, rows)).alias("grp"))
-    n = sig.count() * bands
-    return _bucketed_topk(keyed, sig.select("id", "f"), "binary_cosine", k, block_rows, n)
+    return _bucketed_topk(keyed, feats.select("id", "f"), "binary_cosine", k, block_rows, sig.count() * bands)
 
 
 def minhash_topk(texts: DataFrame, id_col: str, text_col: str, k: int, mode: str = "shingles",
@@ -102,24 +122,36 @@ def minhash_topk(texts: DataFrame, id_col: str, text_col: str, k: int, mode: str
     """Best k partners among rows sharing a MinHash band (exact cosine).
 
     Exact copies share every band, so a big group of copies would make one
-    huge bucket; as in the exact path they are collapsed first
-    (identical sets always collide, so the expansion is the same LSH result).
+    huge bucket; as in the exact path they are collapsed first (identical
+    sets always collide, so the expansion is the same LSH result).
     """
     from twinsift.operators.copies import topk_with_copies_collapsed
 
-    feats = binary_features(texts, id_col, text_col, mode)
+    feats = materialize(binary_features(texts, id_col, text_col, mode))
+    hashes = portable_hashes(texts, id_col, text_col, mode)
     if not collapse_copies:
-        return minhash_features_topk(feats, k, bands, rows, block_rows)
+        return minhash_features_topk(feats, hashes, k, bands, rows, block_rows)
     n = texts.where(F.col(id_col).isNotNull()).count()
     return topk_with_copies_collapsed(
-        feats, k, lambda reps, kk: minhash_features_topk(reps, kk, bands, rows, block_rows), n)
+        feats, k, lambda reps, kk: minhash_features_topk(reps, hashes.join(reps.select("id"), "id", "left_semi"), kk, bands, rows, block_rows), n)
+
+
+def hyperplane_rows(n: int) -> int:
+    """Bits a band: buckets of about 8 random rows at any size, so that the
+    scored pairs grow with the rows, not with their square."""
+    return max(HYPERPLANE_MIN_BITS, math.ceil(math.log2(max(1, n) / 8)))
 
 
 def hyperplane_topk(df: DataFrame, id_col: str, vec_col: str, k: int, bands: int = HYPERPLANE_BANDS,
-                    rows: int = HYPERPLANE_ROWS, block_rows: int | None = None) -> DataFrame:
-    """Best k partners among rows sharing a hyperplane band (exact cosine)."""
+                    rows: int | None = None, block_rows: int | None = None) -> DataFrame:
+    """Best k partners among rows sharing a hyperplane band (exact cosine).
+
+    ``rows`` (bits a band) follows the number of rows; a pair at angle ``t``
+    shares one of the bands with chance ``1 - (1 - (1 - t / pi)^rows)^bands``,
+    so more ``bands`` raise the recall of lower cosines."""
     vecs = (df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
             .where(F.col("id").isNotNull() & F.col("vec").isNotNull()))
+    rows = rows or hyperplane_rows(vecs.count())
     bits = materialize(vecs.select("id", "vec", hyperplane_bits(F.col("vec"), bands * rows).alias("bits")))
     keyed = bits.select("id", F.explode(band_keys(F.col("bits"), bands, rows)).alias("grp"))
     return _bucketed_topk(keyed, bits.select("id", "vec"), "dense_cosine", k, block_rows, bits.count() * bands)
