@@ -204,6 +204,59 @@ def _q_incremental_candidates(spark, sf):
     return handler.latest()
 
 
+def _q_repeated_keys_topk(spark, sf):
+    """``part`` twice: a repeated key is one record, so the lists are those of
+    ``part`` once."""
+    silver = with_combined_text(_t(spark, sf, "part"), PARTS.exclude)
+    texts = silver.select(F.col("p_partkey").alias("id"), F.col("combined_data").alias("text"))
+    return candidates.similarity_pairs(texts.unionByName(texts), K, "exact", PARTS.text_mode)
+
+
+def _run_folder(spark, name: str) -> str:
+    import uuid
+
+    from twinsift.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _q_written_table(spark, sf):
+    """Overwrite sink twice, with column comments, and the scan of it."""
+    from twinsift.sources.tables import read_table, write_overwrite
+
+    path = _run_folder(spark, "written") + "/part"
+    part = _t(spark, sf, "part")
+    for _ in range(2):
+        write_overwrite(part, path, comments={"p_name": "the part's name"})
+    return read_table(spark, path)
+
+
+def _job(spark, sf):
+    from twinsift.config import JobParams
+    from twinsift.plans import jobs
+
+    spec = EntitySpec(f"{sf.rstrip('/')}/part.parquet", PARTS.primary_key, PARTS.exclude, PARTS.threshold, PARTS.text_mode)
+    params = JobParams(catalog=_run_folder(spark, "lake"), num_results=K, method="exact", entities=(spec,))
+    return jobs, params, spec, jobs.run_pipeline(spark, params, setup=True)
+
+
+def _q_job_gold(spark, sf):
+    """The job layer over ``part``: setup, checks, detect, analyze, dedupe,
+    each step reading the tables the one before wrote; its gold table."""
+    jobs, params, spec, _ = _job(spark, sf)
+    return _read(spark, jobs.layout_of(params).gold(spec))
+
+
+def _q_job_analysis(spark, sf):
+    jobs, params, _, _ = _job(spark, sf)
+    out = _read(spark, jobs.layout_of(params).analysis())
+    return out.withColumn("avg_search_score", F.round("avg_search_score", 6))
+
+
+def _read(spark, name: str) -> DataFrame:
+    return spark.read.parquet(name)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combined_text": _q_combined_text,
     "combined_text_nulls": _q_combined_text_nulls,
@@ -231,6 +284,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_embed": _q_hash_embed,
     "dense_detect": _q_dense_detect,
     "incremental_candidates": _q_incremental_candidates,
+    "repeated_keys_topk": _q_repeated_keys_topk,
+    "written_table": _q_written_table,
+    "job_gold": _q_job_gold,
+    "job_analysis": _q_job_analysis,
 }
 
 
@@ -424,6 +481,10 @@ SELECT top.original_id, top.potential_duplicate_id, coalesce(s.search_score, 0.0
 FROM top LEFT JOIN scored s USING (original_id, potential_duplicate_id)"""
 
 
+_SQL["repeated_keys_topk"] = _SQL["sparse_cosine_ties"]
+_SQL["written_table"] = "SELECT * FROM part"
+_SQL["job_gold"] = _SQL["distinct_rows"]
+_SQL["job_analysis"] = _sql_analysis(PARTS_TOPK, "part", "part")
 _SQL["minhash_candidates"] = _sql_topk(DOCS_SRC, "shingles") + """,
   x AS (SELECT DISTINCT id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS x FROM feat),
   co AS (SELECT i, ('0x' || substr(md5('a' || i), 1, 7))::BIGINT + 1 AS a, ('0x' || substr(md5('b' || i), 1, 7))::BIGINT AS b
