@@ -79,7 +79,7 @@ def test_repeated_rows_nulls_and_extra_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0).unionByName(spark.createDataFrame(
         [(1, "one text of its own", "en", "a", 1), (1, "one text of its own", "en", "a", 1), (2, None, None, None, None),
          (3, "", "en", "a", 0), (None, "no id here", "en", "b", 3)], spark.read.parquet(f"{SF}/documents.parquet").schema))
-    docs = docs.withColumn("score", F.lit(1)).withColumn("toxicity_x", F.lit("a"))
+    docs = docs.withColumn("score", F.lit(1)).withColumn("toxicity", F.lit("a")).withColumn("copies", F.lit(2))
     for name, stage in corpus_pipeline.STAGES:
         out = common.stored(stage(spark, docs, SF), "edge")
         if name == "simhash near-dedup":

@@ -53,7 +53,7 @@ BLOCK = 64
 NEIGHBOURS = 15
 SOFT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 300_000
+_CACHED = 400_000
 
 
 def word_terms(word: str) -> tuple[str, ...]:
@@ -61,25 +61,37 @@ def word_terms(word: str) -> tuple[str, ...]:
     return (word, word[:STEM] + "*") if len(word) > STEM else (word,)
 
 
-class _Places(dict):
-    """word -> places of its terms in the space; emptied when it is full."""
+class _Places:
+    """Runs of non-blanks -> places of their words' terms in the space. Runs
+    looked up before are known to have some (``found``) or none; both are
+    emptied when they are full."""
 
     def __init__(self, space: dict[str, int]):
-        super().__init__()
-        self.space = space
+        self.space, self.none, self.found = space, set(), {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= _CACHED:
-            self.clear()
-        out = self[word] = tuple(p for t in word_terms(word) if (p := self.space.get(t)) is not None)
-        return out
+    def of(self, distinct: set[str]) -> dict[str, list[int]]:
+        """The places of those runs that have any."""
+        if len(self.none) + len(self.found) >= _CACHED:
+            self.none, self.found = set(), {}
+        for run in distinct - self.none - self.found.keys():
+            places = [p for w in _WORD.findall(run) for t in word_terms(w) if (p := self.space.get(t)) is not None]
+            if places:
+                self.found[run] = places
+            else:
+                self.none.add(run)
+        return {run: self.found[run] for run in distinct & self.found.keys()}
 
 
 def term_counts(text: str | None, places: _Places) -> tuple[list[int], list[int]]:
-    """Places and counts of a whole text's terms in the space."""
+    """Places and counts of a whole text's terms in the space (a word never
+    crosses white space)."""
+    runs = (text or "").lower().split()
+    found = places.of(set(runs))
+    if not found:
+        return [], []
     counts: dict[int, int] = {}
-    for found in filter(None, map(places.__getitem__, _WORD.findall((text or "").lower()))):
-        for p in found:
+    for run in filter(found.__contains__, runs):
+        for p in found[run]:
             counts[p] = counts.get(p, 0) + 1
     return sorted(counts), [counts[p] for p in sorted(counts)]
 
@@ -312,9 +324,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model([(r["doc_id"], of[r["doc_id"]], r["v"]["places"], r["v"]["counts"]) for r in sample.collect()], space, idf, class_weight)
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns toxicity (the probability), toxicity_example_ids
-    and toxicity_example_cosines (the evidence). No shuffle."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "toxicity") -> DataFrame:
+    """``docs`` with the columns ``name`` (the probability), ``name_example_ids``
+    and ``name_example_cosines`` (the evidence). No shuffle. ``name`` is to be
+    one that ``docs`` does not use."""
+    names = [name, f"{name}_example_ids", f"{name}_example_cosines"]
+    if taken := sorted(set(names) & set(docs.columns)):
+        raise ValueError(f"the table has columns {taken}: give another name")
     spark = docs.sparkSession
     common.prepare(spark)
     held = spark.sparkContext.broadcast(model)
@@ -330,9 +346,9 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 [*batch.columns, pa.array([o[0] for o in out], pa.float64()),
                  pa.array([o[1] for o in out], pa.list_(pa.string() if text_ids else pa.int64())),
                  pa.array([o[2] for o in out], pa.list_(pa.float64()))],
-                names=[*batch.schema.names, "toxicity", "toxicity_example_ids", "toxicity_example_cosines"])
+                names=[*batch.schema.names, *names])
 
-    schema = StructType([*docs.schema.fields, StructField("toxicity", DoubleType()),
-                         StructField("toxicity_example_ids", ArrayType(StringType() if text_ids else LongType())),
-                         StructField("toxicity_example_cosines", ArrayType(DoubleType()))])
+    schema = StructType([*docs.schema.fields, StructField(names[0], DoubleType()),
+                         StructField(names[1], ArrayType(StringType() if text_ids else LongType())),
+                         StructField(names[2], ArrayType(DoubleType()))])
     return docs.mapInArrow(run, schema)
