@@ -161,6 +161,24 @@ def _wide(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys: a byte with the width of what follows, then either all
+    keys, or the first one and gaps of 6 bytes where these fit (nearly always:
+    the keys of a range are uniform and many)."""
+    gaps = np.diff(keys)
+    if len(gaps) and int(gaps.max()) < 1 << 48:
+        return b"\6" + keys[:1].tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return b"\x08" + keys.tobytes()
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    if data[0] == 8:
+        return np.frombuffer(data, np.uint64, offset=1)
+    gaps = np.zeros(((len(data) - 9) // 6, 8), np.uint8)
+    gaps[:, :6] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, 6)
+    return np.cumsum(np.append(np.frombuffer(data, np.uint64, 1, 1), gaps.view(np.uint64).reshape(-1)), dtype=np.uint64)
+
+
 _REQUEST = "kind string, bucket int, block long, keys binary, nums binary"
 _ANSWER = "kind string, bucket int, block long, nums binary, own binary, stats array<long>"
 
@@ -170,7 +188,7 @@ def _exchange_counts(requests: DataFrame) -> DataFrame:
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
-        keys = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
+        keys = [_unpack_keys(k) for k in pdf["keys"]]
         nums = [_wide(n, len(k)) for n, k in zip(pdf["nums"], keys, strict=True)]
         _, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(place, np.concatenate(nums)).astype(np.int64)
@@ -192,7 +210,7 @@ def _exchange_histories(requests: DataFrame) -> DataFrame:
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
-        keys = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
+        keys = [_unpack_keys(k) for k in pdf["keys"]]
         sums = np.concatenate([np.frombuffer(n, np.float64).reshape(3, -1) for n in pdf["nums"]], axis=1)
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
         count, seen, lower = (np.bincount(place, s) for s in sums)
@@ -288,7 +306,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             for m in orders:
                 keys, place, _ = b.grams(m)
                 n = np.bincount(place[b.train], minlength=len(keys))
-                rows = [(f"c{m}", k, row["block"], keys[s].tobytes(), _small(n[s])) for k, s in _slices(keys, bits)]
+                rows = [(f"c{m}", k, row["block"], _pack_keys(keys[s]), _small(n[s])) for k, s in _slices(keys, bits)]
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -320,7 +338,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             h, c = at[first[mine]], c[mine]
             sums = np.stack([np.bincount(h, w, minlength=len(histories)) for w in (c, model.seen(m, c), p[first[mine]])])
             number = int(pdf["block"].iloc[0])
-            return pd.DataFrame([(f"h{m}", k, number, histories[s].tobytes(), np.ascontiguousarray(sums[:, s]).tobytes())
+            return pd.DataFrame([(f"h{m}", k, number, _pack_keys(histories[s]), np.ascontiguousarray(sums[:, s]).tobytes())
                                  for k, s in _slices(histories, bits)], columns=[x.split()[0] for x in _REQUEST.split(", ")])
 
         return ask
