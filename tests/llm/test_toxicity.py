@@ -92,3 +92,37 @@ def test_held_out_rows(spark):
     r = got.where("held_out").groupBy("toxic").agg(F.avg("predicted"), F.count("*")).collect()
     rate = {x[0]: x[1] for x in r}
     assert rate[0] <= 0.02 and rate[1] >= 0.6  # 45 toxic rows to learn from
+
+
+def test_every_word_of_an_example_is_searched(spark, frame):
+    """No term is cut: a copy of a labelled text is found by its ordinary
+    words, and one rare word in common is enough."""
+    docs, labels = corpus(200)
+    docs += [(700, "quiet pond under grey willows"), (701, "quiet pond under grey willows"), (702, "unseen zzz willows yyy")]
+    model = T.fit(frame(docs, DOC), frame([*labels, (700, 1)], LAB))
+    out = {r["doc_id"]: r for r in T.scored(frame(docs, DOC), model).collect()}
+    assert {"quiet", "pond", "willows", "willo*"} <= set(model.space)
+    assert out[701]["toxicity_example_ids"][0] == 700 and out[701]["toxicity_example_cosines"][0] == 1
+    assert out[702]["toxicity_example_ids"] == [700] and out[702]["toxicity_example_cosines"][0] > 0
+
+
+@pytest.mark.parametrize("dense", [0, 20, 400])
+def test_whole_scans_are_exact(monkeypatch, dense):
+    monkeypatch.setattr(T, "DENSE", dense)
+    rng = np.random.default_rng(dense)
+    vectors = []
+    for _ in range(200):
+        p = np.sort(rng.choice(300, 40, replace=False, p=np.arange(300, 0, -1) / 45150))
+        w = rng.integers(1, 4, len(p)).astype(float)
+        vectors.append((p, w / np.linalg.norm(w)))
+    dense = np.zeros((200, 300))
+    for r, (p, w) in zip(dense, vectors, strict=True):
+        r[p] = w
+    index = T.BlockMaxIndex(vectors, 300)
+    cut = [(p[:n], w[:n]) for (p, w), n in zip(vectors, [0, 1, 5, 9, *[40] * 196], strict=True)]
+    for i, (ids, cos) in enumerate(index.nearest_many(cut, 15, list(range(200)))):
+        want = dense[:, cut[i][0]] @ cut[i][1]
+        want[i] = 0
+        best = [j for j in np.lexsort((np.arange(200), -np.round(want, 12)))[:15] if want[j] > 0]
+        assert ids.tolist() == best
+        np.testing.assert_allclose(cos, want[best], atol=1e-12)

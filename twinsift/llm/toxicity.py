@@ -2,26 +2,28 @@
 
 Terms are lower-cased words and their first ``STEM`` letters. Examples are a
 sample of the labelled training rows, at most ``PER_CLASS`` of either label
-(by a hash of the id; the only sampled step). Terms that tell the labels apart
-(chi-square over ``MIN_CHI2``, ``MIN_LIFT`` times as frequent in one of them,
-in ``MIN_DOCS`` examples or more, near copies
-counted once; the ``MAX_TERMS`` best) make
-the space; document frequencies in it count all
-documents; vectors are normalised (1 + log tf) * idf.
-
-The index is an inverted one over the distinct example vectors, in blocks of
-``BLOCK`` with each term's largest weight in each block. A query adds up these
-for an upper bound of every block's cosines and visits blocks in that order
-until the ``NEIGHBOURS``-th best cosine is above the next bound: the
-neighbours are exact. They vote with weight 1 / (distance + ``SOFT``), the
+(by a hash of the id; the only sampled step). Every term of the examples
+is in the space; document frequencies in it count all documents. Vectors are
+normalised (1 + log tf) * idf * gain; the gain is 1 and up to ``GAIN`` more
+for terms that tell the labels apart (chi-square and lift over the examples,
+near copies counted once), so no word is left out.
+
+The index is an inverted one over the distinct example vectors. A query of at
+most ``FEW`` terms uses blocks of ``BLOCK`` vectors with each term's largest
+weight in each: it adds up these for an upper bound of every block's cosines
+and visits blocks in that order until the ``NEIGHBOURS``-th best cosine is
+above the next bound. Longer queries, whose bounds skip nothing, add up all
+cosines (``DENSE`` most frequent terms by a matrix product, the rest by their
+postings) and compute the best again in double precision. Both are exact.
+The neighbours vote with weight 1 / (distance + ``SOFT``), the
 rows behind a vector counted each, the classes reweighted to their shares of
 all labelled rows. Votes of the examples without themselves give an isotonic
 calibration to a probability.
 
-The driver holds what the parameters bound: the examples' vectors, terms and
-document frequencies, and their index, which is broadcast.
+The driver holds what the examples (bounded by ``PER_CLASS``) have: their
+vectors, terms and document frequencies, and their index, which is broadcast.
 
-Defined cases: null and empty texts, and texts without a term of the space,
+Defined cases: null and empty texts, and texts without a word of any example,
 have no neighbours and get the share of label 1 among such examples; without
 examples of both labels every score is the share of label 1 (0 if there is no
 label); null labels and labels without a text are ignored; repeated label
@@ -34,6 +36,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +48,12 @@ from twinsift.llm import common
 
 PER_CLASS = 8000
 STEM = 5
-MIN_CHI2 = 45.0
-MIN_LIFT = 8.0
-MIN_DOCS = 4
-MAX_TERMS = 20_000
+CHI2 = 45.0
+LIFT = 8.0
+GAIN = 100.0
 BLOCK = 64
+FEW = 8
+DENSE = 512
 NEIGHBOURS = 15
 SOFT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
@@ -61,75 +65,86 @@ def word_terms(word: str) -> tuple[str, ...]:
     return (word, word[:STEM] + "*") if len(word) > STEM else (word,)
 
 
-class _Places:
-    """Runs of non-blanks -> places of their words' terms in the space. Runs
-    looked up before are known to have some (``found``) or none; both are
-    emptied when they are full."""
+class _Places(dict):
+    """Runs of non-blanks -> places of their words' terms in the space;
+    emptied when it is full."""
 
     def __init__(self, space: dict[str, int]):
-        self.space, self.none, self.found = space, set(), {}
-
-    def of(self, distinct: set[str]) -> dict[str, list[int]]:
-        """The places of those runs that have any."""
-        if len(self.none) + len(self.found) >= _CACHED:
-            self.none, self.found = set(), {}
-        for run in distinct - self.none - self.found.keys():
-            places = [p for w in _WORD.findall(run) for t in word_terms(w) if (p := self.space.get(t)) is not None]
-            if places:
-                self.found[run] = places
-            else:
-                self.none.add(run)
-        return {run: self.found[run] for run in distinct & self.found.keys()}
-
-
-def term_counts(text: str | None, places: _Places) -> tuple[list[int], list[int]]:
+        super().__init__()
+        self.space = space
+
+    def __missing__(self, run: str) -> tuple[int, ...]:
+        if len(self) >= _CACHED:
+            self.clear()
+        found = self[run] = tuple(p for w in _WORD.findall(run) for t in word_terms(w) if (p := self.space.get(t)) is not None)
+        return found
+
+
+def term_counts(text: str | None, places: _Places) -> tuple[np.ndarray, np.ndarray]:
     """Places and counts of a whole text's terms in the space (a word never
     crosses white space)."""
     runs = (text or "").lower().split()
-    found = places.of(set(runs))
-    if not found:
-        return [], []
-    counts: dict[int, int] = {}
-    for run in filter(found.__contains__, runs):
-        for p in found[run]:
-            counts[p] = counts.get(p, 0) + 1
-    return sorted(counts), [counts[p] for p in sorted(counts)]
-
-
-def vector(places, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    p = np.asarray(places, np.int64)
-    w = (1 + np.log(np.asarray(counts, float))) * idf[p]
+    at, n = np.unique(np.fromiter(chain.from_iterable(map(places.__getitem__, runs)), np.int32), return_counts=True)
+    return at, n.astype(np.int32)
+
+
+def vector(places, counts, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = np.asarray(places, np.int32)
+    w = (1 + np.log(np.asarray(counts, float))) * weight[p]
     return p, w / max(float(np.linalg.norm(w)), 1e-300) if len(p) else w
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers first[0]..last[0]-1, first[1]..last[1]-1, ..."""
+    n = last - first
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
 class BlockMaxIndex:
-    """Exact nearest vectors by cosine from a block-max inverted index."""
+    """Exact nearest vectors by cosine from a block-max inverted index, which
+    is built where it is first used (pickled are the vectors)."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK):
-        self.n, self.block = len(vectors), block
+        self.n, self.terms, self.block, self.visited = len(vectors), terms, block, 0
         self.blocks = max(1, -(-self.n // block))
-        term = np.concatenate([p for p, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(self.n), [len(p) for p, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        # Postings by (block, term); the block maxima by term.
-        key = (doc // block) * terms + term
-        order = np.lexsort((doc, key))
-        self.terms, self.key, self.doc, self.weight = terms, key[order], doc[order], weight[order]
-        self.cell, first = np.unique(self.key, return_index=True)
-        self.first = np.append(first, len(self.key))
-        top = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        by_term = np.lexsort((self.cell // terms, self.cell % terms))
-        self.max_block, self.max_weight = (self.cell // terms)[by_term], top[by_term]
-        self.term_first = np.searchsorted((self.cell % terms)[by_term], np.arange(terms + 1))
-        self.visited = 0
+        self.own_term = np.concatenate([p for p, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
+        self.own_weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        self.own_first = np.append(0, np.cumsum([len(p) for p, _ in vectors], dtype=np.int64))
+
+    def __getstate__(self) -> dict:
+        kept = ("n", "terms", "block", "visited", "blocks", "own_term", "own_weight", "own_first")
+        return {k: self.__dict__[k] for k in kept}
+
+    def _build(self) -> None:
+        if "doc" in self.__dict__:
+            return
+        # Postings by (term, vector); cells are a term in a block.
+        order = np.argsort(self.own_term, kind="stable")
+        term, weight = self.own_term[order], self.own_weight[order]
+        doc = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.own_first))[order]
+        cell = term.astype(np.int64) * self.blocks + doc // self.block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.weight, self.term_first = weight, np.searchsorted(term, np.arange(self.terms + 1))
+        self.cell, self.first = cell[first], np.append(first, len(cell)).astype(np.int32)
+        self.max_weight = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
+        # For whole scans: rows of the most frequent terms.
+        often = np.sort(np.argsort(-np.diff(self.term_first), kind="stable")[:DENSE])
+        self.row = np.full(self.terms, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.n), np.float32)
+        at = np.flatnonzero(self.row[term] >= 0)
+        self.dense[self.row[term[at]], doc[at]] = weight[at]
+        self.doc = doc
 
     def nearest(self, places: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest with a cosine over 0, ties by
         place; ``without`` is left out."""
+        self._build()
+        places = np.asarray(places, np.int64)
         bound = np.zeros(self.blocks)
         for p, w in zip(places, weights, strict=True):
-            a, b = self.term_first[p], self.term_first[p + 1]
-            bound[self.max_block[a:b]] += self.max_weight[a:b] * w
+            a, b = np.searchsorted(self.cell, (p * self.blocks, (p + 1) * self.blocks))
+            bound[self.cell[a:b] - p * self.blocks] += self.max_weight[a:b] * w
         order = np.argsort(-bound, kind="stable")
         ids, cos, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in order:
@@ -137,9 +152,9 @@ class BlockMaxIndex:
                 break
             self.visited += 1
             score = np.zeros(self.block)
-            at = np.searchsorted(self.cell, b * self.terms + places)
+            at = np.searchsorted(self.cell, places * self.blocks + b)
             for i, (p, w) in zip(at, zip(places, weights, strict=True), strict=True):
-                if i < len(self.cell) and self.cell[i] == b * self.terms + p:
+                if i < len(self.cell) and self.cell[i] == p * self.blocks + b:
                     s = slice(self.first[i], self.first[i + 1])
                     score[self.doc[s] - b * self.block] += self.weight[s] * w
             hit = np.flatnonzero(score > 0)
@@ -150,6 +165,41 @@ class BlockMaxIndex:
             least = cos[-1] if len(cos) >= k else 0.0
         return ids, np.minimum(cos, 1.0)
 
+    def nearest_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None,
+                     batch: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each query, long ones by whole scans."""
+        self._build()
+        full = np.zeros(self.terms)
+        for start in range(0, len(queries), batch):
+            part = queries[start:start + batch]
+            q = np.zeros((len(part), len(self.dense)), np.float32)
+            for row, (p, w) in zip(q, part, strict=True):
+                if len(p) > FEW:
+                    r = self.row[p]
+                    row[r[r >= 0]] = w[r >= 0]
+            scores = q @ self.dense
+            for i, (p, w) in enumerate(part):
+                out = without[start + i] if without else -1
+                if len(p) <= FEW:
+                    yield self.nearest(p, w, k, out)
+                    continue
+                rare = self.row[p] < 0
+                a, b = self.term_first[p[rare]], self.term_first[p[rare] + 1]
+                at = _ranges(a, b)
+                score = scores[i] + np.bincount(self.doc[at], self.weight[at] * np.repeat(w[rare], b - a), self.n)
+                if out >= 0:
+                    score[out] = 0
+                # Single precision errs by far less than the margin.
+                least = np.partition(score, -k)[-k] if k < self.n else 0.0
+                ids = np.flatnonzero(score >= max(least - 1e-4, 1e-12))
+                full[p] = w
+                a, b = self.own_first[ids], self.own_first[ids + 1]
+                at = _ranges(a, b)
+                cos = np.bincount(np.repeat(np.arange(len(ids)), b - a), self.own_weight[at] * full[self.own_term[at]], len(ids))
+                full[p] = 0
+                best = np.lexsort((ids, -np.round(cos, 12)))[:k]
+                yield ids[best], np.minimum(cos[best], 1.0)
+
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators: the steps' middle x and their mean y."""
@@ -166,62 +216,69 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 class Model:
     """Index, labels of the distinct example vectors and calibration."""
 
-    def __init__(self, examples: list[tuple], space: dict[str, int], idf: np.ndarray, class_weight: tuple[float, float]):
+    def __init__(self, examples: list[tuple], space: dict[str, int], weight: np.ndarray, class_weight: tuple[float, float]):
         """examples: (doc_id, label, places, counts)."""
-        self.space, self.idf, self.class_weight = space, idf, class_weight
+        self.space, self.weight, self.class_weight = space, weight, class_weight
         groups: dict[tuple, list] = {}
         for doc_id, label, places, counts in sorted(examples, key=lambda e: (e[0] is not None, e[0])):
-            g = groups.setdefault((tuple(places), tuple(counts)), [0, 0, []])
+            places, counts = np.asarray(places, np.int32), np.asarray(counts, np.int32)
+            g = groups.setdefault((places.tobytes(), counts.tobytes()), [0, 0, [], places, counts])
             g[label] += 1
             if len(g[2]) < 3:
                 g[2].append(doc_id)
-        empty = groups.pop(((), ()), [0, 0, []])
+        empty = groups.pop((b"", b""), [0, 0])
         self.none = self._share(*empty[:2]) if sum(empty[:2]) else self._share(
             sum(e[1] == 0 for e in examples), sum(e[1] == 1 for e in examples))
         self.rows = np.array([g[:2] for g in groups.values()], float).reshape(-1, 2)
         self.ids = [g[2] for g in groups.values()]
-        vectors = [vector(p, c, idf) for p, c in groups]
+        vectors = [vector(g[3], g[4], weight) for g in groups.values()]
         self.index = BlockMaxIndex(vectors, max(1, len(space)))
         self.steps = (np.zeros(0), np.zeros(0))
-        # Leave-one-out votes: an example does not vote for itself.
-        x, y, w = [], [], []
-        for i, (v, rows) in enumerate(zip(vectors, self.rows, strict=True)):
-            for label in (0, 1):
-                if rows[label]:
-                    vote = self._vote(*v, minus=(i, label))[0]
-                    if vote is not None:
-                        x.append(vote)
-                        y.append(label)
-                        w.append(rows[label] * class_weight[label])
-        if len(set(y)) == 2:
-            self.steps = isotonic(np.array(x), np.array(y, float), np.array(w))
+        self.vectors = len(vectors)
+
+    def own_votes(self, some: range | list[int]) -> list[tuple[float, int, float]]:
+        """Vote, label and weight of the example vectors ``some``; an example
+        does not vote for itself."""
+        own = [(i, label) for i in some for label in (0, 1) if self.rows[i][label]]
+        x = self.index
+        vectors = [(x.own_term[a:b], x.own_weight[a:b]) for i, _ in own for a, b in [x.own_first[i:i + 2]]]
+        return [(vote, label, float(self.rows[i][label] * self.class_weight[label]))
+                for (i, label), (vote, _, _) in zip(own, self._votes(vectors, own), strict=True) if vote is not None]
+
+    def calibrate(self, votes: list[tuple[float, int, float]]) -> None:
+        if len({y for _, y, _ in votes}) == 2:
+            x, y, w = np.array(sorted(votes)).T
+            self.steps = isotonic(x, y, w)
 
     def _share(self, n0: float, n1: float) -> float:
         a, b = n0 * self.class_weight[0], n1 * self.class_weight[1]
         return float(b / (a + b)) if a + b else 0.0
 
-    def _vote(self, places, weights, minus: tuple[int, int] | None = None):
-        if not len(places):
-            return None, [], []
-        alone = minus is not None and self.rows[minus[0]].sum() <= 1
-        ids, cos = self.index.nearest(places, weights, NEIGHBOURS, minus[0] if alone else -1)
-        if not len(ids):
-            return None, [], []
-        rows = self.rows[ids].copy()
-        if minus is not None and not alone:
-            rows[ids == minus[0], minus[1]] -= 1
-        w = (rows * np.array(self.class_weight)) / (1 - cos + SOFT)[:, None]
-        total = w.sum()
-        return (float(w[:, 1].sum() / total) if total > 0 else None), ids, cos
-
-    def score(self, places, counts) -> tuple[float, list, list[float]]:
-        """Calibrated probability, nearest example ids, their cosines."""
-        vote, ids, cos = self._vote(*vector(places, counts, self.idf))
-        if vote is None:
-            return self.none, [], []
-        if len(self.steps[0]):
-            vote = float(np.interp(vote, *self.steps))
-        return min(1.0, max(0.0, vote)), [self.ids[i][0] for i in ids[:3]], [round(float(c), 6) for c in cos[:3]]
+    def _votes(self, vectors: list[tuple], minus: list[tuple[int, int]] | None = None) -> Iterator[tuple]:
+        """Vote, neighbours and cosines of each vector; ``minus`` has the
+        (example, label) that does not vote."""
+        alone = [i if self.rows[i].sum() <= 1 else -1 for i, _ in minus] if minus else None
+        for n, (ids, cos) in enumerate(self.index.nearest_many(vectors, NEIGHBOURS, alone)):
+            if not len(ids):
+                yield None, [], []
+                continue
+            rows = self.rows[ids].copy()
+            if minus is not None and alone[n] < 0:
+                rows[ids == minus[n][0], minus[n][1]] -= 1
+            w = (rows * np.array(self.class_weight)) / (1 - cos + SOFT)[:, None]
+            total = w.sum()
+            yield (float(w[:, 1].sum() / total) if total > 0 else None), ids, cos
+
+    def scores(self, counted: list[tuple]) -> Iterator[tuple[float, list, list[float]]]:
+        """Calibrated probability, nearest example ids, their cosines of the
+        (places, counts) of each text."""
+        for vote, ids, cos in self._votes([vector(p, c, self.weight) for p, c in counted]):
+            if vote is None:
+                yield self.none, [], []
+                continue
+            if len(self.steps[0]):
+                vote = float(np.interp(vote, *self.steps))
+            yield min(1.0, max(0.0, vote)), [self.ids[i][0] for i in ids[:3]], [round(float(c), 6) for c in cos[:3]]
 
 
 def sketch(text: str) -> int:
@@ -244,30 +301,40 @@ def _examples(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[dict,
     return out, (counts.get(0, 0) / total / n[0], counts.get(1, 0) / total / n[1])
 
 
-def _space(example_docs: DataFrame, of: dict) -> dict[str, int]:
-    """The terms that tell the labels apart: counts over the examples, then
-    chi-square by an aggregate; MAX_TERMS of them at most come back."""
-    held = example_docs.sparkSession.sparkContext.broadcast(of)
+def gains(a: np.ndarray, b: np.ndarray, n0: float, n1: float) -> np.ndarray:
+    """1 for a term that tells nothing of the label, up to 1 + GAIN; ``a`` and
+    ``b`` are its examples of label 0 and 1."""
+    n = n0 + n1
+    chi2 = n * (b * (n0 - a) - a * (n1 - b)) ** 2 / (n0 * n1 * np.maximum(a + b, 1.0) * np.maximum(n - a - b, 1.0))
+    lift = ((b + 0.5) / (n1 + 1)) / ((a + 0.5) / (n0 + 1))
+    power = (chi2 / CHI2) ** 4
+    return 1 + GAIN * power / (1 + power) * np.minimum(1.0, np.maximum(lift, 1 / lift) / LIFT) ** 4
+
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n: dict[str, list[int]] = {}
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            y = held.value[doc_id]
-            for t in {t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)}:
-                n.setdefault(t, [0, 0])[y] += 1
-        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([x[0] for x in n.values()], pa.int64()),
-                                           pa.array([x[1] for x in n.values()], pa.int64())], names=["term", "n0", "n1"])
+def _space(example_docs: DataFrame, of: dict) -> tuple[dict[str, int], np.ndarray]:
+    """All terms of the examples and their gains (near copies, which share a
+    sketch, count once)."""
+    held = example_docs.sparkSession.sparkContext.broadcast(of)
 
-    t = common.map_batches(example_docs, run, "term string, n0 long, n1 long")
+    def terms(once: bool):
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            n: dict[str, list[int]] = {}
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                y = held.value[doc_id]
+                for t in {t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)}:
+                    n.setdefault(t, [0, 0])[y] += once
+            return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([x[0] for x in n.values()], pa.int64()),
+                                               pa.array([x[1] for x in n.values()], pa.int64())], names=["term", "n0", "n1"])
+        return run
+
+    kinds = "term string, n0 long, n1 long"
+    t = common.map_batches(example_docs, terms(False), kinds).unionByName(
+        common.map_batches(example_docs.dropDuplicates(["sketch"]), terms(True), kinds))
     t = t.groupBy("term").agg(F.sum("n0").cast("double").alias("a"), F.sum("n1").cast("double").alias("b"))
+    t = t.toArrow().sort_by("term")
     n0, n1 = (float(max(1, sum(v == y for v in of.values()))) for y in (0, 1))
-    n, a, b = n0 + n1, F.col("a"), F.col("b")
-    chi2 = n * F.pow(b * (n0 - a) - a * (n1 - b), 2) / (n0 * n1 * (a + b) * F.greatest(n - a - b, F.lit(1.0)))
-    lift = ((b + 0.5) / (n1 + 1)) / ((a + 0.5) / (n0 + 1))
-    best = t.where((a + b >= MIN_DOCS) & ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)))
-    best = best.select("term", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2)
-    rows = best.orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
-    return {r["term"]: i for i, r in enumerate(rows)}
+    return ({term: i for i, term in enumerate(t.column("term").to_pylist())},
+            gains(t.column("a").to_numpy(), t.column("b").to_numpy(), n0, n1))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -291,8 +358,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array([sketch(t) for t in batch.column(1).to_pylist()], pa.int64())],
                                           names=["doc_id", "text", "sketch"])
 
-    examples = common.map_batches(thin.where("text is not null"), sketched, f"doc_id {id_type}, text string, sketch long")
-    space = _space(examples.dropDuplicates(["sketch"]), of)
+    examples = common.stored(
+        common.map_batches(thin.where("text is not null"), sketched, f"doc_id {id_type}, text string, sketch long"), "toxicity-examples")
+    space, gain = _space(examples, of)
     words = spark.sparkContext.broadcast(space)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,17 +379,36 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
         if n:  # place -1: the documents
-            cols = [[-1, *range(len(df))], [n, *df.tolist()]] + [[None] * (len(df) + 1)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            at = np.flatnonzero(df)
+            cols = [np.append(-1, at).astype(np.int32), np.append(n, df[at])]
+            none = [pa.nulls(len(at) + 1, k) for k in kinds[2:]]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=False)), *none], names=names)
 
     seen = common.stored(thin.mapInArrow(count, f"place int, df long, doc_id {id_type}, places array<int>, counts array<int>"), "toxicity-fit")
-    n, idf = 0, np.ones(max(1, len(space)))
-    rows = {r["place"]: r["df"] for r in seen.where("place is not null").groupBy("place").agg(F.sum("df").alias("df")).collect()}
-    n = rows.pop(-1, 0)
-    for place, df in rows.items():
-        idf[place] = np.log((1 + n) / (1 + df)) + 1
+    df = np.zeros(len(space) + 1)  # last: the documents
+    rows = seen.where("place is not null").groupBy("place").agg(F.sum("df").alias("df")).toArrow()
+    df[rows.column("place").to_numpy()] = rows.column("df").to_numpy()
+    weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * gain
     sample = seen.where("place is null").groupBy("doc_id").agg(F.min(F.struct("places", "counts")).alias("v")).limit(4 * per_class)
-    return Model([(r["doc_id"], of[r["doc_id"]], r["v"]["places"], r["v"]["counts"]) for r in sample.collect()], space, idf, class_weight)
+    sample = sample.select("doc_id", "v.places", "v.counts").toArrow()
+    vectors = [[x.values.to_numpy() for x in sample.column(c)] for c in ("places", "counts")]
+    model = Model([(i, of[i], p, c) for i, p, c in zip(sample.column("doc_id").to_pylist(), *vectors, strict=True)],
+                  space, weight, class_weight)
+    held = spark.sparkContext.broadcast(model)
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = held.value.own_votes(batch.column(0).to_pylist())
+                kinds = (pa.float64(), pa.int32(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array([v[k] for v in found], t) for k, t in enumerate(kinds)],
+                                                 names=["vote", "label", "weight"])
+
+    parts = max(1, min(spark.sparkContext.defaultParallelism, model.vectors // 256))
+    rows = spark.range(0, model.vectors, 1, parts).mapInArrow(votes, "vote double, label int, weight double").collect()
+    held.destroy()
+    model.calibrate([tuple(r) for r in rows])
+    return model
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "toxicity") -> DataFrame:
@@ -341,7 +428,9 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "t
         m = held.value
         places = _Places(m.space)
         for batch in batches:
-            out = [m.score(*term_counts(t, places)) for t in batch.column(at).to_pylist()]
+            out = []
+            for first in range(0, batch.num_rows, 64):
+                out += m.scores([term_counts(t, places) for t in batch.column(at).slice(first, 64).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([o[0] for o in out], pa.float64()),
                  pa.array([o[1] for o in out], pa.list_(pa.string() if text_ids else pa.int64())),
