@@ -10,6 +10,7 @@ scores.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 
@@ -27,7 +28,9 @@ from twinsift.sources.tables import ensure_parallel, materialize
 
 MINHASH_BANDS, MINHASH_ROWS = 16, 4
 HYPERPLANE_MIN_BITS = 6
-HYPERPLANE_BANDS = 48
+HYPERPLANE_BANDS = 48  # at least
+# Pairs at this cosine share a band with at least this chance, at any size.
+HYPERPLANE_COSINE, HYPERPLANE_RECALL = 0.8, 0.9
 PRIME = 2**31 - 1  # fixed: the hash family (a x + b) mod p
 
 
@@ -69,25 +72,38 @@ def portable_hashes(df: DataFrame, id_col: str, text_col: str, mode: str) -> Dat
         "g", lambda g: F.conv(F.substring(F.md5(g), 1, 7), 16, 10).cast("long"))).alias("x"))
 
 
+@functools.lru_cache(maxsize=4)
 def hyperplanes(dim: int, num: int) -> np.ndarray:
     """dim x num signs from MD5 bits (random +-1 planes)."""
     bit = lambda i, j: int(hashlib.md5(f"{i}:{j}".encode()).hexdigest()[:1], 16) & 1
     return np.array([[1.0 - 2.0 * bit(i, j) for j in range(num)] for i in range(dim)])
 
 
-def hyperplane_bits(vec: Column, num: int) -> Column:
-    """array<int> sign bits of the vector against ``num`` planes: one matrix
-    product for the vectors of a length."""
+def packed_bits(m: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """vectors x bands: the sign bits of each band as one number."""
+    planes, place = hyperplanes(m.shape[1], bands * rows), 1 << np.arange(rows, dtype=np.int64)
+    out = np.empty((len(m), bands), np.int64)
+    for at in range(0, len(m), 256):  # bounds the bits held at once
+        bits = m[at:at + 256] @ planes >= 0
+        out[at:at + 256] = bits.reshape(-1, bands, rows) @ place
+    return out
+
+
+def hyperplane_bits(vec: Column, bands: int, rows: int) -> Column:
+    """array<bigint> sign bits of the vector, a number a band: matrix products
+    for the vectors of a length."""
+    if rows > 62:
+        raise ValueError("at most 62 bits a band")
     ship_package()
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<bigint>")
     def _bits(s: pd.Series) -> pd.Series:
         out = pd.Series([None] * len(s), dtype=object)
         lens = np.fromiter((0 if v is None else len(v) for v in s), np.int64, len(s))
         for d in np.unique(lens[lens > 0]):
             at = np.flatnonzero(lens == d)
             m = np.stack([np.asarray(s.iloc[i], np.float64) for i in at])
-            for i, row in zip(at, (m @ hyperplanes(int(d), num) >= 0).astype(np.int32), strict=True):
+            for i, row in zip(at, packed_bits(m, bands, rows), strict=True):
                 out.iloc[i] = row
         return out
 
@@ -142,16 +158,23 @@ def hyperplane_rows(n: int) -> int:
     return max(HYPERPLANE_MIN_BITS, math.ceil(math.log2(max(1, n) / 8)))
 
 
-def hyperplane_topk(df: DataFrame, id_col: str, vec_col: str, k: int, bands: int = HYPERPLANE_BANDS,
+def hyperplane_bands(rows: int, cosine: float = HYPERPLANE_COSINE, recall: float = HYPERPLANE_RECALL) -> int:
+    """Bands of ``rows`` bits for the recall of pairs at the cosine: a pair at
+    angle ``t`` shares one with chance ``1 - (1 - (1 - t / pi)^rows)^bands``."""
+    same = (1 - math.acos(cosine) / math.pi) ** rows
+    return max(HYPERPLANE_BANDS, math.ceil(math.log(1 - recall) / math.log1p(-same)))
+
+
+def hyperplane_topk(df: DataFrame, id_col: str, vec_col: str, k: int, bands: int | None = None,
                     rows: int | None = None, block_rows: int | None = None) -> DataFrame:
     """Best k partners among rows sharing a hyperplane band (exact cosine).
 
-    ``rows`` (bits a band) follows the number of rows; a pair at angle ``t``
-    shares one of the bands with chance ``1 - (1 - (1 - t / pi)^rows)^bands``,
-    so more ``bands`` raise the recall of lower cosines."""
+    ``rows`` (bits a band) follows the number of rows, ``bands`` the bits
+    (``hyperplane_bands``); more ``bands`` raise the recall of lower cosines."""
     vecs = (df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
             .where(F.col("id").isNotNull() & F.col("vec").isNotNull()))
     rows = rows or hyperplane_rows(vecs.count())
-    bits = materialize(vecs.select("id", "vec", hyperplane_bits(F.col("vec"), bands * rows).alias("bits")))
-    keyed = bits.select("id", F.explode(band_keys(F.col("bits"), bands, rows)).alias("grp"))
+    bands = bands or hyperplane_bands(rows)
+    bits = materialize(vecs.select("id", "vec", hyperplane_bits(F.col("vec"), bands, rows).alias("bits")))
+    keyed = bits.select("id", F.explode(F.transform("bits", lambda x, i: F.xxhash64(i, x))).alias("grp"))
     return _bucketed_topk(keyed, bits.select("id", "vec"), "dense_cosine", k, block_rows, bits.count() * bands)
