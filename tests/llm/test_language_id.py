@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from twinsift.llm import language_id as L
@@ -42,3 +43,13 @@ def test_empty_and_nothing_to_learn(spark, frame):
     model = L.fit(empty)
     assert L.predict(empty, model).count() == 0
     assert L.predict(frame([(1, "some text", None)], DOC), model).first()["nearest"] == "und"
+
+
+def test_no_language_is_dropped_silently(spark, frame, monkeypatch):
+    rows = [(i, f"some words of language {i % 3}", f"l{i % 3}") for i in range(30)]
+    df = frame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 3)
+    assert set(L.fit(df)["langs"]) == {"l0", "l1", "l2"}
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="MAX_LANGUAGES"):
+        L.fit(df)

@@ -11,7 +11,8 @@ the largest cosine; it is rejected when its distance from that centroid is
 beyond ``REJECT_DEVIATIONS`` standard deviations of the members' distances.
 
 The driver holds the document frequencies (``FEATURES`` numbers) and the
-centroids (``MAX_LANGUAGES`` * ``CENTROIDS`` vectors at most), whatever the
+centroids (``MAX_LANGUAGES`` * ``CENTROIDS`` vectors at most; training rows of more
+languages are an error, none is left out), whatever the
 size of the data.
 
 Defined cases: a text that is null or has no letter gets ``und`` with score 0
@@ -108,7 +109,9 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     t = training.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         F.xxhash64(id_col, text_col).alias("key"))
-    counts = t.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = t.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than MAX_LANGUAGES = {MAX_LANGUAGES} values of {lang_col}: raise the bound or leave rows out yourself")
     share = {r["lang"]: per_language / r["count"] for r in counts}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
