@@ -96,3 +96,19 @@ def test_empty_documents(spark):
         assert docs.count() == 0
         if docs.columns != COLUMNS:
             break
+
+
+def test_decisions_are_by_row(spark):
+    """Copies without an id go, a different text under a repeated id stays,
+    contaminated rows without an id go."""
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    own = ["a lone grey heron waits by the still water of the old mill", "nobody counted seven brass buttons under that creaking stair"]
+    docs = spark.createDataFrame([(5, own[0], "en", "a", 1), (5, own[1], "en", "a", 1), (9, own[1], "en", "a", 1),
+                                  (None, own[0], "en", "a", 1), (None, item, "en", "a", 1), (None, item, "en", "a", 1)], table.schema)
+    once = common.stored(corpus_pipeline.one_of_each_group(spark, docs, SF), "by-row")
+    assert sorted(map(str, (tuple(r)[:2] for r in once.collect()))) == sorted(map(str, [(5, own[0]), (5, own[1]), (None, item)]))
+    # Word weights come from the table: it is searched with them.
+    more = once.unionByName(table.where("doc_id > 50"))
+    left = corpus_pipeline.benchmark_out(spark, more, SF).where("doc_id is null or doc_id = 5").collect()
+    assert sorted(r["text"] for r in left) == sorted(own)
