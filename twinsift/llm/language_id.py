@@ -58,10 +58,11 @@ def gram_counts(text: str | None, features: int = FEATURES) -> np.ndarray | None
     if not letter.any():
         return None
     points = np.where(letter, points, np.uint32(0))
-    # One boundary for each run, one at either end.
+    # One boundary for each run, one at either end (the mark after the last
+    # letter, where there is one, is the end's).
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    c = np.concatenate([np.zeros(1, np.uint32), points[keep], np.zeros(1, np.uint32)])
+    c = np.concatenate([np.zeros(1, np.uint32), points[keep], np.zeros(int(letter[-1]), np.uint32)])
     shift = np.uint32(32 - int(features).bit_length() + 1)
     m = [np.uint32(x) for x in _MULTIPLIERS]
     one = (c + np.uint32(1)) * m[0]
@@ -145,13 +146,13 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     idf = (np.log((1 + df[0]) / (1 + df[1:])) + 1).astype(np.float32)
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        # The hash sample is about per_language documents; twice it at most.
-        rows = np.stack([np.frombuffer(v, np.uint32) for v in pdf["vector"].sort_values().iloc[:2 * per_language]])
+        # About per_language different vectors, by the hash's spread.
+        rows = np.stack([np.frombuffer(v, np.uint32) for v in pdf["vector"].sort_values()])
         centres, accept = spherical_kmeans(weighted(rows, idf), CENTROIDS)
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "accept": accept.astype(float),
                              "centre": [c.astype(np.float32).tobytes() for c in centres]})
 
-    rows = (seen.where("vector is not null").select("lang", "vector").groupBy("lang")
+    rows = (seen.where("vector is not null").select("lang", "vector").distinct().groupBy("lang")
             .applyInPandas(cluster, "lang string, accept double, centre binary").orderBy("lang", "centre").collect())
     return {"langs": [r["lang"] for r in rows], "accept": np.array([r["accept"] for r in rows], np.float32),
             "centres": np.stack([np.frombuffer(r["centre"], np.float32) for r in rows]) if rows else np.zeros((0, FEATURES), np.float32),
