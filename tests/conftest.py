@@ -10,9 +10,6 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from twinsift.session import RECOMMENDED_CONF, ensure_checkpoint_dir  # noqa: E402
 
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -10,7 +10,7 @@ from twinsift.operators.candidates import best_k, detect_candidates, similarity_
 from twinsift.operators.knn import dense_knn_topk, sparse_cosine_topk
 from twinsift.operators.tiles import tiled_topk
 
-from conftest import SF0001
+from paths import SF0001
 
 
 def _brute_topk(feats: dict, k: int):

@@ -5,7 +5,7 @@ from twinsift.config import EntitySpec
 from twinsift.functions.vectorize import embed
 from twinsift.operators.candidates import detect_candidates
 
-from conftest import SF0001
+from paths import SF0001
 
 
 def test_hash_embed_is_deterministic_and_normalised(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from twinsift.operators.knn import sparse_cosine_topk
 from twinsift.operators.lsh import hyperplane_bands, hyperplane_rows, hyperplane_topk, minhash_topk, packed_bits
 
-from conftest import SF0001
+from paths import SF0001
 
 
 def _doc_texts(spark):

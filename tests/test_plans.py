@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF0001
+from paths import SF0001
 
 # top-k queries whose final plan holds the window (detect_candidates,
 # dense_detect and hybrid_rrf_topk checkpoint their thin top-k before the
