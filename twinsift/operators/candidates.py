@@ -71,9 +71,13 @@ def similarity_pairs(texts: DataFrame, k: int, method: str = "exact", text_mode:
     cosine). The method is the caller's choice at every size. Rows that repeat
     a key are one record (``unique_keys``). Every method reports a score in [0, 1], 1 = identical.
     """
-    from twinsift.operators import knn, lsh, hybrid
+    return _pairs(unique_keys(texts), k, method, text_mode, block_rows, vectors)
+
+
+def _pairs(texts: DataFrame, k: int, method: str, text_mode: str, block_rows: int | None, vectors: DataFrame | None) -> DataFrame:
+    """``similarity_pairs`` of texts with one row a key."""
+    from twinsift.operators import hybrid, knn, lsh
 
-    texts = unique_keys(texts)
     if method == "exact":
         return knn.sparse_cosine_topk(texts, "id", "text", k, mode=text_mode, block_rows=block_rows)
     if method == "dense":
@@ -104,7 +108,7 @@ def similarity_topk(df: DataFrame, primary_key: str, text_col: str = COMBINED_CO
         vectors = df.select(F.col(primary_key).alias("id"), F.col(vector_col).alias("vec")).where(F.col("id").isNotNull())
     if vectors is None and embed_fn is not None:
         vectors = texts.select("id", embed_fn(F.col("text")).alias("vec"))
-    top = similarity_pairs(texts, k, method, text_mode, block_rows, vectors)
+    top = _pairs(texts, k, method, text_mode, block_rows, vectors)
     return attach_texts(top, texts, k)
 
 

@@ -60,7 +60,7 @@ def expand(rep_top: DataFrame, members: DataFrame, groups: DataFrame, k: int, n_
     return best_k(own.unionByName(cross), k)
 
 
-def topk_with_copies_collapsed(feats: DataFrame, k: int, inner, n_rows: int) -> DataFrame:
+def topk_with_copies_collapsed(feats: DataFrame, k: int, inner) -> DataFrame:
     """Run ``inner(representatives (id, f), k) -> best-k pairs`` on one row
     per distinct feature set and expand the result to every row.
 
@@ -71,10 +71,13 @@ def topk_with_copies_collapsed(feats: DataFrame, k: int, inner, n_rows: int) ->
     """
     from twinsift.operators.tiles import skew_join
 
-    # an empty feature set overlaps with nothing: such rows have no candidates
-    canon = materialize(feats.select("id", F.array_sort("f").alias("f")).where(F.size("f") > 0)
-                        .withColumn("_key", F.sha2(F.to_json("f"), 256)))
+    # An empty feature set overlaps with nothing: such rows have no candidates.
+    # The filter reads the checkpoint; before it, it would move below the
+    # projection and make the features a second time.
+    canon = materialize(feats.select("id", F.array_sort("f").alias("f")).withColumn("_key", F.sha2(F.to_json("f"), 256)))
+    canon = canon.where(F.size("f") > 0)
     groups = materialize(canon.groupBy("_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_n")))
+    n_rows = groups.agg(F.sum("_n")).first()[0] or 0
     members = materialize(skew_join(canon.select("id", "_key"), groups, "_key", n_rows, counts=groups.select("_key", "_n"))
                           .select("id", "rep", "_key"))
     # One row a group keeps its features: those of its representative.

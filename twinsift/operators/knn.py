@@ -8,29 +8,38 @@ from pyspark.sql import functions as F
 from twinsift.functions.vectorize import binary_features, hash_embed
 from twinsift.operators.candidates import best_k
 from twinsift.operators.tiles import text_size_hint, tiled_topk
-from twinsift.sources.tables import ensure_parallel
+from twinsift.sources.tables import ensure_parallel, materialize
 
 
 def sparse_cosine_topk(df: DataFrame, id_col: str, text_col: str, k: int, mode: str = "shingles",
-                       block_rows: int | None = None, collapse_copies: bool = True) -> DataFrame:
+                       block_rows: int | None = None, collapse_copies: bool = True, plan: str = "prefix") -> DataFrame:
     """Best k other rows by cosine of binary feature sets, |A∩B| / sqrt(|A||B|).
 
-    Pairs sharing no feature are no candidates. Exact: every pair of rows is
-    scored inside some tile, none is skipped, no frequency cap is applied.
+    Pairs sharing no feature are no candidates. Exact, without a frequency
+    cap: by the prefix-filtered inverted join (``operators/prefix.py``), or
+    with ``plan="tiles"`` by scoring every pair of rows in some tile.
     Rows with identical feature sets are scored once
     (``operators/copies.py``), which keeps a huge group of copies linear;
-    without ``collapse_copies`` the result is the same, by plain tiles.
+    without ``collapse_copies`` the result is the same.
     """
+    from twinsift.operators.copies import topk_with_copies_collapsed
+    from twinsift.operators.prefix import prefix_topk
+
+    if plan not in ("prefix", "tiles"):
+        raise ValueError(f"unknown plan {plan!r}")
     feats = binary_features(df, id_col, text_col, mode)
+    if plan == "prefix":
+        if not collapse_copies:
+            return prefix_topk(materialize(feats), k, block_rows=block_rows)
+        return topk_with_copies_collapsed(feats, k, lambda reps, kk: prefix_topk(reps, kk, block_rows=block_rows))
     hint = text_size_hint(df.where(df[id_col].isNotNull()), text_col)
     if not collapse_copies:
         return best_k(tiled_topk(feats, "binary_cosine", k, block_rows=block_rows, left_hint=hint), k)
-    from twinsift.operators.copies import topk_with_copies_collapsed
 
     def inner(reps: DataFrame, kk: int) -> DataFrame:
         return best_k(tiled_topk(reps, "binary_cosine", kk, block_rows=block_rows, left_hint=(reps.count(), hint[1])), kk)
 
-    return topk_with_copies_collapsed(feats, k, inner, hint[0])
+    return topk_with_copies_collapsed(feats, k, inner)
 
 
 def embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

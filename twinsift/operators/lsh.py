@@ -147,9 +147,8 @@ def minhash_topk(texts: DataFrame, id_col: str, text_col: str, k: int, mode: str
     hashes = portable_hashes(texts, id_col, text_col, mode)
     if not collapse_copies:
         return minhash_features_topk(feats, hashes, k, bands, rows, block_rows)
-    n = texts.where(F.col(id_col).isNotNull()).count()
     return topk_with_copies_collapsed(
-        feats, k, lambda reps, kk: minhash_features_topk(reps, hashes.join(reps.select("id"), "id", "left_semi"), kk, bands, rows, block_rows), n)
+        feats, k, lambda reps, kk: minhash_features_topk(reps, hashes.join(reps.select("id"), "id", "left_semi"), kk, bands, rows, block_rows))
 
 
 def hyperplane_rows(n: int) -> int:

@@ -11,6 +11,7 @@ block-matrix product). A final ``row_number() <= k`` window
 
 Score kinds
   binary_cosine  |A ∩ B| / sqrt(|A| |B|) over distinct hashed features ``f``
+  subset_cosine  the same where ``f`` holds some of the ``n`` features of a row
   dot            sum of weight products over ``f`` / ``w`` (BM25, weighted cosine)
   dense_cosine   cosine of ``vec`` arrays, float64
 """
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 from twinsift.functions import kernels
 from twinsift.session import ship_package
 
-KINDS = ("binary_cosine", "dot", "dense_cosine")
+KINDS = ("binary_cosine", "subset_cosine", "dot", "dense_cosine")
 DEFAULT_BLOCK_ROWS = 2048
 FEATURES_PER_BLOCK = 6_000_000  # caps a tile's memory for long texts (~100 MB of features per tile)
 
 
 def _payload_cols(kind: str) -> list[str]:
-    return {"binary_cosine": ["f"], "dot": ["f", "w"], "dense_cosine": ["vec"]}[kind]
+    return {"binary_cosine": ["f"], "subset_cosine": ["f", "n"], "dot": ["f", "w"], "dense_cosine": ["vec"]}[kind]
 
 
 def _rank(ids: np.ndarray) -> np.ndarray:
@@ -49,9 +50,11 @@ def _scores(kind: str, lp: pd.DataFrame, rp: pd.DataFrame):
     if kind == "dense_cosine":
         s = kernels.dense_cosine(kernels.stack_vectors(list(lp["vec"])), kernels.stack_vectors(list(rp["vec"])))
         return np.clip(s, 0.0, 1.0), np.ones((nl, nr), dtype=bool)
-    if kind == "binary_cosine":
+    if kind in ("binary_cosine", "subset_cosine"):
         l_rows, l_f, l_w, l_len = kernels.flatten(list(lp["f"]))
         r_rows, r_f, r_w, r_len = kernels.flatten(list(rp["f"]))
+        if kind == "subset_cosine":
+            l_len, r_len = lp["n"].to_numpy(), rp["n"].to_numpy()
         cnt = kernels.sparse_dot(l_rows, l_f, l_w, nl, r_rows, r_f, r_w, nr)
         denom = np.sqrt(l_len.astype(np.float64)[:, None] * r_len.astype(np.float64)[None, :])
         valid = cnt > 0
