@@ -93,3 +93,35 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_dig
   CASE WHEN r IS NOT NULL AND page_id IS DISTINCT FROM r THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM r THEN r END AS refers_to
 FROM m"""
+
+# Integer vectors: floor(256 x); doubles hold their inner products exactly.
+_VECTORS = """v AS (SELECT *, list_transform(embedding, lambda x: floor(256 * x::DOUBLE))::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+OP11 = f"""WITH {_VECTORS}
+SELECT * FROM (SELECT q.vec_id AS query_id, r.vec_id, list_dot_product(q.v, r.v)::BIGINT AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, r.v) DESC, r.vec_id)::INT AS rank
+  FROM v q JOIN v r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id) WHERE rank <= 5"""
+
+OP12 = r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t, row_number() OVER () AS r FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0),
+p AS (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d),
+tf AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM p GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, s GROUP BY term, n_docs),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+x AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // l))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term), s GROUP BY item_id, r, doc_id)
+SELECT * FROM (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM x WHERE score > 0) WHERE rank <= 50"""
+
+OP13 = f"""WITH {_VECTORS},
+l AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM v WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+      FROM l a JOIN l r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT * FROM (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score) WHERE rank <= 3"""

@@ -108,8 +108,29 @@ def op10_warc(spark, sf_dir):
                       F.when(F.col("refers_to").isNotNull(), warc.referred_id("refers_to")).cast("long").alias("refers_to"))
 
 
+def op11_uniform_threshold(spark, sf_dir):
+    from twinsift.llm import exact_topk
+
+    out = exact_topk.top_k(common.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
+    return out.withColumnRenamed("id", "vec_id")
+
+
+def op12_max_sketches(spark, sf_dir):
+    from twinsift.llm import max_sketch
+
+    return max_sketch.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+def op13_angular_negatives(spark, sf_dir):
+    from twinsift.llm import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(common.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_prefix_tree, op2_language_id, op3_token_blocks, op4_katz, op5_host_rules,
-                                   op6_decontaminate, op7_mixing, op8_toxicity, op9_simhash, op10_warc)}
+                                   op6_decontaminate, op7_mixing, op8_toxicity, op9_simhash, op10_warc,
+                                   op11_uniform_threshold, op12_max_sketches, op13_angular_negatives)}
 
 ORACLE_SQL = {"op1_prefix_tree": oracle.OP1, "op4_katz": oracle.OP4, "op5_host_rules": oracle.OP5, "op7_mixing": oracle.OP7,
-              "op10_warc": oracle.OP10}
+              "op10_warc": oracle.OP10, "op11_uniform_threshold": oracle.OP11, "op12_max_sketches": oracle.OP12, "op13_angular_negatives": oracle.OP13}
