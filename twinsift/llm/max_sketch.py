@@ -133,9 +133,10 @@ def search(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text:
     corpus = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).cast("string").alias("text"))
     # One row an id: the smallest text.
     asked = items.groupBy(F.col(item_id).alias("item_id")).agg(F.min(F.col(item_text).cast("string")).alias("text"))
-    asked = common.stored(asked, "items")
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     batches = max(1, -(-size["n"] // batch_items), -(-(size["b"] or 0) // batch_bytes))
+    if batches > 1:
+        asked = common.stored(asked, "items")
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(batches))
     kind = {f.name: f.dataType.simpleString() for f in corpus.schema} | {"item_id": asked.schema["item_id"].dataType.simpleString()}
     index, out = None, None
@@ -231,7 +232,6 @@ def _searched(index: DataFrame, batch: Batch, k: int, kind: dict[str, str]) -> D
     w = Window.partitionBy("item").orderBy(F.desc("bound"), "row")
     top = index.select("row", "sketch").mapInArrow(heads, "item long, row long, bound long")
     top = top.withColumn("_r", F.row_number().over(w)).where((F.col("_r") <= k) & (F.col("bound") > 0)).select("row").distinct()
-    top = common.stored(top, "greatest-bounds")
 
     # Their exact scores start the thresholds.
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +280,6 @@ def _searched(index: DataFrame, batch: Batch, k: int, kind: dict[str, str]) -> D
 
     found = index.select("doc_id", "m", "sketch", "text").mapInArrow(descend, f"item long, doc_id {kind['doc_id']}, score long")
     w = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    best = common.stored(found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "ranked")
+    best = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     names = index.sparkSession.createDataFrame([(i, batch.ids[x]) for i, x in enumerate(batch.used.tolist())], f"item long, item_id {kind['item_id']}")
-    started.destroy()
-    held.destroy()
     return best.join(names, "item").select("item_id", "rank", "doc_id", "score")
