@@ -22,7 +22,8 @@ is the sum over the item's different terms of weight * impact, in integers (see
    ``k`` of all tasks are merged.
 
 No text is shuffled. The driver and the tasks hold one batch of items (about
-``BATCH_ITEMS`` rows and ``BATCH_BYTES`` bytes of text, one item at least).
+``BATCH_ITEMS`` rows and ``BATCH_BYTES`` bytes of text, one item at least) and
+``k`` row numbers and one threshold an item.
 
 Defined cases: a null text and a text without a term have no term and count
 neither in N nor in L; such items have no results. Each row of the documents is
@@ -232,19 +233,21 @@ def _searched(index: DataFrame, batch: Batch, k: int, kind: dict[str, str]) -> D
     w = Window.partitionBy("item").orderBy(F.desc("bound"), "row")
     top = index.select("row", "sketch").mapInArrow(heads, "item long, row long, bound long")
     top = top.withColumn("_r", F.row_number().over(w)).where((F.col("_r") <= k) & (F.col("bound") > 0)).select("row").distinct()
+    chosen = sc.broadcast(np.sort(top.toArrow().column("row").to_numpy()))  # k an item at most
 
     # Their exact scores start the thresholds.
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = held.value
         best = np.zeros((len(b.used), k), np.int64)
         for rows in batches:
+            rows = rows.filter(pa.array(np.isin(rows.column(0).to_numpy(), chosen.value, kind="sort")))
             for at in range(0, rows.num_rows, DOCS_AT_ONCE):
                 some = rows.slice(at, DOCS_AT_ONCE)
-                best = _kept(best, b.scores(some.column(1).to_pylist(), some.column(0).to_pylist()).T)
+                best = _kept(best, b.scores(some.column(2).to_pylist(), some.column(1).to_pylist()).T)
         i, j = np.nonzero(best)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int64)), pa.array(best[i, j])], names=["item", "s"])
 
-    scored = index.select("row", "m", "text").join(top, "row", "left_semi").select("m", "text").mapInArrow(exact, "item long, s long")
+    scored = index.select("row", "m", "text").mapInArrow(exact, "item long, s long")
     w = Window.partitionBy("item").orderBy(F.desc("s"))
     kth = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == k).select("item", "s").collect()  # a number an item
     start = np.ones(len(batch.used), np.int64)  # scores above 0 only
