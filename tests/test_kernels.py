@@ -38,3 +38,21 @@ def test_topk_ties_break_by_partner_rank():
 def test_dense_cosine_zero_vector():
     m = kernels.dense_cosine(np.array([[1.0, 0.0], [0.0, 0.0]]), np.array([[1.0, 0.0]]))
     assert m[0, 0] == 1.0 and m[1, 0] == 0.0
+
+
+def test_pair_dot_equals_matrix():
+    from twinsift.functions import kernels
+
+    rng = np.random.default_rng(7)
+    side = lambda n: [np.unique(rng.integers(0, 40, rng.integers(0, 12))) for _ in range(n)]
+    left, right = side(9), side(11)
+    weights = lambda rows: [rng.random(len(x)) for x in rows]
+    l_rows, l_f, l_w, l_len = kernels.flatten(left, weights(left))
+    r_rows, r_f, r_w, _ = kernels.flatten(right, weights(right))
+    full = kernels.sparse_dot(l_rows, l_f, l_w, 9, r_rows, r_f, r_w, 11)
+    i, j = rng.integers(0, 9, 60), rng.integers(0, 11, 60)
+    kernels_chunk, kernels.EXPAND_CHUNK = kernels.EXPAND_CHUNK, 17
+    try:
+        np.testing.assert_allclose(kernels.pair_dot(l_rows, l_f, l_w, l_len, r_rows, r_f, r_w, i, j), full[i, j], atol=1e-12)
+    finally:
+        kernels.EXPAND_CHUNK = kernels_chunk

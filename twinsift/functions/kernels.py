@@ -90,6 +90,32 @@ def sparse_dot(l_rows, l_feat, l_w, n_left, r_rows, r_feat, r_w, n_right):
     return out.reshape(n_left, n_right)
 
 
+def pair_dot(l_rows, l_feat, l_w, l_len, r_rows, r_feat, r_w, i, j):
+    """Sparse dot products of the pairs (i, j) only: each feature of the left
+    row is looked up among those of the right row, in chunks."""
+    out = np.zeros(len(i))
+    if not len(i) or not len(l_feat) or not len(r_feat):
+        return out
+    uniq, inv = np.unique(np.concatenate([l_feat, r_feat]), return_inverse=True)
+    l_code, r_key = inv[: len(l_feat)].astype(np.int64), r_rows.astype(np.int64) * len(uniq) + inv[len(l_feat):]
+    order = np.argsort(r_key, kind="stable")
+    r_key, r_w = r_key[order], r_w[order]
+    start, size = np.cumsum(l_len) - l_len, l_len[i]
+    ends = np.cumsum(size)
+    a = 0
+    while a < len(i):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + EXPAND_CHUNK, side="right")))
+        n = size[a:b]
+        pair = np.repeat(np.arange(a, b), n)
+        at = np.arange(n.sum()) + np.repeat(start[i[a:b]] - (np.cumsum(n) - n), n)
+        key = j[pair] * np.int64(len(uniq)) + l_code[at]
+        found = np.minimum(np.searchsorted(r_key, key), len(r_key) - 1)
+        hit = r_key[found] == key
+        out += np.bincount(pair[hit], weights=l_w[at[hit]] * r_w[found[hit]], minlength=len(i))
+        a = b
+    return out
+
+
 def dense_cosine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Cosine matrix in float64; zero vectors score 0."""
     def unit(m):

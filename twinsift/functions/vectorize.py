@@ -102,6 +102,8 @@ def bm25_query_vectors(queries: DataFrame | None, id_col: str, text_col: str, do
     counts = doc_freq.select("h", F.col("df").alias("_n")) if self_search else None
     n_terms = n_query_terms if n_query_terms is not None else terms.count()
     idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
+    if self_search:
+        doc_freq = doc_freq.where("df > 1")  # a word of one text finds no other
     weighted = skew_join(terms, doc_freq, "h", n_terms, counts=counts).select("id", "h", idf.alias("idf"))
     return (weighted.groupBy("id").agg(F.collect_list(F.struct("h", "idf")).alias("t"))
             .select("id", F.col("t.h").alias("f"), F.col("t.idf").alias("w")))

@@ -55,6 +55,17 @@ def rare_limit(doc_freq: DataFrame, most: int) -> tuple[int, int]:
     return d, pairs
 
 
+def shared_features(rows: DataFrame) -> DataFrame:
+    """(id, n, f): of the ``n`` features of each stored row (id, f) those that
+    another row has as well. The others make up most of a text's shingles and
+    count for nothing but ``n``."""
+    n_features = int(rows.agg(F.sum(F.size("f"))).first()[0] or 0)
+    places = rows.select("id", F.size("f").alias("n"), F.explode("f").alias("x"))
+    doc_freq = materialize(places.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    shared = skew_join(places, doc_freq, "x", n_features, counts=doc_freq.withColumnRenamed("df", "_n"))
+    return shared.groupBy("id", "n").agg(F.collect_list("x").alias("f"))
+
+
 def prefix_topk(rows: DataFrame, k: int, pairs_per_feature: int = PAIRS_PER_FEATURE, block_rows: int | None = None) -> DataFrame:
     """Best ``k`` partners of each row of ``rows`` (id, f: distinct features) by
     |A ∩ B| / sqrt(|A| |B|); rows that share nothing are no partners. ``rows``

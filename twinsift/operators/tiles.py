@@ -192,16 +192,9 @@ def tiled_topk(left: DataFrame, kind: str, k: int, right: DataFrame | None = Non
     return tiles.groupBy("_ti", "_tj").applyInPandas(fn, fn_schema)
 
 
-def tiled_requests(left: DataFrame, right: DataFrame, kind: str, left_hint: tuple[int, float],
-                   right_hint: tuple[int, float], count: bool = False) -> DataFrame:
-    """Look up given pairs in the tiles of ``left`` x ``right``.
-
-    ``left`` carries ``req``, an array of (id, s). Without ``count`` the result
-    is the score of each requested pair (0 if the rows share nothing); with it,
-    how many rows of ``right`` rank before the pair (a greater rounded score
-    than ``s``, or the same and a smaller id). Rows (original_id,
-    potential_duplicate_id, value), to be added up over the tiles.
-    """
+def _request_tiles(left: DataFrame, right: DataFrame, kind: str, left_hint: tuple[int, float], right_hint: tuple[int, float], run, schema: str) -> DataFrame:
+    """``run(left rows, right rows)`` in each tile of ``left`` (with its
+    requests ``req``) x ``right``."""
     ship_package(left.sparkSession)
     cols = ["id"] + _payload_cols(kind)
     br = choose_block_rows(max(left_hint[1], right_hint[1]), None, max(left_hint[0], right_hint[0]),
@@ -213,27 +206,88 @@ def tiled_requests(left: DataFrame, right: DataFrame, kind: str, left_hint: tupl
                       F.explode(F.sequence(F.lit(0), F.lit(bl - 1))).alias("_ti"),
                       F.pmod(F.xxhash64("id"), F.lit(b_right)).cast("int").alias("_tj"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        lp, rp = pdf[pdf["_side"] == 0].reset_index(drop=True), pdf[pdf["_side"] == 1].reset_index(drop=True)
-        out = []
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        return run(pdf[pdf["_side"] == 0].reset_index(drop=True), pdf[pdf["_side"] == 1].reset_index(drop=True))
+
+    tiles = _spread_tiles(lt.unionByName(rt), ["_ti", "_tj"], bl * b_right)
+    return tiles.groupBy("_ti", "_tj").applyInPandas(tile, schema)
+
+
+def _asked(lp: pd.DataFrame, rp: pd.DataFrame):
+    """(left row, right row) of the requested pairs that lie in this tile."""
+    lens = np.fromiter((0 if r is None else len(r) for r in lp["req"]), np.int64, len(lp))
+    if not lens.sum():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i = np.repeat(np.arange(len(lp)), lens)
+    j = pd.Index(rp["id"]).get_indexer(np.concatenate([np.asarray(r) for r in lp["req"] if r is not None and len(r)]))
+    return i[j >= 0], j[j >= 0]
+
+
+def tiled_leg(left: DataFrame, right: DataFrame, kind: str, k: int, left_hint: tuple[int, float], right_hint: tuple[int, float]) -> DataFrame:
+    """One pass for a ranked list and for given pairs: the best ``k`` other
+    rows of each left row in each tile (``asked`` false), and the scores above
+    0 of the pairs in the left rows' ``req``, an array of ids (``asked`` true)."""
+    def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        score, valid = _scores(kind, lp, rp)
+        top = _emit(lp, rp, score, valid, k, True).assign(asked=False)
+        i, j = _asked(lp, rp)
+        i, j = i[valid[i, j]], j[valid[i, j]]
+        pairs = pd.DataFrame({"original_id": lp["id"].to_numpy()[i], "potential_duplicate_id": rp["id"].to_numpy()[j], "score": score[i, j], "asked": True})
+        return pd.concat([top, pairs], ignore_index=True) if len(pairs) else top
+
+    return _request_tiles(left, right, kind, left_hint, right_hint, run, _out_schema(left) + ", asked boolean")
+
+
+def tiled_pairs(left: DataFrame, right: DataFrame, kind: str, left_hint: tuple[int, float], right_hint: tuple[int, float]) -> DataFrame:
+    """The scores above 0 of the pairs in the left rows' ``req`` (ids): only
+    those pairs are multiplied, not whole tiles."""
+    def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        i, j = _asked(lp, rp)
+        score = _pair_scores(kind, lp, rp, i, j)
+        i, j, score = i[score > 0], j[score > 0], score[score > 0]
+        return pd.DataFrame({"original_id": lp["id"].to_numpy()[i], "potential_duplicate_id": rp["id"].to_numpy()[j], "score": score})
+
+    return _request_tiles(left, right, kind, left_hint, right_hint, run, _out_schema(left))
+
+
+def _pair_scores(kind: str, lp: pd.DataFrame, rp: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Scores of single pairs of a sparse kind."""
+    weighted = kind == "dot"
+    l_rows, l_f, l_w, l_len = kernels.flatten(list(lp["f"]), list(lp["w"]) if weighted else None)
+    r_rows, r_f, r_w, r_len = kernels.flatten(list(rp["f"]), list(rp["w"]) if weighted else None)
+    sums = kernels.pair_dot(l_rows, l_f, l_w, l_len, r_rows, r_f, r_w, i, j)
+    if weighted:
+        return sums
+    n = (lp["n"].to_numpy(), rp["n"].to_numpy()) if kind == "subset_cosine" else (l_len, r_len)
+    return np.divide(sums, np.sqrt(n[0][i].astype(np.float64) * n[1][j].astype(np.float64)), out=np.zeros(len(i)), where=sums > 0)
+
+
+def tiled_ranks(left: DataFrame, right: DataFrame, kind: str, left_hint: tuple[int, float], right_hint: tuple[int, float]) -> DataFrame:
+    """How many rows of ``right`` rank before each pair in the left rows'
+    ``req``, an array of (id, s): a greater rounded score than ``s``, or the
+    same and a smaller id. Rows (original_id, potential_duplicate_id, value),
+    to be added up over the tiles."""
+    def run(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        out_o, out_p, out_n = [], [], []
         if len(lp) and len(rp):
             score, valid = _scores(kind, lp, rp)
             rid = rp["id"].to_numpy()
-            place = {p: j for j, p in enumerate(rid)}
+            place = np.argsort(rid, kind="stable")
             for i, (o, req) in enumerate(zip(lp["id"], lp["req"], strict=True)):
-                key = kernels.round6(score[i])
-                fit = valid[i] & (rid != o)
-                for p, s in ((r["id"], r["s"]) for r in req):
-                    if count:
-                        n = int((fit & ((key > s + 5e-7) | ((np.abs(key - s) < 5e-7) & (rid < p)))).sum())
-                        if n:
-                            out.append((o, p, float(n)))
-                    elif p in place:
-                        out.append((o, p, float(score[i, place[p]]) if fit[place[p]] else 0.0))
-        return pd.DataFrame(out, columns=["original_id", "potential_duplicate_id", "value"])
-
-    tiles = _spread_tiles(lt.unionByName(rt), ["_ti", "_tj"], bl * b_right)
-    return tiles.groupBy("_ti", "_tj").applyInPandas(run, _out_schema(left).replace("score double", "value double"))
+                fit = place[(valid[i] & (rid != o))[place]]  # by id
+                if not len(fit):
+                    continue
+                p = np.array([r["id"] for r in req], rid.dtype)
+                units = np.rint(kernels.round6(score[i, fit]) * 1e6)[None, :]
+                s = np.rint(np.array([r["s"] for r in req]) * 1e6)[:, None]
+                smaller = np.arange(len(fit))[None, :] < np.searchsorted(rid[fit], p)[:, None]
+                n = ((units > s) | ((units == s) & smaller)).sum(axis=1)
+                out_o += [o] * int((n > 0).sum())
+                out_p += p[n > 0].tolist()
+                out_n += n[n > 0].astype(float).tolist()
+        return pd.DataFrame({"original_id": out_o, "potential_duplicate_id": out_p, "value": np.array(out_n, float)})
+
+    return _request_tiles(left, right, kind, left_hint, right_hint, run, _out_schema(left).replace("score double", "value double"))
 
 
 def _bucket_function(kind: str, k: int):
