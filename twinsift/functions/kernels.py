@@ -116,16 +116,33 @@ def pair_dot(l_rows, l_feat, l_w, l_len, r_rows, r_feat, r_w, i, j):
     return out
 
 
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows of length one in float64; zero rows stay zero."""
+    m = np.asarray(m, dtype=np.float64)
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    n[n == 0] = 1.0
+    return m / n
+
+
+def spherical_centres(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
+    """Unit centres of a spherical k-means of unit rows, from evenly spaced
+    first centres; one axis where there is no row."""
+    if not len(x):
+        return np.eye(1, max(1, x.shape[1]))
+    centres = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)].copy()
+    for _ in range(rounds):
+        sums = np.zeros_like(centres)
+        np.add.at(sums, np.argmax(x @ centres.T, axis=1), x)
+        length = np.linalg.norm(sums, axis=1)
+        centres[length > 1e-9] = sums[length > 1e-9] / length[length > 1e-9, None]
+    return centres
+
+
 def dense_cosine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Cosine matrix in float64; zero vectors score 0."""
-    def unit(m):
-        m = np.asarray(m, dtype=np.float64)
-        n = np.linalg.norm(m, axis=1, keepdims=True)
-        n[n == 0] = 1.0
-        return m / n
     if len(left) == 0 or len(right) == 0:
         return np.zeros((len(left), len(right)))
-    return unit(left) @ unit(right).T
+    return unit_rows(left) @ unit_rows(right).T
 
 
 def stack_vectors(vecs) -> np.ndarray:

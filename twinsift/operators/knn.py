@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinsift.functions.vectorize import binary_features, hash_embed
 from twinsift.operators.candidates import best_k
-from twinsift.operators.tiles import text_size_hint, tiled_topk
+from twinsift.operators.tiles import DEFAULT_BLOCK_ROWS, text_size_hint, tiled_topk
 from twinsift.sources.tables import ensure_parallel, materialize
 
 
@@ -49,9 +49,23 @@ def embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", hash_embed(F.col("_text")).alias("vec"))
 
 
-def dense_knn_topk(df: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int | None = None) -> DataFrame:
-    """Best k other rows by cosine of dense vectors, clamped to [0, 1]."""
+SMALL_BLOCKS = 8
+
+
+def dense_knn_topk(df: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int | None = None, plan: str | None = None) -> DataFrame:
+    """Best k other rows by cosine of dense vectors, clamped to [0, 1].
+
+    ``plan``: "pivots" (``operators/pivots.py``) leaves out pairs of blocks that
+    cannot hold a partner, "tiles" scores all pairs. The rows are the same. By
+    default tiles where all rows fit into ``SMALL_BLOCKS`` blocks, which costs
+    less than making the partitions, else pivots."""
+    from twinsift.operators.pivots import pivot_topk
+
+    if plan not in (None, "pivots", "tiles"):
+        raise ValueError(f"unknown plan {plan!r}")
     vecs = (df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
             .where(F.col("id").isNotNull() & F.col("vec").isNotNull()))
     n = vecs.count()  # column-pruned scan of the key only
+    if plan == "pivots" or plan is None and n > SMALL_BLOCKS * DEFAULT_BLOCK_ROWS:
+        return pivot_topk(vecs, k, n, block_rows)
     return best_k(tiled_topk(vecs, "dense_cosine", k, block_rows=block_rows, left_hint=(n, 1.0)), k)
