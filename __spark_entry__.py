@@ -257,6 +257,92 @@ def _read(spark, name: str) -> DataFrame:
     return spark.read.parquet(name)
 
 
+def _q_dense_knn_pivots(spark, sf):
+    from twinsift.operators.knn import dense_knn_topk
+    return dense_knn_topk(_t(spark, sf, "embeddings"), "vec_id", "embedding", K, plan="pivots")
+
+
+def _q_embedding_table(spark, sf):
+    """The documents embedded into a vector table twice; the second run finds
+    every text there."""
+    from twinsift.functions.vectorize import embedder
+    from twinsift.sources.vector_table import VectorTable
+
+    table = VectorTable(spark, _run_folder(spark, "vectors"), "hashed-char-ngrams")
+    texts = _t(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    new = [table.sync(texts, embedder(table.model)) for _ in range(2)]
+    out = table.vectors(texts).select(F.col("id").alias("doc_id"), F.transform("vec", lambda x: F.round(x.cast("double"), 6)).alias("embedding"))
+    return out.withColumn("embedded_again", F.lit(new[1]).cast("long"))
+
+
+def _q_merged_analysis(spark, sf):
+    """The analysis of ``part`` from the histograms of three parts of its
+    candidates (by original), added up."""
+    pairs = _pairs(spark, sf, PARTS).checkpoint()
+    base = _t(spark, sf, "part")
+    in_part = lambda df, key, i: df.where(F.pmod(F.xxhash64(key), F.lit(3)) == i)
+    parts = [analyze.score_histogram(in_part(pairs, "original_id", i), in_part(base, "p_partkey", i), "part") for i in range(3)]
+    out = analyze.analysis_of_histogram(analyze.merged_histograms(*parts))
+    return out.withColumn("avg_search_score", F.round("avg_search_score", 6))
+
+
+def _q_declared_rules(spark, sf):
+    parent = _t(spark, sf, "customer").where(F.col("c_mktsegment") != F.lit("BUILDING"))
+    orders = _orders_with_nulls(spark, sf)
+    return quality.table_rules(orders.unionByName(orders.where("o_orderstatus IS NULL")),
+                               ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], "o_orderkey", [("o_custkey", parent, "c_custkey")])
+
+
+def _q_job_status(spark, sf):
+    """Detection over a present, an absent and a failing entity."""
+    from twinsift.config import JobParams
+    from twinsift.plans import jobs
+
+    at = lambda t: f"{sf.rstrip('/')}/{t}.parquet"
+    entities = (EntitySpec(at("part"), PARTS.primary_key, PARTS.exclude, text_mode=PARTS.text_mode), EntitySpec(at("no_such_table"), "id"),
+                EntitySpec(at("supplier"), "s_suppkey", ("no_such_column",)))
+    params = JobParams(catalog=_run_folder(spark, "lake"), num_results=K, method="exact", entities=entities)
+    status = jobs.detect_entities(spark, params)
+    found = jobs.layout_of(params)
+    rows = [(s.entity_name, status[s.entity_name].split(": ")[0], _read(spark, found.candidates(s)).count() if status[s.entity_name] == "ok" else 0) for s in entities]
+    return spark.createDataFrame(rows, "entity_name string, status string, candidates long")
+
+
+def _q_column_comments(spark, sf):
+    """Comments written with a table and read back from it."""
+    from twinsift.sources.tables import column_comments, write_overwrite
+
+    path = _run_folder(spark, "commented") + "/orders"
+    orders = _t(spark, sf, "orders")
+    write_overwrite(orders, path, comments={c: f"{c} of an order" for c in orders.columns if c != "o_orderkey"})
+    return column_comments(spark, path).select("column_name", "comment").withColumn("rows", F.lit(_read(spark, path).count()))
+
+
+def _loose_orders(spark, sf):
+    bad = F.when(F.col("o_orderkey") % 10 == 0, F.lit("31/12/1995")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return _t(spark, sf, "orders").select("o_orderkey", "o_custkey", bad.alias("o_orderdate"))
+
+
+def _typed_load(spark, sf):
+    from pyspark.sql import types as T
+    from twinsift.sources.schemas import load_table
+
+    path = _run_folder(spark, "typed") + "/orders"
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()), T.StructField("o_orderdate", T.DateType())])
+    bad = [load_table(spark, path, _loose_orders(spark, sf), schema) for _ in range(2)][-1]
+    return path, bad
+
+
+def _q_typed_load(spark, sf):
+    """``orders`` with its dates as text, loaded twice into a typed table."""
+    out = _read(spark, _typed_load(spark, sf)[0])
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+def _q_typed_load_bad_cells(spark, sf):
+    return _typed_load(spark, sf)[1]
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combined_text": _q_combined_text,
     "combined_text_nulls": _q_combined_text_nulls,
@@ -288,6 +374,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "written_table": _q_written_table,
     "job_gold": _q_job_gold,
     "job_analysis": _q_job_analysis,
+    "dense_knn_pivots": _q_dense_knn_pivots,
+    "embedding_table": _q_embedding_table,
+    "merged_analysis": _q_merged_analysis,
+    "declared_rules": _q_declared_rules,
+    "job_status": _q_job_status,
+    "column_comments": _q_column_comments,
+    "typed_load": _q_typed_load,
+    "typed_load_bad_cells": _q_typed_load_bad_cells,
 }
 
 
@@ -531,6 +625,26 @@ _SQL["dense_detect"] = f"WITH texts AS ({DOCS_SRC})," + EMBEDDED + f""",
 SELECT original_id, o.text AS original_combined_data, potential_duplicate_id, p.text AS potential_duplicate_combined_data, search_score
 FROM c JOIN texts o ON o.id = original_id JOIN texts p ON p.id = potential_duplicate_id"""
 
+_SQL["dense_knn_pivots"] = _SQL["dense_knn_topk"]
+_SQL["embedding_table"] = "SELECT *, 0::BIGINT AS embedded_again FROM (" + _SQL["hash_embed"] + ")"
+_SQL["merged_analysis"] = _SQL["job_analysis"]
+_RULES_TABLE = f"(SELECT * FROM {ORDERS_NULLS} UNION ALL SELECT * FROM {ORDERS_NULLS} WHERE o_orderstatus IS NULL)"
+_SQL["declared_rules"] = "WITH t AS (SELECT * FROM " + _RULES_TABLE + """)
+SELECT 'not_null' AS rule, 'o_orderkey' AS columns, count(*) FILTER (o_orderkey IS NULL) AS violations FROM t
+UNION ALL SELECT 'not_null', 'o_custkey', count(*) FILTER (o_custkey IS NULL) FROM t
+UNION ALL SELECT 'not_null', 'o_orderstatus', count(*) FILTER (o_orderstatus IS NULL) FROM t
+UNION ALL SELECT 'not_null', 'o_orderpriority', count(*) FILTER (o_orderpriority IS NULL) FROM t
+UNION ALL SELECT 'primary_key', 'o_orderkey', count(*) FROM (SELECT o_orderkey FROM t GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'foreign_key', 'o_custkey', count(*) FROM t WHERE o_custkey IS NOT NULL
+  AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')"""
+_SQL["job_status"] = PARTS_TOPK + """
+SELECT 'part' AS entity_name, 'ok' AS status, count(*) AS candidates FROM cands
+UNION ALL SELECT 'no_such_table', 'skipped', 0 UNION ALL SELECT 'supplier', 'failed', 0"""
+_SQL["column_comments"] = """SELECT column_name, CASE WHEN column_name <> 'o_orderkey' THEN column_name || ' of an order' END AS comment,
+  (SELECT count(*) FROM orders) AS rows FROM (DESCRIBE SELECT * FROM orders)"""
+_SQL["typed_load"] = "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate::DATE::VARCHAR END AS o_orderdate FROM orders"
+_SQL["typed_load_bad_cells"] = """SELECT 'o_orderdate' AS column_name, '31/12/1995' AS value, count(*) AS n FROM orders
+WHERE o_orderkey % 10 = 0 HAVING count(*) > 0"""
 _SQL["incremental_candidates"] = _SQL["sparse_cosine_topk"]
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -150,15 +152,39 @@ def hash_embed(text: Column, dim: int = EMBED_DIM, gram: int = EMBED_GRAM) -> Co
     return _embed(text)
 
 
+def model_embedder(load):
+    """An embedding function (Column -> Column) of a local model: ``load()``
+    gives a function list of texts -> rows of numbers and runs once in each
+    task that embeds, not once a batch (iterator pandas UDF)."""
+    ship_package()
+
+    @F.pandas_udf("array<float>")
+    def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for texts in batches:
+            rows = np.asarray(model(texts.fillna("").tolist()), np.float32)
+            yield pd.Series(list(rows))
+
+    return lambda text: _embed(text)
+
+
 EMBEDDERS = {"hashed-char-ngrams": hash_embed}
 
 
 def embedder(name: str):
-    """The embedding function (Column -> Column) of a model name; own models
-    are added to ``EMBEDDERS`` or given to the jobs as a function."""
-    if name not in EMBEDDERS:
-        raise ValueError(f"no embedding model {name!r}; known: {sorted(EMBEDDERS)}")
-    return EMBEDDERS[name]
+    """The embedding function (Column -> Column) of a model name: a known one,
+    or ``module:function`` for a loader (``model_embedder``) that the Python
+    workers can import. A function can also be given to the jobs as it is."""
+    if name in EMBEDDERS:
+        return EMBEDDERS[name]
+    module, _, function = name.partition(":")
+    if not function:
+        raise ValueError(f"no embedding model {name!r}; known: {sorted(EMBEDDERS)}, or module:function of a loader")
+
+    def load():
+        return getattr(importlib.import_module(module), function)()
+
+    return model_embedder(load)
 
 
 def embed(df: DataFrame, text_col: str, out_col: str = "embedding", embed_fn=None) -> DataFrame:

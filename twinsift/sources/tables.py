@@ -72,6 +72,13 @@ def set_column_comments(spark: SparkSession, name: str, comments: dict[str, str]
         spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT '{escaped}'")
 
 
+def column_comments(spark: SparkSession, name: str) -> DataFrame:
+    """S10 read back: (column_name, data_type, comment) of a written table or
+    path; the comment is NULL where none was set."""
+    rows = [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in read_table(spark, name).schema.fields]
+    return spark.createDataFrame(rows, "column_name string, data_type string, comment string")
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     """S11 (opt-in in the jobs layer): a table, or the folder of a path."""
     if not is_path(name):
