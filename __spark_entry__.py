@@ -162,6 +162,11 @@ def _q_bm25_topk(spark, sf):
     return bm25_topk(_t(spark, sf, "benchmark"), "item_id", "text", _t(spark, sf, "documents"), "doc_id", "text", K)
 
 
+def _q_bm25_max_score(spark, sf):
+    from twinsift.operators.keyword import bm25_topk
+    return bm25_topk(_t(spark, sf, "benchmark"), "item_id", "text", _t(spark, sf, "documents"), "doc_id", "text", K, plan="max_score")
+
+
 def _q_hybrid_rrf_topk(spark, sf):
     from twinsift.operators.hybrid import hybrid_topk
     return hybrid_topk(_doc_texts(spark, sf), "id", "text", K)
@@ -375,6 +380,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_gold": _q_job_gold,
     "job_analysis": _q_job_analysis,
     "dense_knn_pivots": _q_dense_knn_pivots,
+    "bm25_max_score": _q_bm25_max_score,
     "embedding_table": _q_embedding_table,
     "merged_analysis": _q_merged_analysis,
     "declared_rules": _q_declared_rules,
@@ -625,6 +631,7 @@ _SQL["dense_detect"] = f"WITH texts AS ({DOCS_SRC})," + EMBEDDED + f""",
 SELECT original_id, o.text AS original_combined_data, potential_duplicate_id, p.text AS potential_duplicate_combined_data, search_score
 FROM c JOIN texts o ON o.id = original_id JOIN texts p ON p.id = potential_duplicate_id"""
 
+_SQL["bm25_max_score"] = _SQL["bm25_topk"]
 _SQL["dense_knn_pivots"] = _SQL["dense_knn_topk"]
 _SQL["embedding_table"] = "SELECT *, 0::BIGINT AS embedded_again FROM (" + _SQL["hash_embed"] + ")"
 _SQL["merged_analysis"] = _SQL["job_analysis"]

@@ -44,6 +44,43 @@ def test_bm25_matches_brute_force(spark):
     assert all(abs(got[k] - expect[k]) < 1e-6 for k in got)
 
 
+def _short_queries(spark, seed=3, n=300):
+    import random
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(80)]
+    text = lambda m: " ".join(["stop"] * (rnd.random() < 0.9) + [words[min(79, int(rnd.expovariate(0.08)))] for _ in range(m)])
+    docs = [(i, text(rnd.randint(1, 30))) for i in range(n)] + [(n, None), (n + 1, ""), (n + 2, "w79 w79 w78")]
+    queries = [(i, text(rnd.randint(1, 6))) for i in range(25)] + [(25, "stop"), (26, "zebra"), (27, None), (28, "w78 w79 stop"), (3, "w79 more")]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(queries, "item_id long, text string")
+
+
+def test_max_score_equals_tiles(spark):
+    d, q = _short_queries(spark)
+    q = q.groupBy("item_id").agg(F.concat_ws(" ", F.collect_list("text")).alias("text"))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    for k in (1, 4, 400):
+        a = bm25_topk(q, "item_id", "text", d, "doc_id", "text", k, plan="max_score")
+        assert key(a) == key(bm25_topk(q, "item_id", "text", d, "doc_id", "text", k))
+    both = bm25_topk(q.withColumnRenamed("item_id", "doc_id"), "doc_id", "text", d, "doc_id", "text", 3, exclude_same_id=True, plan="max_score")
+    assert both.where("original_id = potential_duplicate_id").count() == 0
+    assert bm25_topk(q.limit(0), "item_id", "text", d, "doc_id", "text", 3, plan="max_score").count() == 0
+
+
+def test_common_words_are_not_expanded(spark):
+    """Queries of one rare and three stop words: postings of the stop words,
+    nine tenths of all, stay unexpanded."""
+    from twinsift.operators import keyword
+
+    docs = [(i, "the of and " + (f"rare{i // 6}" if i % 3 == 0 else f"other{i}")) for i in range(1200)]
+    queries = [(i, f"the of and rare{i}") for i in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    q = spark.createDataFrame(queries, "item_id long, text string")
+    postings, terms = keyword._postings(q, "item_id", "text", d, "doc_id", "text")
+    essential, rest = keyword._essential(postings, terms, 1)
+    every, expanded = (t.agg(F.sum("df")).first()[0] for t in (terms, essential))
+    assert expanded < 0.01 * every and rest.select("h").distinct().count() == 3
+
+
 def test_hybrid_reports_cosine_and_fuses_ranks(spark):
     rows = [(1, "alpha beta gamma delta epsilon"), (2, "alpha beta gamma delta epsilon"),
             (3, "alpha beta gamma zeta eta"), (4, "omega psi chi phi upsilon")]
