@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ BLOCK = 128
 PERCENTILE = 0.9
 SEGMENT = 1 << 18
 MAGIC = b"PFB1"
-CACHED = 500_000
+CACHED = 300_000
 
 
 # ------------------------------------------------------------ file format
@@ -160,23 +161,44 @@ def read_block(data: bytes, block: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- encoding
-class Pieces(dict):
-    """piece -> its ids as little-endian bytes, by the tokenizer's model."""
+class Recent(dict):
+    """A cache of two generations: when it holds ``CACHED`` entries they become
+    the old generation, from which an entry comes back when it is asked for.
+    Texts have many words that are seen once; what is seen again stays."""
 
-    def __init__(self, tokenizer, width: str):
+    def __init__(self):
         super().__init__()
-        self.model, self.width, self.letters = tokenizer.model, width, _byte_letters()
+        self.old: dict = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        mapped = "".join([self.letters[b] for b in piece.encode()])
-        ids = [t.id for t in self.model.tokenize(mapped)]
+    def made(self, key: str) -> bytes:
+        raise NotImplementedError
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.old.pop(key, None) or self.made(key)
         if len(self) >= CACHED:
+            self.old = dict(self)
             self.clear()
-        out = self[piece] = struct.pack(f"<{len(ids)}{self.width}", *ids)
+        self[key] = out
         return out
 
 
-class WordEncoder(dict):
+class Pieces(Recent):
+    """piece -> its ids as little-endian bytes, by the tokenizer's model."""
+
+    def __init__(self, tokenizer, width: str):
+        super().__init__()
+        self.tokenize, self.letters = tokenizer.model.tokenize, dict(enumerate(_byte_letters()))
+        self.pack = [struct.Struct(f"<{n}{width}").pack for n in range(64)]
+        self.width = width
+
+    def made(self, piece: str) -> bytes:
+        # Letters and digits of ASCII stand for themselves.
+        plain = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenize(plain)]
+        return self.pack[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{self.width}", *ids)
+
+
+class WordEncoder(Recent):
     """word -> its ids as little-endian bytes, made by the tokenizers library.
 
     The tokenizer cuts a lower-cased text at white space, then into pieces by
@@ -184,8 +206,7 @@ class WordEncoder(dict):
     (ASCII, Latin letters that have one code point in either case) that is
     done here with a look-up for words seen before; the pieces of a new word
     are cut by the tokenizer's own pattern. Any other text, and any tokenizer
-    of another shape, goes through ``encode`` whole. Each cache is emptied
-    when it holds ``CACHED`` entries.
+    of another shape, goes through ``encode`` whole.
     """
 
     plain = re.compile(r"[\n -~À-ÖØ-öø-įĲ-ňŊ-ž]*")
@@ -208,17 +229,33 @@ class WordEncoder(dict):
             self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
             self.pieces = Pieces(self.tokenizer, {"<u2": "H", "<u4": "I"}[dtype])
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        out = self[word] = (self.pieces[word] if word.isalpha()
-                            else b"".join(map(self.pieces.__getitem__, self.split(word))))
-        return out
+    def made(self, word: str) -> bytes:
+        # A word of letters is one piece, kept here only.
+        return self.pieces.made(word) if word.isalpha() else b"".join(map(self.pieces.__getitem__, self.split(word)))
+
+    def is_plain(self, text: str) -> bool:
+        return bool(self.split and self.plain.fullmatch(text)) and not any(s in text for s in self.special)
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. The words of all plain texts are numbered
+        together; each different one is looked up once, and the ids are gathered
+        by number."""
+        plain = [self.is_plain(t) for t in texts]
+        cut = pc.split_pattern(pa.array([t.lower().replace("\n", " ") for t, p in zip(texts, plain, strict=True) if p], pa.string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        found = [self[w] for w in coded.dictionary.to_pylist()]
+        size = np.dtype(self.dtype).itemsize
+        n = np.fromiter(map(len, found), np.int64, len(found)) // size
+        flat, first, at = np.frombuffer(b"".join(found), self.dtype), np.cumsum(n) - n, coded.indices.to_numpy(zero_copy_only=False)
+        times = n[at]
+        ids = flat[np.arange(times.sum()) + np.repeat(first[at] - (np.cumsum(times) - times), times)]
+        ends = np.r_[0, np.cumsum(times)][np.cumsum(cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))].tolist()
+        spans = iter(zip([0, *ends], ends, strict=False))
+        return [ids[slice(*next(spans))] if p else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.dtype)
+                for t, p in zip(texts, plain, strict=True)]
 
     def ids(self, text: str) -> bytes:
-        if self.split and self.plain.fullmatch(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.__getitem__, text.lower().replace("\n", " ").split(" ")))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self.many([text])[0].tobytes()
 
 
 def _byte_letters() -> list[str]:
@@ -255,14 +292,13 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, "<u4")
-        end = np.uint32(end_id).tobytes()
+        end = np.array([end_id], "<u4")
         shard, place, size = 0, 0, 0
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         names: list = []
 
         def segment() -> pa.RecordBatch:
-            lengths = [len(p) // 4 for p in parts]
-            image = encode_segment(np.frombuffer(b"".join(parts), "<u4"), lengths)
+            image = encode_segment(np.concatenate([x for p in parts for x in (p, end)]), [len(p) + 1 for p in parts])
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([place], pa.int64()), pa.array([size], pa.int64()),
                  pa.array([names], pa.list_(id_arrow)), pa.array([image], pa.binary())],
@@ -272,11 +308,10 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id
             id_arrow = batch.column(0).type
             if batch.num_rows:
                 shard = batch.column(2)[0].as_py()
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = enc.ids(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.many(batch.column(1).to_pylist()), strict=True):
                 parts.append(ids)
                 names.append(doc_id)
-                size += len(ids) // 4
+                size += len(ids) + 1
                 if size >= segment_ids:
                     yield segment()
                     place, size, parts, names = place + size, 0, [], []
