@@ -54,6 +54,15 @@ def release_shuffles(spark: SparkSession) -> None:
         time.sleep(1)
 
 
+def release_memory() -> None:
+    """Give memory of finished steps back to the system: Python's garbage and
+    what Arrow keeps for its next table."""
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def prepare(spark: SparkSession) -> None:
     """Make the package importable in the Python workers and bound the Arrow
     batches by bytes as well as rows, so that long texts cannot fill a
