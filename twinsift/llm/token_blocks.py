@@ -44,7 +44,7 @@ BLOCK = 128
 PERCENTILE = 0.9
 SEGMENT = 1 << 18
 MAGIC = b"PFB1"
-CACHED = 300_000
+CACHED = 500_000
 
 
 # ------------------------------------------------------------ file format
