@@ -105,7 +105,9 @@ def _from_lists(split: DataFrame, k: int, pairs: int) -> DataFrame:
     """(original_id, potential_duplicate_id, n, m, c, both): partners by shared
     rare features that may be among the best k; ``both`` if both rows have hot
     features, which ``c`` does not count yet."""
-    blocks = max(2 * split.sparkSession.sparkContext.defaultParallelism, math.ceil(pairs / PAIRS_PER_BLOCK))
+    # Two tasks a core, fewer where there is little to do.
+    cores = split.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, math.ceil(pairs / PAIRS_PER_BLOCK), min(2 * cores, math.ceil(pairs / 50_000)))
     place = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     split = split.withColumns({"h": F.size("hot"), "b": place})
     entry = F.struct("id", "n", "h", "b")
