@@ -61,3 +61,29 @@ def test_query(spark):
         if n[0] < 1500:
             assert n == brute(texts[r["doc_id"]])
         assert r["base_failed"] == (n[0] < 20 or 100 * n[4] > 30 * n[0]) and not (r["base_failed"] and r["kept"])
+
+
+def test_hosts_rejected_by_symbols_and_lines_equal_sql(spark, frame, scratch):
+    """Hosts whose documents pass one by one are rejected by the rate of a
+    rule; the query equals its SQL where verdicts differ by host."""
+    import duckdb
+
+    from twinsift.llm import oracle
+
+    good = " ".join(f"w{i}" for i in range(30))
+    signs = " ".join(f"#{i}$" for i in range(30))
+    lines = good + "\nagain\nagain\nagain"
+    rows = [(i, good, "good") for i in range(150)] + [(200 + i, lines if i % 2 else signs, "mixed") for i in range(30)]
+    rows += [(300 + i, signs if i % 5 else good, "signs") for i in range(100)]
+    rows += [(500 + i, lines if i % 5 else good, "lines") for i in range(100)]
+    rows += [(700, signs, None), (701, None, "good"), (702, "short", "signs")]
+    folder = f"{scratch}/op5-hosts"
+    frame(rows, DOC).coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    out = queries.op5_host_rules(spark, folder)
+    got = {tuple(r) for r in out.collect()}
+    kept = {r[0]: r[out.columns.index("kept")] for r in got}
+    assert kept[0] and not kept[300] and not kept[301] and not kept[500] and not kept[501] and not kept[702]
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    want = db.execute(f"SELECT {', '.join(out.columns)} FROM ({oracle.OP5})").fetchall()
+    assert got == set(want) and len(want) == len(rows)

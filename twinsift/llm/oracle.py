@@ -59,14 +59,18 @@ r AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
         coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
       FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
-f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM r),
-h AS (SELECT source, count(*)::DOUBLE AS docs, sum(base_failed::INT)::DOUBLE AS fails FROM f GROUP BY source),
-m AS (SELECT sum(docs) AS n, sum(fails) / sum(docs) AS m, count(*) AS k, sum(docs * docs) AS n2, sum(fails * fails / docs) AS ff FROM h),
-v AS (SELECT n, m, CASE WHEN n - n2 / n > 0 THEN (ff - n * m * m - (k - 1) * m * (1 - m)) / (n - n2 / n) ELSE 0 END AS var FROM m),
-s AS (SELECT m, CASE WHEN var > 1e-12 THEN least(greatest(m * (1 - m) / var - 1, 1), greatest(n, 1)) ELSE greatest(n, 1) END AS s FROM v),
-verdict AS (SELECT source, (fails + m * s) / (docs + s) AS host_rate FROM h, s)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_rate < 0.5 AS kept,
-  round(host_rate, 6) AS host_rate
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        100 * n_symbols > 10 * word_chars AS symbols_failed, 20 * n_dup_lines > n_words AS lines_failed FROM r),
+u AS (SELECT source, unnest([{{'rule': 1, 'failed': base_failed}}, {{'rule': 2, 'failed': symbols_failed}}, {{'rule': 3, 'failed': lines_failed}}], recursive := true) FROM f),
+h AS (SELECT source, rule, count(*)::DOUBLE AS docs, sum(failed::INT)::DOUBLE AS fails FROM u GROUP BY source, rule),
+m AS (SELECT rule, sum(docs) AS n, sum(fails) / sum(docs) AS m, count(*) AS k, sum(docs * docs) AS n2, sum(fails * fails / docs) AS ff FROM h GROUP BY rule),
+v AS (SELECT rule, n, m, CASE WHEN n - n2 / n > 0 THEN (ff - n * m * m - (k - 1) * m * (1 - m)) / (n - n2 / n) ELSE 0 END AS var FROM m),
+s AS (SELECT rule, m, CASE WHEN var > 1e-12 THEN least(greatest(m * (1 - m) / var - 1, 1), greatest(n, 1)) ELSE greatest(n, 1) END AS s FROM v),
+rates AS (SELECT source, rule, (fails + m * s) / (docs + s) AS rate FROM h JOIN s USING (rule)),
+verdict AS (SELECT source, max(rate) FILTER (rule = 1) AS host_rate, max(rate) FILTER (rule = 2) AS symbol_rate,
+              max(rate) FILTER (rule = 3) AS line_rate, max(rate) AS worst FROM rates GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND worst < 0.5 AS kept,
+  round(host_rate, 6) AS host_rate, round(symbol_rate, 6) AS symbol_rate, round(line_rate, 6) AS line_rate
 FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source"""
 
 OP7 = f"""WITH d AS (SELECT doc_id, source, len({_WORDS.format('text')})::BIGINT AS size,

@@ -1,18 +1,22 @@
 """Host-level quality rules.
 
-Each document gets four rule counts and a base verdict; failures are
-aggregated by host, every host's failure rate is shrunk towards the mean of
-all hosts with an empirical beta prior, and the host verdict joins back.
+Each document gets four rule counts and three rule verdicts; failures of each
+rule are aggregated by host, every host's failure rate is shrunk towards the
+mean of all hosts with an empirical beta prior (one a rule), and the host
+verdict joins back.
 
 * words are runs of ``[^\\x20\\x09-\\x0D]``; a null text has none;
 * ``base_failed``: fewer than ``MIN_WORDS`` words, or over
   ``MAX_REPEATED``% of the words inside 8-word windows seen at least twice;
-* the beta prior is fitted by moments to the hosts' rates: mean ``m`` and
+* ``symbols_failed``: over ``MAX_SYMBOLS``% of the word characters are
+  symbols; ``lines_failed``: more than one repeated line for ``LINE_WORDS``
+  words. They say nothing about one document but count for its host;
+* the beta prior of a rule is fitted by moments to the hosts' rates: mean ``m`` and
   strength ``s = m(1-m)/var - 1`` where ``var`` is the variance between hosts
   beyond binomial noise (none: the strength is that of all rows, so every
   host gets the mean);
-* host rate ``(fails + m*s) / (docs + s)``; a host is rejected when its rate
-  is at least ``max_host_rate`` (0.5).
+* host rate ``(fails + m*s) / (docs + s)``; a host is rejected when the rate
+  of any rule is at least ``max_host_rate`` (0.5).
 
 Defined cases: a null host is a host of its own; an empty table gives no
 rows; repeated rows count each time; null texts fail (no words); extra
@@ -30,7 +34,11 @@ from twinsift.llm import common
 
 MIN_WORDS = 20
 MAX_REPEATED = 30
+MAX_SYMBOLS = 10
+LINE_WORDS = 20
 WINDOW = 8
+#: rule column -> column of the host's shrunk rate
+RULES = {"base_failed": "host_rate", "symbols_failed": "symbol_rate", "lines_failed": "line_rate"}
 SYMBOLS = "#*$%&|<>"
 
 
@@ -86,26 +94,39 @@ def document_rules(docs: DataFrame, id_col: str, text_col: str, host_col: str) -
                                           + [pa.array(c, pa.int64()) for c in cols], names=["doc_id", "host", *names])
 
     out = common.map_batches(thin, run, f"doc_id {id_type}, host string, " + ", ".join(f"{n} long" for n in names))
-    return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
-                          | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED))
+    return out.withColumns({
+        "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED),
+        "symbols_failed": F.col("n_symbols") * 100 > F.col("word_chars") * MAX_SYMBOLS,
+        "lines_failed": F.col("n_dup_lines") * LINE_WORDS > F.col("n_words")})
+
+
+def prior(n: float, n2: float, k: float, fails: float, squares: float) -> tuple[float, float]:
+    """(mean, strength) of the beta prior of a rule by moments of the hosts:
+    documents, sum of squared documents, hosts, failures, and sum of
+    failures^2 / documents."""
+    m = fails / max(1.0, n)
+    between = squares - n * m * m  # sum of docs * (rate - mean)^2
+    denom = n - n2 / max(n, 1.0)
+    var = (between - (k - 1) * m * (1 - m)) / denom if denom > 0 else 0.0
+    return m, min(max(m * (1 - m) / var - 1, 1.0), max(n, 1.0)) if var > 1e-12 else max(n, 1.0)
 
 
 def host_verdicts(rules: DataFrame, max_host_rate: float = 0.5) -> DataFrame:
-    """One row a host: docs, fails, host_rate (shrunk), host_ok."""
+    """One row a host: docs, fails (of the base rule), the shrunk rate of each
+    rule, host_ok."""
     hosts = rules.groupBy("host").agg(F.count(F.lit(1)).alias("docs"),
-                                      F.sum(F.col("base_failed").cast("long")).alias("fails"))
+                                      *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES])
     # Moments of the hosts, weighted by their documents: one row.
-    s = hosts.agg(F.sum("docs").alias("n"), F.sum("fails").alias("f"), F.count(F.lit(1)).alias("k"),
+    s = hosts.agg(F.sum("docs").alias("n"), F.count(F.lit(1)).alias("k"),
                   F.sum(F.col("docs") * F.col("docs").cast("double")).alias("n2"),
-                  F.sum(F.col("fails") * F.col("fails") / F.col("docs")).alias("ff")).first()
-    n, m = float(s["n"] or 0), float(s["f"] or 0) / max(1.0, float(s["n"] or 0))
-    between = float(s["ff"] or 0) - n * m * m  # sum of docs * (rate - mean)^2
-    denom = n - float(s["n2"] or 0) / max(n, 1.0)
-    k = int(s["k"] or 0)
-    var = (between - (k - 1) * m * (1 - m)) / denom if denom > 0 else 0.0
-    strength = min(max(m * (1 - m) / var - 1, 1.0), max(n, 1.0)) if var > 1e-12 else max(n, 1.0)
-    rate = (F.col("fails") + F.lit(m * strength)) / (F.col("docs") + F.lit(strength))
-    return hosts.select("host", "docs", "fails", rate.alias("host_rate"), (rate < max_host_rate).alias("host_ok"))
+                  *[F.sum(r).alias(r) for r in RULES],
+                  *[F.sum(F.col(r) * F.col(r) / F.col("docs")).alias(f"{r}_2") for r in RULES]).first()
+    rates = {}
+    for r, name in RULES.items():
+        m, strength = prior(*(float(s[c] or 0) for c in ("n", "n2", "k", r, f"{r}_2")))
+        rates[name] = (F.col(r) + F.lit(m * strength)) / (F.col("docs") + F.lit(strength))
+    return (hosts.withColumns(rates).withColumn("host_ok", F.greatest(*rates) < max_host_rate)
+            .select("host", "docs", F.col("base_failed").alias("fails"), *rates, "host_ok"))
 
 
 def host_level_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -118,5 +139,5 @@ def host_level_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rules = common.stored(document_rules(docs, id_col, text_col, host_col), "rules")
     hosts = common.stored(host_verdicts(rules, max_host_rate), "hosts")
     hot = common.heavy_keys(hosts, "host", "docs")
-    out = common.salted_join(rules, hosts.select("host", "host_rate", "host_ok"), "host", hot, "doc_id")
+    out = common.salted_join(rules, hosts.select("host", *RULES.values(), "host_ok"), "host", hot, "doc_id")
     return out.withColumn("kept", ~F.col("base_failed") & F.col("host_ok"))

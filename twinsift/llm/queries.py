@@ -63,7 +63,7 @@ def op5_host_rules(spark, sf_dir):
 
     out = quality_rules.host_level_rules(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "kept", F.round("host_rate", 6).alias("host_rate"))
+                      "kept", *[F.round(r, 6).alias(r) for r in quality_rules.RULES.values()])
 
 
 def op6_decontaminate(spark, sf_dir):
