@@ -83,3 +83,16 @@ def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted((tuple(r) for r in queries.op10_warc(spark, sf).collect()), key=str) == brute(rows)
+
+
+def test_many_repeated_rows_of_a_long_page(spark, frame, scratch):
+    """More copies than one group takes: every row comes back, and the groups
+    hold one block a segment."""
+    long = "".join(f"<p>{i}</p>" for i in range(6000))
+    rows = [(5, "u", long)] * 600 + [(None, "u", long)] * 300 + [(6, "u", long + "x"), (7, "u", "short")]
+    path = f"{scratch}/warc-copies"
+    warc.write_archives(warc.with_revisits(frame(rows, PAGE).repartition(5)), path)
+    out = warc.read_pages(spark, path)
+    n = {(r["x_id"], r["rec_type"]): r["n"] for r in out.groupBy("x_id", "rec_type").agg(F.count("*").alias("n")).collect()}
+    assert n == {("5", "response"): 600, (None, "revisit"): 300, ("6", "response"): 1, ("7", "response"): 1}
+    assert {bytes(r["payload"]).decode() for r in out.where("rec_type = 'response'").select("payload").distinct().collect()} == {long, long + "x", "short"}

@@ -40,6 +40,7 @@ from twinsift.llm import common
 MIN_REVISIT = 1000
 CHUNK = 8 << 10
 SEGMENT = 32 << 10
+COPIES = 256
 FILE_RECORDS = 1500
 END = "\r\n\r\n"
 DATE = "2020-01-01T00:00:00Z"
@@ -230,7 +231,7 @@ def referred_id(column: str) -> F.Column:
 def read_pages(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """One row a page from the archives: x_id, rec_type, refers_to,
     payload_bytes, payload_digest and (for responses) the payload. Only
-    segmented records are shuffled, by their origin."""
+    segmented records are shuffled: one block a segment of each origin."""
     records = read_records(spark, path)
 
     def page(kind: str, x_id, refers_to, digest: str, block: bytes) -> tuple:
@@ -253,15 +254,19 @@ def read_pages(spark: SparkSession, path: str, payloads: bool = True) -> DataFra
         first = pdf[pdf["rec_type"] != "continuation"]
         if not len(first):
             raise ValueError("segments without their first record")
-        # Repeated rows of a page wrote equal segments: one set is enough.
-        parts = {int(n): (int(n), bytes(b), None if pd.isna(t) else int(t))
-                 for n, b, t in zip(pdf["segment"], pdf["block"], pdf["total"], strict=True)}
+        parts = [(int(n), bytes(b), None if pd.isna(t) else int(t)) for n, b, t in zip(pdf["segment"], pdf["block"], pdf["total"], strict=True)]
         f = first.iloc[0]
-        row = page(f["rec_type"], f["x_id"], f["refers_to"], f["digest"], reassembled(list(parts.values())))
-        return pd.DataFrame([row] * len(first), columns=[x.split()[0] for x in _PAGE.split(", ")])
+        row = page(f["rec_type"], f["x_id"], f["refers_to"], f["digest"], reassembled(parts))
+        return pd.DataFrame([(*row, f["copies"])], columns=[*(x.split()[0] for x in _PAGE.split(", ")), "copies"])
 
     cols = ["rec_type", "x_id", "refers_to", "digest", "block"]
     single = common.map_batches(records.where("segment is null").select(*cols), whole, _PAGE)
-    cut = (records.where("segment is not null").select("origin", "segment", "total", *cols)
-           .groupBy("origin").applyInPandas(join, _PAGE))
+    # Repeated rows of a page wrote equal segments: one set of them is grouped
+    # for COPIES rows, counted before the shuffle, and the page repeated after.
+    segments = (records.where("segment is not null").groupBy("origin", "segment")
+                .agg(F.count(F.lit(1)).alias("n"), F.max("total").alias("total"), *[F.min(c).alias(c) for c in cols]))
+    sets = segments.withColumn("set", F.explode(F.expr(f"sequence(0, (n - 1) div {COPIES})")))
+    sets = sets.withColumn("copies", F.least(F.lit(COPIES), F.col("n") - F.col("set") * COPIES)).drop("n")
+    cut = sets.groupBy("origin", "set").applyInPandas(join, f"{_PAGE}, copies long")
+    cut = cut.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_", "copies")
     return single.unionByName(cut)
