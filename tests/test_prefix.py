@@ -68,3 +68,23 @@ def test_lists_stay_within_the_features(spark):
 def test_plans_agree_on_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id as id", "text")
     assert _key(sparse_cosine_topk(docs, "id", "text", 3)) == _key(sparse_cosine_topk(docs, "id", "text", 3, plan="tiles"))
+
+
+def _records(n: int):
+    """Records of a few words, all of them in many rows; some with more words
+    than ``FEW_HOT``, one alone."""
+    rnd = random.Random(5)
+    rows = [(i, sorted({rnd.randint(0, 3), 10 + rnd.randint(0, 4), 20 + rnd.randint(0, 5), 30 + rnd.randint(0, 2)})) for i in range(n)]
+    return rows, [*rows, *((n + i, sorted(rnd.sample(range(35), 10 + i))) for i in range(12)), (n + 12, [99])]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_short_records_meet_by_subsets(spark, monkeypatch, k):
+    monkeypatch.setattr(prefix, "FEW_PAIRS", 0)
+    rows, mixed = _records(150)
+    for some in (mixed, rows):
+        df = spark.createDataFrame(some, "id long, f array<long>").checkpoint()
+        want = _key(best_k(tiled_topk(df, "binary_cosine", k), k))
+        if some is rows:  # no pair of all rows is made where all are short
+            monkeypatch.setattr(prefix, "tiled_topk", None)
+        assert _key(prefix.prefix_topk(df, k, pairs_per_feature=0)) == want
