@@ -88,3 +88,28 @@ def test_short_records_meet_by_subsets(spark, monkeypatch, k):
         if some is rows:  # no pair of all rows is made where all are short
             monkeypatch.setattr(prefix, "tiled_topk", None)
         assert _key(prefix.prefix_topk(df, k, pairs_per_feature=0)) == want
+
+
+def test_slices_and_rounds_change_no_row_and_leave_nothing(spark, monkeypatch):
+    """Features, lists and representatives stored and shuffled some at a time:
+    the rows of one go, and only what the result reads is left on disk."""
+    from pathlib import Path
+
+    from twinsift.operators import copies
+    from twinsift.session import ensure_checkpoint_dir
+
+    texts = [(i, f"the same record {i // 3} of some {i % 7} words and {i * 5 % 11} more") for i in range(90)]
+    df = spark.createDataFrame(texts, "id long, text string").checkpoint()
+    want = _key(sparse_cosine_topk(df, "id", "text", 3, plan="tiles"))
+    for module, name in ((copies, "PIECE_ROWS"), (prefix, "PLACES_PER_SLICE"), (prefix, "PAIRS_PER_ROUND")):
+        monkeypatch.setattr(module, name, 40)
+        monkeypatch.setattr(module, "release_shuffles", lambda spark: None)
+    for module, name in ((copies, "MOST_PIECES"), (prefix, "MOST_SLICES")):
+        monkeypatch.setattr(module, name, 2)
+    monkeypatch.setattr(prefix, "PAIRS_PER_FEATURE", 8)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    assert _key(sparse_cosine_topk(df, "id", "text", 3)) == want
+    new = {p.name for p in folder.iterdir()} - before
+    assert not [n for n in new if n.startswith(("features", "representatives", "shared", "lists-"))]
+    assert [n for n in new if n.startswith("list-pairs")]
