@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -126,3 +128,18 @@ def test_whole_scans_are_exact(monkeypatch, dense):
         best = [j for j in np.lexsort((np.arange(200), -np.round(want, 12)))[:15] if want[j] > 0]
         assert ids.tolist() == best
         np.testing.assert_allclose(cos, want[best], atol=1e-12)
+
+
+def test_model_ships_small_counts():
+    """The driver holds and broadcasts places and counts; the weights are made
+    where the index is built, the same as of the vectors one by one."""
+    rng = np.random.default_rng(5)
+    rows = [(i, i % 2, np.sort(rng.choice(3000, 400, replace=False)), rng.integers(1, 5, 400)) for i in range(100)]
+    rows += [(200, 1, *rows[0][2:]), (201, 0, [], []), (202, 1, [1, 7], [70_000, 1])]
+    model = T.Model(rows, {f"t{i}": i for i in range(3000)}, rng.random(3000) + 1, (1.0, 1.0))
+    shipped = pickle.dumps(model)
+    assert len(shipped) < 8 * model.places.nbytes // 4 + 20 * 3000
+    assert model.vectors == 101 and model.rows[0].tolist() == [1, 1] and model.none == 0.0
+    back = pickle.loads(shipped).index
+    each = T.BlockMaxIndex([T.vector(p, c, model.weight) for _, _, p, c in [*rows[:100], rows[-1]]], 3000)
+    assert (back.own_weight == each.own_weight).all() and (back.own_term == each.own_term).all() and (back.own_first == each.own_first).all()

@@ -33,6 +33,8 @@ empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -105,11 +107,21 @@ class BlockMaxIndex:
     is built where it is first used (pickled are the vectors)."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK):
-        self.n, self.terms, self.block, self.visited = len(vectors), terms, block, 0
+        self._own(np.concatenate([p for p, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32),
+                  np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0),
+                  np.append(0, np.cumsum([len(p) for p, _ in vectors], dtype=np.int64)), terms, block)
+
+    def _own(self, term: np.ndarray, weight: np.ndarray, first: np.ndarray, terms: int, block: int) -> None:
+        self.n, self.terms, self.block, self.visited = len(first) - 1, terms, block, 0
         self.blocks = max(1, -(-self.n // block))
-        self.own_term = np.concatenate([p for p, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
-        self.own_weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        self.own_first = np.append(0, np.cumsum([len(p) for p, _ in vectors], dtype=np.int64))
+        self.own_term, self.own_weight, self.own_first = term, weight, first
+
+    @classmethod
+    def joined(cls, term: np.ndarray, weight: np.ndarray, first: np.ndarray, terms: int, block: int = BLOCK) -> BlockMaxIndex:
+        """Of vectors that lie one after the other, from ``first`` on."""
+        out = cls.__new__(cls)
+        out._own(term, weight, first, terms, block)
+        return out
 
     def __getstate__(self) -> dict:
         kept = ("n", "terms", "block", "visited", "blocks", "own_term", "own_weight", "own_first")
@@ -219,22 +231,36 @@ class Model:
     def __init__(self, examples: list[tuple], space: dict[str, int], weight: np.ndarray, class_weight: tuple[float, float]):
         """examples: (doc_id, label, places, counts)."""
         self.space, self.weight, self.class_weight = space, weight, class_weight
-        groups: dict[tuple, list] = {}
+        groups: dict[bytes, list] = {}
         for doc_id, label, places, counts in sorted(examples, key=lambda e: (e[0] is not None, e[0])):
             places, counts = np.asarray(places, np.int32), np.asarray(counts, np.int32)
-            g = groups.setdefault((places.tobytes(), counts.tobytes()), [0, 0, [], places, counts])
+            key = hashlib.blake2b(places.tobytes() + counts.tobytes()).digest() if len(places) else b""
+            g = groups.setdefault(key, [0, 0, [], places, _small(counts)])
             g[label] += 1
             if len(g[2]) < 3:
                 g[2].append(doc_id)
-        empty = groups.pop((b"", b""), [0, 0])
+        empty = groups.pop(b"", [0, 0])
         self.none = self._share(*empty[:2]) if sum(empty[:2]) else self._share(
             sum(e[1] == 0 for e in examples), sum(e[1] == 1 for e in examples))
         self.rows = np.array([g[:2] for g in groups.values()], float).reshape(-1, 2)
         self.ids = [g[2] for g in groups.values()]
-        vectors = [vector(g[3], g[4], weight) for g in groups.values()]
-        self.index = BlockMaxIndex(vectors, max(1, len(space)))
+        self.places = np.concatenate([np.zeros(0, np.int32), *(g[3] for g in groups.values())])
+        self.counts = np.concatenate([np.zeros(0, np.uint8), *(g[4] for g in groups.values())])
+        self.first = np.append(0, np.cumsum([len(g[3]) for g in groups.values()], dtype=np.int64))
         self.steps = (np.zeros(0), np.zeros(0))
-        self.vectors = len(vectors)
+        self.vectors = len(groups)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "index"}
+
+    @functools.cached_property
+    def index(self) -> BlockMaxIndex:
+        """Built where it is first used; pickled are the counts, which take
+        less than half of what the weights do."""
+        weights = np.empty(len(self.places))
+        for a, b in zip(self.first[:-1], self.first[1:], strict=True):
+            weights[a:b] = vector(self.places[a:b], self.counts[a:b], self.weight)[1]
+        return BlockMaxIndex.joined(self.places, weights, self.first, max(1, len(self.space)))
 
     def own_votes(self, some: range | list[int]) -> list[tuple[float, int, float]]:
         """Vote, label and weight of the example vectors ``some``; an example
@@ -332,11 +358,30 @@ def _space(example_docs: DataFrame, of: dict) -> tuple[dict[str, int], np.ndarra
         common.map_batches(example_docs.dropDuplicates(["sketch"]), terms(True), kinds))
     t = t.groupBy("term").agg(F.sum("n0").cast("double").alias("a"), F.sum("n1").cast("double").alias("b"))
     t = t.toArrow().sort_by("term")
+    held.destroy()
     n0, n1 = (float(max(1, sum(v == y for v in of.values()))) for y in (0, 1))
     return ({term: i for i, term in enumerate(t.column("term").to_pylist())},
             gains(t.column("a").to_numpy(), t.column("b").to_numpy(), n0, n1))
 
 
+def _fetched(sample: DataFrame, of: dict) -> Iterator[tuple]:
+    """(doc_id, label, places, counts) of the examples' vectors, as bytes and a
+    partition at a time: the driver's JVM never holds them all."""
+    id_type = sample.schema["doc_id"].dataType.simpleString()
+
+    def packed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = [pa.array([x.values.to_numpy().tobytes() for x in batch.column(c)], pa.binary()) for c in (1, 2)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["doc_id", "places", "counts"])
+
+    for r in common.map_batches(sample, packed, f"doc_id {id_type}, places binary, counts binary").toLocalIterator():
+        yield r["doc_id"], of[r["doc_id"]], np.frombuffer(r["places"], np.int32), _small(np.frombuffer(r["counts"], np.int32))
+
+
+def _small(counts: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds them."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         label_id: str = "doc_id", training: Column | None = None, per_class: int = PER_CLASS) -> Model:
     """The model, from the label rows where ``training`` holds. The texts are
@@ -389,11 +434,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = seen.where("place is not null").groupBy("place").agg(F.sum("df").alias("df")).toArrow()
     df[rows.column("place").to_numpy()] = rows.column("df").to_numpy()
     weight = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * gain
-    sample = seen.where("place is null").groupBy("doc_id").agg(F.min(F.struct("places", "counts")).alias("v")).limit(4 * per_class)
-    sample = sample.select("doc_id", "v.places", "v.counts").toArrow()
-    vectors = [[x.values.to_numpy() for x in sample.column(c)] for c in ("places", "counts")]
-    model = Model([(i, of[i], p, c) for i, p, c in zip(sample.column("doc_id").to_pylist(), *vectors, strict=True)],
-                  space, weight, class_weight)
+    words.destroy()
+    known.destroy()
+    sample = seen.where("place is null").groupBy("doc_id").agg(F.min(F.struct("places", "counts")).alias("v"))
+    model = Model(list(_fetched(sample.select("doc_id", "v.places", "v.counts"), of)), space, weight, class_weight)
+    common.release_memory()
+    common.release_shuffles(spark)  # and the driver's copies of what it has fetched
     held = spark.sparkContext.broadcast(model)
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
