@@ -58,3 +58,19 @@ def test_most_block_pairs_of_clusters_are_skipped(spark, monkeypatch):
     every = seen["n"] * (seen["n"] - 1) / 2
     print("kept", seen["kept"], "of", every)
     assert seen["kept"] < 0.3 * every
+
+
+def test_groups_of_blocks_meet_in_rounds(spark, monkeypatch):
+    """A few copies of the blocks are sent at once; the rows stay the same."""
+    sent = []
+    store = pivots.store
+    monkeypatch.setattr(pivots, "release_shuffles", lambda spark: None)
+    monkeypatch.setattr(pivots, "store", lambda df, path: sent.append(path) or store(df, path))
+    monkeypatch.setattr(pivots, "ROUND_BLOCKS", 0)
+    monkeypatch.setattr(pivots, "GROUPS", 5)
+    monkeypatch.setattr(pivots, "COPIES", 2)
+    x = np.random.default_rng(8).normal(size=(330, 5))
+    x[:40] = x[0]
+    df = _frame(spark, x)
+    assert _key(dense_knn_topk(df, "id", "vec", 3, 24, "pivots")) == _key(dense_knn_topk(df, "id", "vec", 3, plan="tiles"))
+    assert len(sent) >= 3 and len(set(sent)) == 1
