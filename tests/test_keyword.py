@@ -131,3 +131,23 @@ def test_skew_join_spreads_hot_key_and_keeps_rows(spark):
     assert out.where(F.col("v") == "hot").count() == 1000 + (1 if 7 % 3 else 0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
+
+
+def test_index_bounds_its_batches(spark):
+    """Batches of 10,000 long texts filled an executor's Python."""
+    from twinsift.functions.vectorize import WEIGHT_ROWS, bm25_index
+
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    was = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "10000")
+        spark.conf.set(keys[1], str(256 << 20))
+        rows = [(i, f"common w{i % 7} " * (1 + i % 3)) for i in range(2 * WEIGHT_ROWS + 9)] + [(9999, None), (9998, "")]
+        vectors, _, n, _ = bm25_index(spark.createDataFrame(rows, "id long, text string").coalesce(1), "id", "text")
+        got = {r["id"]: (r["f"], r["w"]) for r in vectors.collect()}
+        assert int(spark.conf.get(keys[0])) <= 4096 and int(spark.conf.get(keys[1])) <= 8 << 20
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert n == len(rows) == len(got) and got[9998] == ([], [])
+    assert all(len(got[i][0]) == 2 for i in range(2 * WEIGHT_ROWS + 9)) and got[0] == got[21]

@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinsift.functions.text import WORD_PATTERN, with_features, word_tokens
-from twinsift.session import ship_package
+from twinsift.session import bound_batches, ship_package
 from twinsift.sources.tables import ensure_parallel, materialize
 
 # Fixed BM25 parameters (Robertson & Zaragoza 2009).
 BM25_K1 = 1.2
 BM25_B = 0.75
+WEIGHT_ROWS = 512
 EMBED_DIM = 64
 EMBED_GRAM = 3
 
@@ -60,6 +61,7 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1,
     partition before the shuffle.
     """
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     rows = ensure_parallel(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
                            .where(F.col("id").isNotNull()))
     toks = rows.select("id", word_tokens(F.col("_text"), WORD_PATTERN).alias("_toks"))
@@ -70,7 +72,9 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, k1: float = BM25_K1,
 
     @F.pandas_udf("struct<f: array<bigint>, w: array<double>>")
     def _weights(h: pd.Series) -> pd.DataFrame:
-        return _tf_weights(h, k1, b, avg)
+        # Some rows at a time: the sorted copies of a batch's words are what takes memory.
+        parts = [_tf_weights(h.iloc[at:at + WEIGHT_ROWS], k1, b, avg) for at in range(0, max(1, len(h)), WEIGHT_ROWS)]
+        return pd.concat(parts, ignore_index=True)
 
     vectors = hashed.select("id", _weights("h").alias("v")).select("id", "v.f", "v.w")
     doc_freq = (hashed.select(F.explode(F.array_distinct("h")).alias("h"))
