@@ -88,3 +88,32 @@ def test_minhash_collapse_equals_plain(spark):
     a = sorted(map(key, minhash_topk(df, "id", "text", 3, collapse_copies=True).collect()))
     b = sorted(map(key, minhash_topk(df, "id", "text", 3, collapse_copies=False).collect()))
     assert a == b and len(a) > 0
+
+
+def test_small_buckets_of_a_pack_are_scored_together():
+    """A pair in several buckets is scored once, with the scores and ranks of
+    the buckets one by one."""
+    import numpy as np
+    import pandas as pd
+
+    from twinsift.operators import tiles
+
+    rng = np.random.default_rng(4)
+    feats = {i: np.sort(rng.choice(30, rng.integers(0, 12), replace=False)) for i in range(60)}
+    rows = [(g, int(i)) for g in range(50) for i in rng.choice(60, rng.integers(1, 10), replace=False)]
+    rows += [(g + 100, i) for g, i in rows[:60]]  # the same buckets of another band
+    pdf = pd.DataFrame([(g, i, feats[i], -1, -1, -1) for g, i in rows], columns=["grp", "id", "f", "_b", "_ti", "_tj"]).sample(frac=1, random_state=1)
+    got = tiles._bucket_function("binary_cosine", 2)(pdf)
+    want = {}
+    for g in set(pdf["grp"]):
+        ids = [i for h, i in rows if h == g]
+        for a in ids:
+            for b in ids:
+                if a != b and (c := len(np.intersect1d(feats[a], feats[b]))):
+                    want.setdefault(a, {})[b] = c / np.sqrt(len(feats[a]) * len(feats[b]))
+    best = lambda scores: sorted(scores.items(), key=lambda x: (-round(x[1], 6), x[0]))[:2]
+    found = {a: dict(zip(g["potential_duplicate_id"], g["score"])) for a, g in got.groupby("original_id")}
+    assert {a: best(x) for a, x in found.items()} == {a: best(x) for a, x in want.items()}
+    assert len(got) < len(tiles._few_rows(pdf.reset_index(drop=True), 10 ** 6)) + 10 ** 4 and len(tiles._few_rows(pdf.iloc[:0], 2)) == 0
+    small = pdf[pdf.groupby("grp")["id"].transform("size") <= tiles.FEW_ROWS].reset_index(drop=True)
+    assert not tiles._few_rows(small, 100).duplicated(["original_id", "potential_duplicate_id"]).any()
