@@ -14,7 +14,8 @@ weight in each: it adds up these for an upper bound of every block's cosines
 and visits blocks in that order until the ``NEIGHBOURS``-th best cosine is
 above the next bound. Longer queries, whose bounds skip nothing, add up all
 cosines (``DENSE`` most frequent terms by a matrix product, the rest by their
-postings) and compute the best again in double precision. Both are exact.
+postings in rows of ``ROW``) and compute the best again in double precision.
+Both are exact.
 The neighbours vote with weight 1 / (distance + ``SOFT``), the
 rows behind a vector counted each, the classes reweighted to their shares of
 all labelled rows. Votes of the examples without themselves give an isotonic
@@ -42,6 +43,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
@@ -56,10 +58,13 @@ GAIN = 100.0
 BLOCK = 64
 FEW = 8
 DENSE = 512
+ROW = 16
+TEXTS = 256
 NEIGHBOURS = 15
 SOFT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 400_000
+# ASCII characters that are in no word, as blanks.
+_BLANKS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 def word_terms(word: str) -> tuple[str, ...]:
@@ -67,33 +72,49 @@ def word_terms(word: str) -> tuple[str, ...]:
     return (word, word[:STEM] + "*") if len(word) > STEM else (word,)
 
 
-class _Places(dict):
-    """Runs of non-blanks -> places of their words' terms in the space;
-    emptied when it is full."""
-
-    def __init__(self, space: dict[str, int]):
-        super().__init__()
-        self.space = space
-
-    def __missing__(self, run: str) -> tuple[int, ...]:
-        if len(self) >= _CACHED:
-            self.clear()
-        found = self[run] = tuple(p for w in _WORD.findall(run) for t in word_terms(w) if (p := self.space.get(t)) is not None)
-        return found
-
-
-def term_counts(text: str | None, places: _Places) -> tuple[np.ndarray, np.ndarray]:
-    """Places and counts of a whole text's terms in the space (a word never
-    crosses white space)."""
-    runs = (text or "").lower().split()
-    at, n = np.unique(np.fromiter(chain.from_iterable(map(places.__getitem__, runs)), np.int32), return_counts=True)
-    return at, n.astype(np.int32)
+def term_counts(texts: list[str | None], space: pa.StringArray) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Places and counts of the terms in the space of every whole text, for
+    ``TEXTS`` texts at a time. A word crosses neither white space nor another
+    ASCII character that is no letter, so these part the runs; distinct runs
+    are looked up, all in one go."""
+    blank = [t.lower().encode().translate(_BLANKS) if t else b"" for t in texts]
+    runs = pc.ascii_split_whitespace(pa.array(blank, pa.string()))
+    del blank
+    flat, ends = runs.values.dictionary_encode(), runs.offsets.to_numpy()
+    of, run = flat.indices.to_numpy(), flat.dictionary
+    plain = pc.string_is_ascii(run)  # is one word
+    other = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+    found = [(r,) if r.isalpha() else _WORD.findall(r) for r in run.take(pa.array(other)).to_pylist()]
+    words = pa.concat_arrays([run.filter(plain), pa.array(chain.from_iterable(found), pa.string())])
+    run_of = np.append(np.flatnonzero(plain), np.repeat(other, [len(f) for f in found]))
+    long = pc.greater(pc.utf8_length(words), STEM)
+    stems = pc.binary_join_element_wise(pc.utf8_slice_codeunits(words.filter(long), 0, STEM), "*", "")
+    place = pc.index_in(pa.concat_arrays([words, stems]), value_set=space)
+    known = np.flatnonzero(place.is_valid())
+    run_of = np.append(run_of, run_of[np.flatnonzero(long)])[known]
+    place = place.take(pa.array(known)).to_numpy()[np.argsort(run_of, kind="stable")].astype(np.int64)
+    last = np.append(0, np.cumsum(np.bincount(run_of, minlength=len(run))))
+    for start in range(0, len(texts), TEXTS):
+        end = ends[start:start + TEXTS + 1]
+        part = of[end[0]:end[-1]]
+        a, b = last[part], last[part + 1]
+        text = np.repeat(np.arange(len(end) - 1), np.diff(np.append(0, np.cumsum(b - a))[end - end[0]]))
+        key = (text << 32) + place[_ranges(a, b)]
+        key.sort()
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        first = np.searchsorted(key[at], np.arange(len(end)) << 32)
+        places, counts = (key[at] & 0xFFFFFFFF).astype(np.int32), np.diff(np.append(at, len(key))).astype(np.int32)
+        yield [(places[i:j], counts[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)]
 
 
 def vector(places, counts, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     p = np.asarray(places, np.int32)
     w = (1 + np.log(np.asarray(counts, float))) * weight[p]
-    return p, w / max(float(np.linalg.norm(w)), 1e-300) if len(p) else w
+    return p, w / _norm(w) if len(p) else w
+
+
+def _norm(w: np.ndarray) -> float:
+    return max(float(np.linalg.norm(w)), 1e-300)
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -104,59 +125,100 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 class BlockMaxIndex:
     """Exact nearest vectors by cosine from a block-max inverted index, which
-    is built where it is first used (pickled are the vectors)."""
+    is built where it is first used (pickled are the vectors).
+
+    A weight is ``base`` of its term times ``scale`` of its vector times a
+    value. Most values are 1, so that a posting is the vector's place alone;
+    ``more`` has the others' value - 1. Postings lie in rows of ``ROW``, the
+    last one of a term filled up with place n."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK):
         self._own(np.concatenate([p for p, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32),
                   np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0),
                   np.append(0, np.cumsum([len(p) for p, _ in vectors], dtype=np.int64)), terms, block)
+        self.base, self.scale = np.ones(terms), np.ones(self.n)
 
-    def _own(self, term: np.ndarray, weight: np.ndarray, first: np.ndarray, terms: int, block: int) -> None:
+    def _own(self, term: np.ndarray, value: np.ndarray, first: np.ndarray, terms: int, block: int) -> None:
         self.n, self.terms, self.block, self.visited = len(first) - 1, terms, block, 0
         self.blocks = max(1, -(-self.n // block))
-        self.own_term, self.own_weight, self.own_first = term, weight, first
+        self.own_term, self.own_value, self.own_first, self.counts = term, value, first, False
 
     @classmethod
-    def joined(cls, term: np.ndarray, weight: np.ndarray, first: np.ndarray, terms: int, block: int = BLOCK) -> BlockMaxIndex:
-        """Of vectors that lie one after the other, from ``first`` on."""
+    def joined(cls, term: np.ndarray, count: np.ndarray, first: np.ndarray, weight: np.ndarray, block: int = BLOCK) -> BlockMaxIndex:
+        """Of the ``vector`` of terms and counts that lie one after the other,
+        from ``first`` on."""
         out = cls.__new__(cls)
-        out._own(term, weight, first, terms, block)
+        out._own(term, count, first, len(weight), block)
+        out.counts, out.base = True, weight
+        out.scale = 1 / np.array([_norm((1 + np.log(count[a:b].astype(float))) * weight[term[a:b]]) for a, b in zip(first[:-1], first[1:], strict=True)])
+        return out
+
+    @property
+    def own_weight(self) -> np.ndarray:
+        if not self.counts:
+            return self.own_value
+        out = np.empty(len(self.own_term))
+        for a, b in zip(self.own_first[:-1], self.own_first[1:], strict=True):
+            out[a:b] = vector(self.own_term[a:b], self.own_value[a:b], self.base)[1]
         return out
 
     def __getstate__(self) -> dict:
-        kept = ("n", "terms", "block", "visited", "blocks", "own_term", "own_weight", "own_first")
+        kept = ("n", "terms", "block", "visited", "blocks", "own_term", "own_value", "own_first", "counts", "base", "scale")
         return {k: self.__dict__[k] for k in kept}
 
     def _build(self) -> None:
-        if "doc" in self.__dict__:
+        if "postings" in self.__dict__:
             return
-        # Postings by (term, vector); cells are a term in a block.
-        order = np.argsort(self.own_term, kind="stable")
-        term, weight = self.own_term[order], self.own_weight[order]
-        doc = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.own_first))[order]
-        cell = term.astype(np.int64) * self.blocks + doc // self.block
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.weight, self.term_first = weight, np.searchsorted(term, np.arange(self.terms + 1))
-        self.cell, self.first = cell[first], np.append(first, len(cell)).astype(np.int32)
-        self.max_weight = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
-        # For whole scans: rows of the most frequent terms.
-        often = np.sort(np.argsort(-np.diff(self.term_first), kind="stable")[:DENSE])
+        place = np.min_scalar_type(self.n)
+        of = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.own_first))
+        # Postings by (term, vector).
+        n = np.bincount(self.own_term, minlength=self.terms)
+        self.row_first = np.append(0, np.cumsum(-(-n // ROW))).astype(np.int32)
+        self.postings = np.full(int(self.row_first[-1]) * ROW, self.n, place)
+        key = (self.own_term.astype(np.int64) << 32) + of
+        key.sort()
+        gap = self.row_first[:-1].astype(np.int64) * ROW - np.append(0, np.cumsum(n))[:-1]
+        for s in range(0, len(key), 1 << 20):
+            part = key[s:s + (1 << 20)]
+            self.postings[np.arange(s, s + len(part)) + gap[part >> 32]] = part & 0xFFFFFFFF
+        del key
+        self.postings = self.postings.reshape(-1, ROW)
+        at = np.flatnonzero(self.own_value != 1)
+        at = at[np.argsort(self.own_term[at], kind="stable")]
+        self.more_first = np.append(0, np.cumsum(np.bincount(self.own_term[at], minlength=self.terms))).astype(np.int32)
+        self.more_of, self.more = of[at].astype(place), self._values(at) - 1
+        # For whole scans: rows of the most frequent terms, and their values by vector.
+        often = np.sort(np.argsort(-n, kind="stable")[:DENSE])
         self.row = np.full(self.terms, -1, np.int32)
         self.row[often] = np.arange(len(often))
+        at = np.flatnonzero(self.row[self.own_term] >= 0)
+        self.often_row, self.often_value = self.row[self.own_term[at]].astype(np.int16), self._values(at)
+        self.often_first = np.searchsorted(at, self.own_first)
         self.dense = np.zeros((len(often), self.n), np.float32)
-        at = np.flatnonzero(self.row[term] >= 0)
-        self.dense[self.row[term[at]], doc[at]] = weight[at]
-        self.doc = doc
+        self.dense[self.often_row, of[at]] = self.often_value * self.scale[of[at]]
+
+    def _values(self, at: np.ndarray) -> np.ndarray:
+        return 1 + np.log(self.own_value[at].astype(float)) if self.counts else self.own_value[at]
+
+    def _posting(self, p: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and weights of a term's vectors."""
+        of = self.postings[self.row_first[p]:self.row_first[p + 1]].ravel().astype(np.int64)
+        of = of[of < self.n]
+        more = slice(self.more_first[p], self.more_first[p + 1])
+        weight = np.ones(len(of))
+        weight[np.searchsorted(of, self.more_of[more])] += self.more[more]
+        return of, weight * self.base[p] * self.scale[of]
 
     def nearest(self, places: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest with a cosine over 0, ties by
         place; ``without`` is left out."""
         self._build()
-        places = np.asarray(places, np.int64)
+        lists = [(*self._posting(p), w) for p, w in zip(places, weights, strict=True)]
         bound = np.zeros(self.blocks)
-        for p, w in zip(places, weights, strict=True):
-            a, b = np.searchsorted(self.cell, (p * self.blocks, (p + 1) * self.blocks))
-            bound[self.cell[a:b] - p * self.blocks] += self.max_weight[a:b] * w
+        for of, weight, w in lists:
+            first = np.flatnonzero(np.diff(of // self.block, prepend=-1))
+            if len(first):
+                bound[of[first] // self.block] += np.maximum.reduceat(weight, first) * w
         order = np.argsort(-bound, kind="stable")
         ids, cos, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in order:
@@ -164,11 +226,9 @@ class BlockMaxIndex:
                 break
             self.visited += 1
             score = np.zeros(self.block)
-            at = np.searchsorted(self.cell, places * self.blocks + b)
-            for i, (p, w) in zip(at, zip(places, weights, strict=True), strict=True):
-                if i < len(self.cell) and self.cell[i] == p * self.blocks + b:
-                    s = slice(self.first[i], self.first[i + 1])
-                    score[self.doc[s] - b * self.block] += self.weight[s] * w
+            for of, weight, w in lists:
+                s = slice(*np.searchsorted(of, (b * self.block, (b + 1) * self.block)))
+                score[of[s] - b * self.block] += weight[s] * w
             hit = np.flatnonzero(score > 0)
             hit = hit[hit + b * self.block != without]
             ids, cos = np.append(ids, hit + b * self.block), np.append(cos, score[hit])
@@ -178,37 +238,42 @@ class BlockMaxIndex:
         return ids, np.minimum(cos, 1.0)
 
     def nearest_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None,
-                     batch: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                     batch: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of each query, long ones by whole scans."""
         self._build()
-        full = np.zeros(self.terms)
         for start in range(0, len(queries), batch):
             part = queries[start:start + batch]
-            q = np.zeros((len(part), len(self.dense)), np.float32)
+            q = np.zeros((len(part), len(self.dense)))
             for row, (p, w) in zip(q, part, strict=True):
                 if len(p) > FEW:
                     r = self.row[p]
-                    row[r[r >= 0]] = w[r >= 0]
-            scores = q @ self.dense
+                    often = r >= 0
+                    row[r[often]] = w[often] * self.base[p[often]]
+            scores = q.astype(np.float32) @ self.dense
             for i, (p, w) in enumerate(part):
                 out = without[start + i] if without else -1
                 if len(p) <= FEW:
                     yield self.nearest(p, w, k, out)
                     continue
                 rare = self.row[p] < 0
-                a, b = self.term_first[p[rare]], self.term_first[p[rare] + 1]
+                p, w = p[rare], w[rare] * self.base[p[rare]]
+                a, b = self.row_first[p], self.row_first[p + 1]
+                of = self.postings[_ranges(a, b)]
+                sums = np.bincount(of.ravel(), np.repeat(w, (b - a) * ROW), self.n + 1)[:-1]
+                a, b = self.more_first[p], self.more_first[p + 1]
                 at = _ranges(a, b)
-                score = scores[i] + np.bincount(self.doc[at], self.weight[at] * np.repeat(w[rare], b - a), self.n)
+                sums += np.bincount(self.more_of[at], self.more[at] * np.repeat(w, b - a), self.n)
+                score = sums * self.scale
+                score += scores[i]
                 if out >= 0:
                     score[out] = 0
-                # Single precision errs by far less than the margin.
+                # Single precision errs by far less than the margin: no term is negative.
                 least = np.partition(score, -k)[-k] if k < self.n else 0.0
-                ids = np.flatnonzero(score >= max(least - 1e-4, 1e-12))
-                full[p] = w
-                a, b = self.own_first[ids], self.own_first[ids + 1]
+                ids = np.flatnonzero(score >= max(least * (1 - 1e-4) - 1e-11, 1e-12))
+                a, b = self.often_first[ids], self.often_first[ids + 1]
                 at = _ranges(a, b)
-                cos = np.bincount(np.repeat(np.arange(len(ids)), b - a), self.own_weight[at] * full[self.own_term[at]], len(ids))
-                full[p] = 0
+                often = np.bincount(np.repeat(np.arange(len(ids)), b - a), self.often_value[at] * q[i][self.often_row[at]], len(ids))
+                cos = (sums[ids] + often) * self.scale[ids]
                 best = np.lexsort((ids, -np.round(cos, 12)))[:k]
                 yield ids[best], np.minimum(cos[best], 1.0)
 
@@ -251,23 +316,24 @@ class Model:
         self.vectors = len(groups)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "index"}
+        """Without the index; with the space as one Arrow array."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "space")} | {"terms": self.terms}
+
+    @functools.cached_property
+    def terms(self) -> pa.StringArray:
+        return pa.array(sorted(self.space, key=self.space.__getitem__), pa.string())
 
     @functools.cached_property
     def index(self) -> BlockMaxIndex:
         """Built where it is first used; pickled are the counts, which take
         less than half of what the weights do."""
-        weights = np.empty(len(self.places))
-        for a, b in zip(self.first[:-1], self.first[1:], strict=True):
-            weights[a:b] = vector(self.places[a:b], self.counts[a:b], self.weight)[1]
-        return BlockMaxIndex.joined(self.places, weights, self.first, max(1, len(self.space)))
+        return BlockMaxIndex.joined(self.places, self.counts, self.first, self.weight)
 
     def own_votes(self, some: range | list[int]) -> list[tuple[float, int, float]]:
         """Vote, label and weight of the example vectors ``some``; an example
         does not vote for itself."""
         own = [(i, label) for i in some for label in (0, 1) if self.rows[i][label]]
-        x = self.index
-        vectors = [(x.own_term[a:b], x.own_weight[a:b]) for i, _ in own for a, b in [x.own_first[i:i + 2]]]
+        vectors = [vector(self.places[a:b], self.counts[a:b], self.weight) for i, _ in own for a, b in [self.first[i:i + 2]]]
         return [(vote, label, float(self.rows[i][label] * self.class_weight[label]))
                 for (i, label), (vote, _, _) in zip(own, self._votes(vectors, own), strict=True) if vote is not None]
 
@@ -406,21 +472,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     examples = common.stored(
         common.map_batches(thin.where("text is not null"), sketched, f"doc_id {id_type}, text string, sketch long"), "toxicity-examples")
     space, gain = _space(examples, of)
-    words = spark.sparkContext.broadcast(space)
+    words = spark.sparkContext.broadcast(pa.array(list(space), pa.string()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["place", "df", "doc_id", "places", "counts"]
         kinds = [pa.int32(), pa.int64(), None, pa.list_(pa.int32()), pa.list_(pa.int32())]
-        places, df, n = _Places(words.value), np.zeros(len(words.value), np.int64), 0
+        df, n = np.zeros(len(words.value), np.int64), 0
         for batch in batches:
             kinds[2] = batch.column(0).type
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                p, c = term_counts(text, places)
-                df[p] += 1
-                n += 1
-                if doc_id in known.value and text is not None:
-                    rows.append((None, None, doc_id, p, c))
+            n += batch.num_rows
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for start, counted in zip(range(0, len(ids), TEXTS), term_counts(texts, words.value)):
+                df += np.bincount(np.concatenate([p for p, _ in counted]), minlength=len(df))
+                rows += [(None, None, ids[i], *v) for i, v in enumerate(counted, start) if ids[i] in known.value and texts[i] is not None]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
         if n:  # place -1: the documents
@@ -472,11 +537,10 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        places = _Places(m.space)
         for batch in batches:
             out = []
-            for first in range(0, batch.num_rows, 64):
-                out += m.scores([term_counts(t, places) for t in batch.column(at).slice(first, 64).to_pylist()])
+            for counted in term_counts(batch.column(at).to_pylist(), m.terms):
+                out += m.scores(counted)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([o[0] for o in out], pa.float64()),
                  pa.array([o[1] for o in out], pa.list_(pa.string() if text_ids else pa.int64())),
