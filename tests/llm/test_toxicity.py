@@ -168,6 +168,7 @@ def test_index_of_counts_is_small_and_exact(monkeypatch):
     """An executor holds an index in each of its Python workers: beside the
     vectors' terms, it takes less than 12 bytes a posting (it took over 30)."""
     monkeypatch.setattr(T, "DENSE", 8)
+    monkeypatch.setattr(T, "PART", 20_000)
     rng = np.random.default_rng(7)
     n, terms = 1500, 600
     rows = [(i, i % 2, np.sort(rng.choice(terms, 100, replace=False)), np.maximum(rng.geometric(0.8, 100), 1)) for i in range(n)]
@@ -186,3 +187,16 @@ def test_index_of_counts_is_small_and_exact(monkeypatch):
         want = full[:, p] @ w
         assert ids.tolist() == np.lexsort((np.arange(n), -np.round(want, 12)))[:15].tolist()
         np.testing.assert_allclose(cos, np.minimum(want[ids], 1), atol=1e-12)
+
+
+def test_model_is_broadcast_once(spark, frame, monkeypatch):
+    """Calibration and scoring use one broadcast: a worker never holds two
+    models with their indexes."""
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, v: sent.append(type(v)) or broadcast(sc, v))
+    docs, labels = corpus(100)
+    df = frame(docs, DOC)
+    model = T.fit(df, frame(labels, LAB))
+    out = {r["doc_id"]: r["toxicity"] for r in T.scored(df, model).collect()}
+    assert sent.count(T.Model) == 1
+    assert len(model.steps[0]) and all((out[i] >= 0.5) == (i % 5 == 0) for i in range(100))

@@ -44,7 +44,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -59,6 +60,7 @@ BLOCK = 64
 FEW = 8
 DENSE = 512
 ROW = 16
+PART = 1 << 20
 TEXTS = 256
 NEIGHBOURS = 15
 SOFT = 0.05
@@ -82,6 +84,7 @@ def term_counts(texts: list[str | None], space: pa.StringArray) -> Iterator[list
     del blank
     flat, ends = runs.values.dictionary_encode(), runs.offsets.to_numpy()
     of, run = flat.indices.to_numpy(), flat.dictionary
+    del runs, flat
     plain = pc.string_is_ascii(run)  # is one word
     other = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
     found = [(r,) if r.isalpha() else _WORD.findall(r) for r in run.take(pa.array(other)).to_pylist()]
@@ -94,6 +97,7 @@ def term_counts(texts: list[str | None], space: pa.StringArray) -> Iterator[list
     run_of = np.append(run_of, run_of[np.flatnonzero(long)])[known]
     place = place.take(pa.array(known)).to_numpy()[np.argsort(run_of, kind="stable")].astype(np.int64)
     last = np.append(0, np.cumsum(np.bincount(run_of, minlength=len(run))))
+    del run, plain, other, found, words, run_of, long, stems, known
     for start in range(0, len(texts), TEXTS):
         end = ends[start:start + TEXTS + 1]
         part = of[end[0]:end[-1]]
@@ -170,23 +174,25 @@ class BlockMaxIndex:
         if "postings" in self.__dict__:
             return
         place = np.min_scalar_type(self.n)
-        of = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.own_first))
-        # Postings by (term, vector).
+        of = np.repeat(np.arange(self.n, dtype=place), np.diff(self.own_first))
         n = np.bincount(self.own_term, minlength=self.terms)
         self.row_first = np.append(0, np.cumsum(-(-n // ROW))).astype(np.int32)
         self.postings = np.full(int(self.row_first[-1]) * ROW, self.n, place)
-        key = (self.own_term.astype(np.int64) << 32) + of
-        key.sort()
-        gap = self.row_first[:-1].astype(np.int64) * ROW - np.append(0, np.cumsum(n))[:-1]
-        for s in range(0, len(key), 1 << 20):
-            part = key[s:s + (1 << 20)]
-            self.postings[np.arange(s, s + len(part)) + gap[part >> 32]] = part & 0xFFFFFFFF
-        del key
+        more = np.bincount(self.own_term[self.own_value != 1], minlength=self.terms)
+        self.more_first = np.append(0, np.cumsum(more)).astype(np.int32)
+        self.more_of, self.more = np.empty(int(self.more_first[-1]), place), np.empty(int(self.more_first[-1]))
+        # Postings by (term, vector), the terms of about PART at a time.
+        last = np.cumsum(n)
+        cuts = np.unique(np.append(np.searchsorted(last, np.arange(0, len(self.own_term), PART)), self.terms))
+        for t, u in zip(cuts[:-1], cuts[1:], strict=True):
+            at = np.flatnonzero((self.own_term >= t) & (self.own_term < u))
+            at = at[np.argsort(self.own_term[at], kind="stable")]
+            gap = self.row_first[t:u].astype(np.int64) * ROW - (last[t:u] - n[t:u])
+            self.postings[np.arange(last[t] - n[t], last[u - 1]) + np.repeat(gap, n[t:u])] = of[at]
+            at = at[self.own_value[at] != 1]
+            part = slice(self.more_first[t], self.more_first[u])
+            self.more_of[part], self.more[part] = of[at], self._values(at) - 1
         self.postings = self.postings.reshape(-1, ROW)
-        at = np.flatnonzero(self.own_value != 1)
-        at = at[np.argsort(self.own_term[at], kind="stable")]
-        self.more_first = np.append(0, np.cumsum(np.bincount(self.own_term[at], minlength=self.terms))).astype(np.int32)
-        self.more_of, self.more = of[at].astype(place), self._values(at) - 1
         # For whole scans: rows of the most frequent terms, and their values by vector.
         often = np.sort(np.argsort(-n, kind="stable")[:DENSE])
         self.row = np.full(self.terms, -1, np.int32)
@@ -314,10 +320,19 @@ class Model:
         self.first = np.append(0, np.cumsum([len(g[3]) for g in groups.values()], dtype=np.int64))
         self.steps = (np.zeros(0), np.zeros(0))
         self.vectors = len(groups)
+        self.held: tuple[str, Broadcast] | None = None
 
     def __getstate__(self) -> dict:
         """Without the index; with the space as one Arrow array."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("index", "space")} | {"terms": self.terms}
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "space", "held")} | {"terms": self.terms}
+
+    def shipped(self, spark: SparkSession) -> Broadcast:
+        """The model's only broadcast, whatever uses it: a worker builds and
+        holds one index. ``steps`` may change after it and are passed along."""
+        sc = spark.sparkContext
+        if self.held is None or self.held[0] != sc.applicationId:
+            self.held = sc.applicationId, sc.broadcast(self)
+        return self.held[1]
 
     @functools.cached_property
     def terms(self) -> pa.StringArray:
@@ -361,15 +376,15 @@ class Model:
             total = w.sum()
             yield (float(w[:, 1].sum() / total) if total > 0 else None), ids, cos
 
-    def scores(self, counted: list[tuple]) -> Iterator[tuple[float, list, list[float]]]:
-        """Calibrated probability, nearest example ids, their cosines of the
-        (places, counts) of each text."""
+    def scores(self, counted: list[tuple], steps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, list, list[float]]]:
+        """Probability calibrated by ``steps``, nearest example ids, their
+        cosines of the (places, counts) of each text."""
         for vote, ids, cos in self._votes([vector(p, c, self.weight) for p, c in counted]):
             if vote is None:
                 yield self.none, [], []
                 continue
-            if len(self.steps[0]):
-                vote = float(np.interp(vote, *self.steps))
+            if len(steps[0]):
+                vote = float(np.interp(vote, *steps))
             yield min(1.0, max(0.0, vote)), [self.ids[i][0] for i in ids[:3]], [round(float(c), 6) for c in cos[:3]]
 
 
@@ -505,7 +520,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model(list(_fetched(sample.select("doc_id", "v.places", "v.counts"), of)), space, weight, class_weight)
     common.release_memory()
     common.release_shuffles(spark)  # and the driver's copies of what it has fetched
-    held = spark.sparkContext.broadcast(model)
+    held = model.shipped(spark)
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -517,7 +532,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     parts = max(1, min(spark.sparkContext.defaultParallelism, model.vectors // 256))
     rows = spark.range(0, model.vectors, 1, parts).mapInArrow(votes, "vote double, label int, weight double").collect()
-    held.destroy()
     model.calibrate([tuple(r) for r in rows])
     return model
 
@@ -531,7 +545,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "t
         raise ValueError(f"the table has columns {taken}: give another name")
     spark = docs.sparkSession
     common.prepare(spark)
-    held = spark.sparkContext.broadcast(model)
+    held, steps = model.shipped(spark), model.steps
     at = docs.columns.index(text_col)
     text_ids = bool(model.ids) and isinstance(model.ids[0][0], str)
 
@@ -540,7 +554,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "t
         for batch in batches:
             out = []
             for counted in term_counts(batch.column(at).to_pylist(), m.terms):
-                out += m.scores(counted)
+                out += m.scores(counted, steps)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([o[0] for o in out], pa.float64()),
                  pa.array([o[1] for o in out], pa.list_(pa.string() if text_ids else pa.int64())),
