@@ -101,3 +101,50 @@ def test_query(spark):
         least[root[f]] = min(i, least.get(root[f], i))
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in queries.op9_simhash(spark, sf).collect()}
     assert got == {i: (f"{f:016x}", least[root[f]]) for i, f in fp.items()}
+
+
+def test_variants_against_bits(spark):
+    """Each of the 64 bits out once, within its segment; each two out once."""
+    fps = [0, 1, 2**63, 2**64 - 1, 0x0123456789ABCDEF, 0xFEDCBA9876543210, 1 << 31, 1 << 32]
+    signed = lambda x: x - 2**64 if x >> 63 else x
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    want = set()
+    for f in fps:
+        for i in range(64):
+            half, b = f >> (i & 32) & 0xFFFFFFFF, i & 31
+            want.add((signed(f), i << 32 | half >> b + 1 << b | half & (1 << b) - 1))
+    got = [tuple(r) for r in S.variants(df).collect()]
+    assert len(got) == 64 * len(fps) and set(got) == want
+    want = {(signed(f), i * 64 + j, signed(f & ~(1 << i | 1 << j))) for f in fps for i in range(64) for j in range(i + 1, 64)}
+    got = [tuple(r) for r in S.without_two(df).collect()]
+    assert len(got) == 2016 * len(fps) and set(got) == want
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    """What the driver plans at once does not grow with the bits of a
+    fingerprint, and a step of the components reads its edges twice only."""
+    sizes, stored = [], S.common.stored
+
+    def watched(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append((name, len(plan), plan.count("Relation [") + plan.count("LogicalRDD [")))
+        return stored(df, name)
+
+    monkeypatch.setattr(S.common, "stored", watched)
+    rows = [(i, " ".join(f"w{(i // 2) * 50 + j}" for j in range(40 + i % 2))) for i in range(20)]
+    S.near_duplicates(spark.createDataFrame(rows, DOC)).collect()
+    steps = [s for s in sizes if s[0] in ("cc", "cc-large")]
+    assert len(steps) >= 3
+    assert max(n for _, _, n in steps[1:]) <= 2
+    assert max(n for _, n, _ in sizes) < 12000, sizes
+
+
+def test_keys_are_dealt_to_tasks(spark, monkeypatch):
+    """However few files the fingerprints lie in, a task makes the keys of
+    about TASK of them."""
+    dealt, variants = [], S.variants
+    monkeypatch.setattr(S, "variants", lambda fps: dealt.append(fps.rdd.getNumPartitions()) or variants(fps))
+    monkeypatch.setattr(S, "TASK", 10)
+    df = spark.range(0, 95, 1, 1).selectExpr("xxhash64(id) as fp")
+    assert S.links(df).count() == 0
+    assert dealt == [10]

@@ -43,6 +43,7 @@ from twinsift.llm import common
 SHINGLE = 3
 MAX_BITS = 2
 HOT = 48
+TASK = 8192  # fingerprints of a task, times 64 keys
 _CHUNK = 1 << 16
 
 
@@ -80,31 +81,34 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return common.map_batches(thin, run, f"doc_id {id_type}, fp long")
 
 
-def _without(value, bit: int, width: int):
-    """``value`` (``width`` bits, in a long) with one bit cut out."""
-    low = (1 << bit) - 1
-    return F.shiftrightunsigned(value, bit + 1).bitwiseAND((1 << (width - bit - 1)) - 1) * F.lit(1 << bit) + value.bitwiseAND(low)
+def variants(fps: DataFrame) -> DataFrame:
+    """(fp, v), 64 rows a fingerprint: v has segment and wildcard in its top
+    bits and the segment's other 31 bits. One short expression over the number
+    i of the wildcard: 64 long ones made the driver's plans and code large."""
+    half, bit = "(shiftrightunsigned(fp, i & 32) & 4294967295)", "(i & 31)"
+    v = f"shiftleft(shiftright({half}, {bit} + 1), {bit}) | ({half} & (shiftleft(1L, {bit}) - 1L)) | shiftleft(cast(i as bigint), 32)"
+    return fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i")).select("fp", F.expr(v).alias("v"))
 
 
-def one_wildcard_variants(fp) -> F.Column:
-    """64 longs: (segment, wildcard) in the top 6 bits, the other 31 bits."""
-    out = []
-    for seg in range(2):
-        half = F.shiftrightunsigned(fp, 32) if seg else fp.bitwiseAND(0xFFFFFFFF)
-        out += [_without(half, b, 32) + F.lit((seg * 32 + b) << 32) for b in range(32)]
-    return F.array(*out)
+def without_two(fps: DataFrame) -> DataFrame:
+    """(fp, m, rest), 2016 rows a fingerprint: rest has the two bits that m
+    names as 0."""
+    one = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(62))).alias("i"))
+    two = one.select("fp", "i", F.explode(F.expr("sequence(i + 1, 63)")).alias("j"))
+    return two.select("fp", F.expr("i * 64 + j").alias("m"), F.expr("fp & ~(shiftleft(1L, i) | shiftleft(1L, j))").alias("rest"))
 
 
 def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     """(src, dst) links between distinct fingerprints ``fp`` within two bits;
     for the groups of hot variants, links to a common neighbour."""
-    variants = fps.select("fp", F.explode(one_wildcard_variants(F.col("fp"))).alias("v"))
-    sizes = variants.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("src"), F.max("fp").alias("dst"))
+    # Counting its keys, nearly all different, a task holds them all.
+    keys = variants(fps.repartition(max(1, -(-fps.count() // TASK)), "fp"))
+    sizes = keys.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("src"), F.max("fp").alias("dst"))
     sizes = common.stored(sizes.where("n > 1"), "simhash-buckets")
     # Two fingerprints are their least and their greatest.
     two_of = sizes.where("n = 2 and bit_count(src ^ dst) <= 2").select("src", "dst")
     # The members of larger groups; merged, as their number has no bound.
-    members = variants.join(sizes.where("n > 2").select("v", "n").hint("merge"), "v")
+    members = keys.join(sizes.where("n > 2").select("v", "n").hint("merge"), "v")
     members = common.stored(members, "simhash-members")
     groups = members.where(F.col("n") <= hot).groupBy("v").agg(F.sort_array(F.collect_list("fp")).alias("f"))
     # At most HOT fingerprints a group; of its pairs only the links leave.
@@ -112,39 +116,34 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
         "flatten(transform(f, (a, i) -> transform(filter(f, (b, j) -> j < i and bit_count(a ^ b) <= 2), "
         "b -> struct(a as src, b as dst))))")).alias("p")).select("p.src", "p.dst")
     hot_f = common.stored(members.where(F.col("n") > hot).select("fp").distinct(), "simhash-hot")
-    two = [(i, j) for i in range(64) for j in range(i + 1, 64)]
-    masks = F.array(*[F.lit(_signed((1 << i) | (1 << j))) for i, j in two])
-    wide = hot_f.select("fp", F.posexplode(masks).alias("m", "mask"))
-    wide = wide.select("fp", "m", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
+    wide = without_two(hot_f)
     least = wide.groupBy("m", "rest").agg(F.min("fp").alias("dst"), F.max("fp").alias("top"))
     star = (wide.join(least.where("dst < top").hint("merge"), ["m", "rest"]).where("fp <> dst")
             .select(F.col("fp").alias("src"), "dst"))
     return two_of.unionByName(pairs).unionByName(star).distinct()
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable, for all nodes of edges.
 
     Large-star links every larger neighbour of a node to the least node
     around, small-star every smaller one; both are an aggregate by node and a
-    join back. It ends when no edge changes (a few rounds: the depth halves).
+    join back. Each star is stored, so that a plan reads its edges twice: with
+    both in one plan they were read 16 times, and the driver planned all that
+    anew after every stage. It ends when no edge changes (a few rounds: the
+    depth halves).
     """
     e = common.stored(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "cc")
     before = None
     for _ in range(max_rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _either(e, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u")
-        e = small.select("u", F.col("m").alias("v")).unionByName(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")).distinct()
-        e = common.stored(e, "cc")
+        up = e.where("u > v").select(F.col("v").alias("u"), F.col("u").alias("v"))
+        large = up.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = common.stored(large, "cc-large")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        e = _either(small, F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        e = common.stored(e.where("u <> v").distinct(), "cc")
         # Sums over all edges tell whether anything changed.
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
@@ -155,8 +154,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _either(edges: DataFrame, *pairs: F.Column) -> DataFrame:
+    """A row (u, v) for each of the ``pairs`` of each edge."""
+    return edges.select(F.explode(F.array(*pairs)).alias("e")).select("e.u", "e.v")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row a document: doc_id, fingerprint (16 hex digits), component_id."""
+    common.release_memory()  # what earlier steps of the same driver left
     fp = common.stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
     distinct = common.stored(fp.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")),
                              "simhash-distinct")
