@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from twinsift.operators import prefix
@@ -113,3 +114,56 @@ def test_slices_and_rounds_change_no_row_and_leave_nothing(spark, monkeypatch):
     new = {p.name for p in folder.iterdir()} - before
     assert not [n for n in new if n.startswith(("features", "representatives", "shared", "lists-"))]
     assert [n for n in new if n.startswith("list-pairs")]
+
+
+def _by_tiles(spark, rows, k):
+    df = spark.createDataFrame(rows, "id long, f array<long>").checkpoint()
+    return df, _key(best_k(tiled_topk(df, "binary_cosine", k), k))
+
+
+def test_lists_and_hot_features_are_sent_a_bounded_part_at_a_time(spark, monkeypatch):
+    """More rounds where more entries are sent, however many; the features of
+    both rows travel with some of the pairs at a time."""
+    df, want = _by_tiles(spark, [(i, [i // 4, 100 + i // 9, 200 + i // 40, 300 + i % 3]) for i in range(60)], 3)
+    monkeypatch.setattr(prefix, "PAIRS_PER_ROUND", 20)
+    monkeypatch.setattr(prefix, "HOT_BYTES", 3000)
+    seen = []
+    store = prefix.store
+    monkeypatch.setattr(prefix, "store", lambda df, path, *a: seen.append(path.split("/")[-1].rsplit("-", 1)[0]) or store(df, path, *a))
+    monkeypatch.setattr(prefix, "PART_OF_FEATURES", 10 ** 9)
+    assert _key(prefix.prefix_topk(df, 3)) == want
+    assert seen.count("block-pairs") > 4 and seen.count("known") > 2
+
+
+def test_open_rows_meet_in_rounds_of_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, sorted(rng.choice(60, 20, replace=False).tolist())) for i in range(150)]
+    df, want = _by_tiles(spark, rows, 3)
+    asked = []
+    best = prefix.best_in_rounds
+    monkeypatch.setattr(prefix, "tile_rounds", lambda *a: 3)
+    monkeypatch.setattr(prefix, "best_in_rounds", lambda rounds, *a, **b: asked.append(rounds) or best(rounds, *a, **b))
+    assert _key(prefix.prefix_topk(df, 3, pairs_per_feature=0, block_rows=20)) == want
+    assert asked and set(asked) == {3}
+
+
+def test_stored_steps_leave_no_shuffle(spark, scratch):
+    import time
+    from pathlib import Path
+
+    from twinsift.sources.tables import materialize, store
+
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f for d in dirs for f in Path(d.getPath()).rglob("shuffle_*.data") if f.stat().st_size > 50_000}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    frames = [spark.range(400_000).repartition(4, "id") for _ in range(2)]  # kept: no garbage
+    assert store(frames[0], f"{scratch}/x").count() == 400_000 and materialize(frames[1]).count() == 400_000
+    end = time.time() + 10
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(key) == setting
