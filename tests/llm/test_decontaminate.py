@@ -235,3 +235,42 @@ def test_frequencies_and_windows_by_their_definition(spark):
             many = [b for b in range(max(1, blocks - n + 1) if blocks else 0)
                     if sum(b * D.STEP - searcher.reach <= i < (b + n) * D.STEP + searcher.reach for i in at) >= searcher.least]
             assert got.get(n, np.zeros(0)).tolist() == many
+
+
+def test_every_passage_of_every_text_is_in_the_fit(spark, monkeypatch):
+    """The products are those of all passages of all texts and all benchmark
+    passages, and the basis keeps what a whole SVD of them keeps."""
+    rnd = random.Random(12)
+    words = vocabulary(rnd, 400)
+    texts = [" ".join(prose(rnd, words, rnd.choice([0, 3, 64, 65, 200, 700]))) for _ in range(50)]
+    items = [D.buckets_of(prose(rnd, words, 40)) for _ in range(12)]
+    monkeypatch.setattr(D, "TEXTS_WEIGHT", 10)
+    monkeypatch.setattr(D, "CHUNK", 32)
+    df, table = D._statistics(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3), len(texts))
+    idf = np.log((1 + len(texts)) / (1 + df[:-1])).clip(0)
+    rows = []
+    for t in texts:
+        places = D.buckets_of(t)
+        parts = [places[at:at + D.PASSAGE] for at in range(0, len(places), D.PASSAGE)]
+        rows += [(p, (10 / 50 / len(parts)) ** 0.5) for p in parts]
+    rows += [(p, D.ITEM_WEIGHT) for p in items]
+    a = np.zeros((len(rows), D.BUCKETS))
+    for r, (p, weight) in zip(a, rows, strict=True):
+        np.add.at(r, p, 1)
+        r *= idf
+        r *= weight / max(np.linalg.norm(r), 1e-9)
+    asked = spark.createDataFrame([(p.tolist(), D.ITEM_WEIGHT) for p in items], "places array<int>, weight double")
+    q = np.random.default_rng(2).normal(size=(D.BUCKETS, 24)).astype(np.float32)
+    every = table.drop("key").unionByName(asked)
+    np.testing.assert_allclose(D._times(every, idf, q), a.T @ (a @ q), atol=2e-4)
+    basis, values = D.latent_basis(every, idf, 24, D.start_of(asked.unionByName(every.limit(20)), idf, 24))
+    want = np.linalg.svd(a, full_matrices=False)[1][:24]
+    np.testing.assert_allclose(basis.T @ basis, np.eye(24), atol=1e-4)
+    assert np.linalg.norm(a @ basis) ** 2 >= 0.95 * np.sum(want ** 2)
+    np.testing.assert_allclose(values[:8], want[:8], rtol=0.05)
+
+
+def test_fit_without_texts_or_items(spark):
+    none = spark.createDataFrame([], "places array<int>, weight double")
+    basis, values = D.latent_basis(none, np.ones(D.BUCKETS), 4, D.start_of(none, np.ones(D.BUCKETS), 4))
+    assert basis.shape == (D.BUCKETS, 4) and np.isfinite(basis).all() and not values.any()
