@@ -259,7 +259,7 @@ def test_every_passage_of_every_text_is_in_the_fit(spark, monkeypatch):
         np.add.at(r, p, 1)
         r *= idf
         r *= weight / max(np.linalg.norm(r), 1e-9)
-    asked = spark.createDataFrame([(p.tolist(), D.ITEM_WEIGHT) for p in items], "places array<int>, weight double")
+    asked = spark.createDataFrame([(bytearray(D._packed(p)), D.ITEM_WEIGHT) for p in items], "places binary, weight double")
     q = np.random.default_rng(2).normal(size=(D.BUCKETS, 24)).astype(np.float32)
     every = table.drop("key").unionByName(asked)
     np.testing.assert_allclose(D._times(every, idf, q), a.T @ (a @ q), atol=2e-4)
@@ -270,6 +270,13 @@ def test_every_passage_of_every_text_is_in_the_fit(spark, monkeypatch):
     np.testing.assert_allclose(values[:8], want[:8], rtol=0.05)
 
 
+def test_start_takes_a_passage_of_each_text(spark):
+    texts = [list(range(n)) for n in (1, 63, 64, 65, 300)]
+    table = spark.createDataFrame([(bytearray(D._packed(np.array(t))), 1.0, 7919 ** 4 * (i + 1)) for i, t in enumerate(texts)], "places binary, weight double, key long")
+    got = sorted(np.frombuffer(r["places"], "<u2").tolist() for r in D.sampled(table, len(texts)).collect())
+    assert sorted(map(len, got)) == [1, 63, 64, 64, 64] and all(p == list(range(p[0], p[0] + len(p))) for p in got)
+
+
 def test_fit_without_texts_or_items(spark):
     none = spark.createDataFrame([], "places array<int>, weight double")
     basis, values = D.latent_basis(none, np.ones(D.BUCKETS), 4, D.start_of(none, np.ones(D.BUCKETS), 4))
